@@ -50,14 +50,21 @@ def _split_hot_groups(
     nulls_first: bool,
     max_group_rows: int,
     buckets: int,
+    probe: DataFrame | None = None,
 ) -> _Split:
     """Add ``_q_bucket``: 0 for ordinary groups; for hot groups, the rank of
     the order key among that group's quantile boundaries (monotone in the sort
-    direction; NULL keys get the first or last bucket per ``nulls_first``)."""
+    direction; NULL keys get the first or last bucket per ``nulls_first``).
+
+    Group sizes and boundaries are estimated on ``probe`` (default ``df``): a
+    cheaper frame with the same keys and order column, e.g. the fact before
+    its dimension joins.  Any boundaries give correct results; good ones only
+    balance the tasks."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    src = df if probe is None else probe
     hot = (
-        df.groupBy(*keys)
+        src.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_q_n"))
         .where(F.col("_q_n") > F.lit(max_group_rows))
         .select(*keys)
@@ -70,7 +77,7 @@ def _split_hot_groups(
     probs = [i / buckets for i in range(1, buckets)]
     hot_side = F.broadcast(hot) if hot_groups * (buckets + 2) <= MAX_BROADCAST_SUMMARY_ROWS else hot
     bounds = (
-        df.withColumn("_q_ord", order_num)
+        src.withColumn("_q_ord", order_num)
         .join(hot_side, list(keys), "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx("_q_ord", probs, 10_000).alias(_BOUNDS))
@@ -118,6 +125,7 @@ def rank_and_lag(
     lag_alias: str = "prev_value",
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
     buckets: int = DEFAULT_BUCKETS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """``RANK() OVER (PARTITION BY p ORDER BY o)`` and ``LAG(o)`` over the same
     window.  RANK orders by ``o`` alone (peers share a rank); LAG adds
@@ -129,7 +137,7 @@ def rank_and_lag(
     key = _sort_key(o, descending, nulls_first)
     ties = [F.col(t).asc_nulls_last() for t in tie_cols]
     split = _split_hot_groups(
-        df, partition_cols, o, descending, nulls_first, max_group_rows, buckets
+        df, partition_cols, o, descending, nulls_first, max_group_rows, buckets, probe
     )
     if split.hot_groups == 0:
         w_rank = Window.partitionBy(*partition_cols).orderBy(key)
@@ -181,6 +189,7 @@ def sessionize(
     session_alias: str = "session_id",
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
     buckets: int = DEFAULT_BUCKETS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Row-preserving sessionisation.
 
@@ -198,7 +207,7 @@ def sessionize(
         return F.when((gap > thr) | gap.isNull(), F.lit(1)).otherwise(F.lit(0))
 
     split = _split_hot_groups(
-        df, user_cols, epoch_micros(ts), False, False, max_group_rows, buckets
+        df, user_cols, epoch_micros(ts), False, False, max_group_rows, buckets, probe
     )
     if split.hot_groups == 0:
         w_lag = Window.partitionBy(*user_cols).orderBy(key, *ties)

@@ -67,13 +67,16 @@ loc AS (
     JOIN nation n ON c.c_nationkey = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
-star AS (
-    SELECT f.*, CAST(o.o_orderdate AS DATE) AS event_date, loc.country, loc.continent,
-           p.p_name AS disease_name, p.p_type AS disease_type
+star_np AS (
+    SELECT f.*, CAST(o.o_orderdate AS DATE) AS event_date, loc.country, loc.continent
     FROM f
     JOIN orders o ON f.l_orderkey = o.o_orderkey
     JOIN loc ON o.o_custkey = loc.o_custkey
-    JOIN part p ON f.l_partkey = p.p_partkey
+),
+star AS (
+    SELECT s.*, p.p_name AS disease_name, p.p_type AS disease_type
+    FROM star_np s
+    JOIN part p ON s.l_partkey = p.p_partkey
 )
 """
 
@@ -122,3 +125,192 @@ def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "recovered",
         "death_rate_pct",
     )
+
+
+# C4 -----------------------------------------------------------------------
+
+
+@register(
+    "rank_lag",
+    f"""
+WITH {_STAR_CTE}
+SELECT country, disease_name, cases,
+       CAST(RANK() OVER (PARTITION BY l_partkey ORDER BY cases DESC NULLS FIRST) AS BIGINT)
+           AS rank_within_disease,
+       LAG(cases) OVER (PARTITION BY l_partkey
+                        ORDER BY cases DESC NULLS FIRST, l_orderkey, l_linenumber)
+           AS prev_country_cases
+FROM star
+""",
+)
+def rank_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RANK and LAG of cases within each disease (C4: J2 + W1 + W2).  Both
+    windows share one partitioning; a hot disease is split by case ranges
+    (sizes probed on the fact alone, before the joins)."""
+    ranked = A.rank_and_lag(
+        _star(spark, sf_dir),
+        ["l_partkey"],
+        "cases",
+        tie_cols=["l_orderkey", "l_linenumber"],
+        rank_alias="rank_within_disease",
+        lag_alias="prev_country_cases",
+        probe=T.event_facts(spark, sf_dir),
+    )
+    return ranked.select(
+        "country", "disease_name", "cases", "rank_within_disease", "prev_country_cases"
+    )
+
+
+# C5 -----------------------------------------------------------------------
+
+
+@register(
+    "top_per_group",
+    f"""
+WITH {_STAR_CTE},
+by_continent AS (
+    SELECT continent, disease_name,
+           CAST(SUM(cases) AS BIGINT) AS total_cases,
+           CAST(SUM(deaths) AS BIGINT) AS total_deaths
+    FROM star
+    GROUP BY continent, disease_name
+),
+ranked AS (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY continent
+                                 ORDER BY total_cases DESC NULLS FIRST, disease_name) AS row_num
+    FROM by_continent
+)
+SELECT continent, disease_name, total_cases, total_deaths
+FROM ranked
+WHERE row_num = 1
+ORDER BY total_cases DESC NULLS FIRST, continent
+""",
+)
+def top_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top disease per continent (C5: A1 -> W3 -> F10 -> O1): SUM by
+    (continent, disease), ROW_NUMBER per continent, keep row 1."""
+    by_continent = A.sum_by(
+        _star(spark, sf_dir),
+        ["continent", "disease_name"],
+        {"total_cases": "cases", "total_deaths": "deaths"},
+    )
+    top = A.top_n_per_group(
+        by_continent,
+        ["continent"],
+        [F.col("total_cases").desc_nulls_first(), F.col("disease_name").asc_nulls_last()],
+        n=1,
+    )
+    return A.order_desc(top, "total_cases", ["continent"]).select(
+        "continent", "disease_name", "total_cases", "total_deaths"
+    )
+
+
+def _per_order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases and deaths summed per order *before* joining the order's
+    customer: SUM is decomposable, the map-side partial aggregate shrinks the
+    biggest table, and its output is already partitioned by the order key the
+    next join needs."""
+    return (
+        T.event_facts(spark, sf_dir)
+        .groupBy("l_orderkey")
+        .agg(F.sum("cases").alias("cases"), F.sum("deaths").alias("deaths"))
+        .join(T.order_dates(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(T.customer_locations(spark, sf_dir), "o_custkey")
+    )
+
+
+# C6 -----------------------------------------------------------------------
+
+
+@register(
+    "filtered_agg",
+    f"""
+WITH {_STAR_CTE}
+SELECT country, CAST(SUM(cases) AS BIGINT) AS total_cases
+FROM star_np
+WHERE continent = 'ASIA'
+GROUP BY country
+""",
+)
+def filtered_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases by country within one continent (C6: J3 + F8 + A2).  The filter
+    on the dimension reaches the region scan as a pushed filter."""
+    return A.filtered_sum(
+        _per_order_measures(spark, sf_dir),
+        F.col("continent") == F.lit("ASIA"),
+        ["country"],
+        {"total_cases": "cases"},
+    )
+
+
+# C7 -----------------------------------------------------------------------
+
+AGG_HAVING_MIN_PCT = 33.0
+
+
+@register(
+    "agg_having",
+    f"""
+WITH {_STAR_CTE},
+by_country AS (
+    SELECT country, CAST(SUM(cases) AS BIGINT) AS total_cases,
+           CAST(SUM(deaths) AS BIGINT) AS total_deaths
+    FROM star_np
+    GROUP BY country
+)
+SELECT country, total_cases, total_deaths,
+       {_rate_sql('total_deaths', 'total_cases')} AS death_rate_pct
+FROM by_country
+WHERE {_rate_sql('total_deaths', 'total_cases')} > {AGG_HAVING_MIN_PCT}
+ORDER BY death_rate_pct DESC NULLS FIRST, country
+""",
+)
+def agg_having(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Countries whose death rate is above a threshold (C7: A3 + F9 + O2)."""
+    return A.ratio_having(
+        _per_order_measures(spark, sf_dir),
+        ["country"],
+        num="deaths",
+        den="cases",
+        min_pct=AGG_HAVING_MIN_PCT,
+    ).select("country", "total_cases", "total_deaths", "death_rate_pct")
+
+
+# C8 -----------------------------------------------------------------------
+
+SESSION_GAP_MINUTES = 30
+
+
+@register(
+    "sessionize",
+    f"""
+WITH g AS (
+    SELECT user_id, ts AS event_time, event_type,
+           (epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id
+                                                  ORDER BY ts ASC NULLS LAST, event_id)))
+               / CAST(60000000 AS DOUBLE) AS gap_minutes
+    FROM events
+)
+SELECT user_id, event_time, event_type, gap_minutes,
+       CAST(SUM(CASE WHEN gap_minutes > {SESSION_GAP_MINUTES} OR gap_minutes IS NULL THEN 1 ELSE 0 END)
+            OVER (PARTITION BY user_id ORDER BY event_time ASC NULLS LAST) AS BIGINT) AS session_id
+FROM g
+ORDER BY user_id, event_time
+""",
+)
+def sessionize_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-preserving sessionisation of the event log (C8: W4/W5 -> F-C1 ->
+    W6 -> O3): a gap of more than 30 minutes opens a new session."""
+    events = T.read_table(spark, sf_dir, "events").select(
+        "user_id", F.col("ts").alias("event_time"), "event_type", "event_id"
+    )
+    sess = A.sessionize(
+        events,
+        ["user_id"],
+        "event_time",
+        gap_minutes=SESSION_GAP_MINUTES,
+        tie_cols=["event_id"],
+    )
+    return sess.orderBy(
+        F.col("user_id").asc_nulls_last(), F.col("event_time").asc_nulls_last(), "event_id"
+    ).select("user_id", "event_time", "event_type", "gap_minutes", "session_id")
