@@ -7,6 +7,7 @@ from quarry.functions.dates import (
     minutes_between,
     month_name,
     now_plus_days,
+    ts_literal,
 )
 from quarry.functions.numeric import decimal_sum, safe_pct, truncate_count
 from quarry.functions.text import CODE_PATTERN, NA_TOKENS, decode_na, matches_code
@@ -25,4 +26,5 @@ __all__ = [
     "now_plus_days",
     "safe_pct",
     "truncate_count",
+    "ts_literal",
 ]

@@ -44,7 +44,15 @@ def minutes_between(later: Column | str, earlier: Column | str) -> Column:
     return (epoch_micros(later) - epoch_micros(earlier)) / F.lit(60_000_000.0)
 
 
+def ts_literal(value: _dt.datetime | _dt.date) -> Column:
+    """A TIMESTAMP_NTZ literal with exactly the given wall-clock value,
+    independent of the Python process's and the session's time zones."""
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime(value.year, value.month, value.day)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def now_plus_days(now: _dt.datetime | Column, days: int) -> Column:
     """``now + N days`` with ``now`` injectable (a literal taken once)."""
-    base = now if isinstance(now, Column) else F.lit(now)
+    base = now if isinstance(now, Column) else ts_literal(now)
     return base + F.make_dt_interval(F.lit(days))

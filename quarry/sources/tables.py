@@ -98,7 +98,7 @@ def country_day_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region")
     geo = nation.join(
         bounded_broadcast(region, _SMALL_DIM_ROWS), nation.n_regionkey == region.r_regionkey
-    ).select("n_nationkey", "n_name", "r_name")
+    ).select("n_nationkey", "n_name", "n_regionkey", "r_name")
     returned = F.col("l_returnflag") == "R"
     per_day = (
         li.join(supplier, "l_suppkey")
@@ -117,7 +117,13 @@ def country_day_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = (
         F.when(F.col("r_name") == "MIDDLE EAST", F.concat(F.lit("AGG_"), F.col("n_name")))
         .when((F.col("r_name") == "AFRICA") & (F.col("ship_day") < F.lit("1996-01-01").cast("date")), F.lit(None))
-        .otherwise(F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")))
+        .otherwise(
+            F.concat(
+                F.lit("N"),
+                F.expr("chr(65 + n_nationkey)"),
+                F.expr("chr(65 + n_regionkey)"),
+            )
+        )
     )
     return per_day.join(bounded_broadcast(geo, _SMALL_DIM_ROWS), "n_nationkey").select(
         code.cast("string").alias("iso_code"),
