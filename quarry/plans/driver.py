@@ -21,6 +21,8 @@ from quarry.operators import clean as C
 from quarry.operators import facts as F_
 from quarry.operators import keys as K
 from quarry.operators import merge as M
+from quarry.operators import profile as P
+from quarry.operators import quality as Q
 from quarry.sources import tables as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -612,3 +614,256 @@ def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     region; unmatched keys are inserted with new ids."""
     existing, incoming = _customer_dims(spark, sf_dir)
     return M.upsert(existing, incoming, ["c_custkey"], ["nation", "region"], "customer_id")
+
+
+# ==========================================================================
+# Data quality, constraints, run metrics
+# ==========================================================================
+
+_CHECK_COLS = ("check_name", "passed", "metric", "threshold")
+
+
+def _checks_sql(rows: list[tuple[str, str, str, str]], ctes: str, source: str) -> str:
+    selects = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS check_name, {passed} AS passed, CAST({metric} AS DOUBLE) AS metric, "
+        f"CAST({threshold} AS DOUBLE) AS threshold FROM {source}"
+        for name, passed, metric, threshold in rows
+    )
+    return f"WITH {ctes}\n{selects}"
+
+
+_SUITE_AGG = f"""
+a AS (
+    SELECT count(*) AS n,
+           count_if(iso_code IS NULL) AS iso_nulls,
+           count_if(event_date IS NULL) AS date_nulls,
+           count_if(cases IS NULL) AS case_nulls,
+           count_if(cases < 0) AS neg_cases,
+           count_if(deaths < 0) AS neg_deaths,
+           count_if(event_date > {RUN_TS_SQL} + INTERVAL 1 DAY) AS future,
+           count_if(NOT coalesce(regexp_full_match(iso_code, '[A-Z]{{3}}'), false)) AS bad_codes,
+           count(DISTINCT iso_code) AS codes,
+           count_if(coalesce(length(iso_code), -1) <> 3) AS bad_len,
+           max(event_date) AS max_date
+    FROM staging
+),
+d AS (
+    SELECT coalesce(sum(k), 0) AS rows, coalesce(sum(k - 1), 0) AS dups
+    FROM (SELECT count(*) AS k FROM staging GROUP BY iso_code, event_date)
+),
+ad AS (SELECT * FROM a, d)
+"""
+
+
+def _rate(num: str, den: str, empty: str) -> str:
+    return f"CASE WHEN {den} > 0 THEN {num} / {den} ELSE {empty} END"
+
+
+@register(
+    "quality_suite",
+    _checks_sql(
+        [
+            ("not_empty", "n >= 100", "n", "100"),
+            ("required_columns", "true", "0", "0"),
+            ("null_rate_iso_code", f"{_rate('iso_nulls', 'n', '1.0')} <= 0.0", _rate("iso_nulls", "n", "1.0"), "0.0"),
+            ("null_rate_event_date", f"{_rate('date_nulls', 'n', '1.0')} <= 0.0", _rate("date_nulls", "n", "1.0"), "0.0"),
+            ("null_rate_cases", f"{_rate('case_nulls', 'n', '1.0')} <= 0.1", _rate("case_nulls", "n", "1.0"), "0.1"),
+            ("no_negatives_cases", "neg_cases = 0", "neg_cases", "0"),
+            ("no_negatives_deaths", "neg_deaths = 0", "neg_deaths", "0"),
+            ("date_range", "future = 0", "future", "1"),
+            ("iso_code_format", "bad_codes = 0", "bad_codes", "0"),
+            ("unique_combinations", f"{_rate('dups', 'rows', '0.0')} <= 0.01", _rate("dups", "rows", "0.0"), "0.01"),
+            ("country_coverage", "codes >= 50", "codes", "50"),
+        ],
+        _RAW_CTE + "," + _SUITE_AGG,
+        "ad",
+    ),
+)
+def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V11 (V1-V4, V6, V8-V10): the 11-check validation suite over staging,
+    one aggregate job plus one groupBy job."""
+    staging = _staging(spark, sf_dir)
+    return Q.run_checks(staging, Q.health_suite(staging, RUN_TS)).select(*_CHECK_COLS)
+
+
+@register(
+    "gate",
+    _checks_sql(
+        [
+            ("gate_not_empty", "n >= 1", "n", "1"),
+            ("gate_required_columns", "true", "0", "0"),
+            ("gate_no_negative_cases", "neg_cases = 0", "neg_cases", "0"),
+            ("gate_iso_code_length", "bad_len = 0", "bad_len", "0"),
+            (
+                "gate_iso_code_null_rate",
+                "NOT coalesce(iso_nulls / NULLIF(n, 0) > 0.01, false)",
+                "iso_nulls / NULLIF(n, 0)",
+                "0.01",
+            ),
+            (
+                "gate_future_dates",
+                f"NOT coalesce(max_date > {RUN_TS_SQL} + INTERVAL 1 DAY, false)",
+                f"CASE WHEN coalesce(max_date > {RUN_TS_SQL} + INTERVAL 1 DAY, false) THEN 1.0 ELSE 0.0 END",
+                "1",
+            ),
+        ],
+        _RAW_CTE + "," + _SUITE_AGG,
+        "a",
+    ),
+)
+def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: the six pipeline-gate rules over staging, with their quirks."""
+    staging = _staging(spark, sf_dir)
+    return Q.run_checks(staging, Q.gate_specs(staging, RUN_TS)).select(*_CHECK_COLS)
+
+
+@register(
+    "quality_customer",
+    _checks_sql(
+        [
+            ("not_empty", "n >= 100", "n", "100"),
+            ("null_rate_c_mktsegment", f"{_rate('seg_nulls', 'n', '1.0')} <= 0.05", _rate("seg_nulls", "n", "1.0"), "0.05"),
+            ("no_negatives_c_acctbal", "neg = 0", "neg", "0"),
+            ("unique_combinations", f"{_rate('dups', 'rows', '0.0')} <= 0.01", _rate("dups", "rows", "0.0"), "0.01"),
+            ("nation_coverage", "nations >= 50", "nations", "50"),
+        ],
+        """
+c AS (SELECT c_custkey, c_nationkey, c_acctbal, NULLIF(c_mktsegment, 'HOUSEHOLD') AS c_mktsegment
+      FROM customer),
+a AS (SELECT count(*) AS n, count_if(c_mktsegment IS NULL) AS seg_nulls,
+             count_if(c_acctbal < 0) AS neg, count(DISTINCT c_nationkey) AS nations FROM c),
+d AS (SELECT coalesce(sum(k), 0) AS rows, coalesce(sum(k - 1), 0) AS dups
+      FROM (SELECT count(*) AS k FROM c GROUP BY c_nationkey, c_mktsegment)),
+ad AS (SELECT * FROM a, d)
+""",
+        "ad",
+    ),
+)
+def quality_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1, V3, V4, V9, V10 on customer (a NULL path injected with NULLIF):
+    negative balances, NULL segments, duplicate (nation, segment) pairs."""
+    c = T.read_table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        "c_nationkey",
+        "c_acctbal",
+        F.nullif(F.col("c_mktsegment"), F.lit("HOUSEHOLD")).alias("c_mktsegment"),
+    )
+    specs = [
+        Q.not_empty(c, 100),
+        Q.null_rate(c, "c_mktsegment", 0.05),
+        Q.no_negatives(c, "c_acctbal"),
+        Q.unique_combinations(c, ["c_nationkey", "c_mktsegment"], 0.01),
+        Q.coverage(c, "c_nationkey", 50, name="nation_coverage"),
+    ]
+    return Q.run_checks(c, specs).select(*_CHECK_COLS)
+
+
+EVENTS_NOW = dt.datetime(2024, 1, 15)
+
+
+@register(
+    "quality_events",
+    _checks_sql(
+        [
+            ("date_range", "future = 0", "future", "1"),
+            ("null_rate_value", f"{_rate('value_nulls', 'n', '1.0')} <= 0.0", _rate("value_nulls", "n", "1.0"), "0.0"),
+            ("event_type_format", "bad = 0", "bad", "0"),
+            ("unique_combinations", f"{_rate('dups', 'rows', '0.0')} <= 0.01", _rate("dups", "rows", "0.0"), "0.01"),
+        ],
+        """
+a AS (SELECT count(*) AS n,
+             count_if(ts > TIMESTAMP '2024-01-15 00:00:00' + INTERVAL 1 DAY) AS future,
+             count_if(value IS NULL OR isnan(value)) AS value_nulls,
+             count_if(NOT coalesce(regexp_full_match(event_type, '[A-Z]{3}'), false)) AS bad
+      FROM events),
+d AS (SELECT coalesce(sum(k), 0) AS rows, coalesce(sum(k - 1), 0) AS dups
+      FROM (SELECT count(*) AS k FROM events GROUP BY user_id, ts)),
+ad AS (SELECT * FROM a, d)
+""",
+        "ad",
+    ),
+)
+def quality_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6, V3 (NaN as NULL), V8, V9 on the event log with an injected clock."""
+    ev = T.read_table(spark, sf_dir, "events")
+    specs = [
+        Q.date_range(ev, "ts", EVENTS_NOW, 1),
+        Q.null_rate(ev, "value", 0.0),
+        Q.code_format(ev, "event_type", name="event_type_format"),
+        Q.unique_combinations(ev, ["user_id", "ts"], 0.01),
+    ]
+    return Q.run_checks(ev, specs).select(*_CHECK_COLS)
+
+
+@register(
+    "constraint_checks",
+    """
+SELECT 'lineitem_not_null_l_orderkey' AS check_name, CAST(count_if(l_orderkey IS NULL) AS BIGINT) AS violations FROM lineitem
+UNION ALL SELECT 'lineitem_not_null_l_partkey', CAST(count_if(l_partkey IS NULL) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'lineitem_unique_l_orderkey_l_linenumber', CAST(count(*) AS BIGINT) FROM
+    (SELECT 1 FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+UNION ALL SELECT 'lineitem_fk_l_orderkey', CAST(count(*) AS BIGINT) FROM lineitem l
+    WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+UNION ALL SELECT 'lineitem_fk_l_partkey', CAST(count(*) AS BIGINT) FROM lineitem l
+    WHERE l.l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
+UNION ALL SELECT 'lineitem_fk_l_suppkey', CAST(count(*) AS BIGINT) FROM lineitem l
+    WHERE l.l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey)
+UNION ALL SELECT 'orders_not_null_o_custkey', CAST(count_if(o_custkey IS NULL) AS BIGINT) FROM orders
+UNION ALL SELECT 'orders_unique_o_orderkey', CAST(count(*) AS BIGINT) FROM
+    (SELECT 1 FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1)
+UNION ALL SELECT 'orders_fk_o_custkey', CAST(count(*) AS BIGINT) FROM orders o
+    WHERE o.o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
+""",
+)
+def constraint_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V12 + J8: NOT NULL, UNIQUE and REFERENCES checked as queries."""
+    li = T.read_table(spark, sf_dir, "lineitem")
+    orders = T.read_table(spark, sf_dir, "orders")
+    a = Q.constraint_checks(
+        li,
+        not_null=["l_orderkey", "l_partkey"],
+        unique=[["l_orderkey", "l_linenumber"]],
+        foreign_keys=[
+            ("l_orderkey", orders, "o_orderkey"),
+            ("l_partkey", T.read_table(spark, sf_dir, "part"), "p_partkey"),
+            ("l_suppkey", T.read_table(spark, sf_dir, "supplier"), "s_suppkey"),
+        ],
+        prefix="lineitem_",
+    )
+    b = Q.constraint_checks(
+        orders,
+        not_null=["o_custkey"],
+        unique=[["o_orderkey"]],
+        foreign_keys=[("o_custkey", T.read_table(spark, sf_dir, "customer"), "c_custkey")],
+        prefix="orders_",
+    )
+    return a.unionByName(b)
+
+
+@register(
+    "run_metrics",
+    """
+SELECT count(*) AS row_count,
+       count(DISTINCT user_id) AS distinct_user_id,
+       count(DISTINCT event_type) AS distinct_event_type,
+       min(ts) AS min_ts, max(ts) AS max_ts,
+       count_if(event_type = 'error') AS error_events,
+       count_if(value < 0) AS negative_values,
+       count_if(value IS NULL OR isnan(value)) / NULLIF(count(*), 0) AS null_rate_value
+FROM events
+""",
+)
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4-A8 (+ G3's shape/range/coverage profile) in one aggregate job."""
+    ev = T.read_table(spark, sf_dir, "events")
+    return P.profile(
+        ev,
+        distinct=["user_id", "event_type"],
+        min_max=["ts"],
+        conditions={
+            "error_events": F.col("event_type") == F.lit("error"),
+            "negative_values": F.col("value") < F.lit(0),
+        },
+        null_rates=["value"],
+    )
