@@ -1,0 +1,137 @@
+"""CSV extract + clean chain + warehouse load (C1, C2, S1-S4, L1-L12),
+on a synthetic country-day CSV written to a scratch folder."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import uuid
+
+import pytest
+
+from quarry.operators import quality as Q
+from quarry.operators.clean import clean_events
+from quarry.plans.pipeline import run_pipeline
+from quarry.plans.warehouse import Warehouse
+from quarry.sources.csv import MissingColumnsError, read_csv_projected
+
+RUN_TS = dt.datetime(2025, 6, 1)
+HEADER = "iso_code,continent,location,date,total_cases,new_cases,new_deaths,population"
+ROWS = [
+    "IND,Asia,India,2024-01-15,10,100,2,1",            # valid
+    ",Asia,Nowhere,2024-01-15,,5,1,1",                  # empty code -> dropped
+    "OWID_WRL,,World,2024-01-15,,1000,10,1",            # aggregate -> dropped
+    "ind,Asia,India lower,2024-01-16,,7,0,1",           # kept by clean (fails the strict format check)
+    "NaN,Africa,Namibia,2024-01-16,,4,0,1",             # 'NaN' is a missing token -> dropped
+    "USA,,United States,2024-01-15,,,,1",               # empty counts -> 0/0: staged, not a fact
+    "DEU,,Germany,2024-01-15,,-50,1,1",                 # negative -> dropped
+    "DEU,,Germany,2024-01-16,,-0.5,0,1",                # -0.5 -> 0, kept
+    "BRA,,Brazil,2024-01-15,,3.9,1,1",                  # 3.9 -> 3
+    "ARE,,UAE,2024-01-15,,20,1,1",
+    "ARE,,United Arab Emirates,2024-01-16,,30,2,1",     # one code, two names
+]
+
+
+def _csv(folder: str, rows: list[str], header: str = HEADER) -> str:
+    path = os.path.join(folder, f"data-{uuid.uuid4().hex}.csv")
+    with open(path, "w") as fh:
+        fh.write("\n".join([header, *rows]) + "\n")
+    return path
+
+
+def test_extract_projects_and_decodes(spark, scratch_dir):
+    raw = read_csv_projected(spark, _csv(scratch_dir, ROWS))
+    assert raw.columns == ["iso_code", "location", "date", "new_cases", "new_deaths"]
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<iso_code:string,location:string,date:string,new_cases:string,new_deaths:string>" in plan
+    codes = [r.iso_code for r in raw.collect()]
+    assert codes.count(None) == 2
+
+
+def test_missing_column_is_an_error(spark, scratch_dir):
+    path = _csv(scratch_dir, ["IND,India,2024-01-15,1"], header="iso_code,location,date,new_cases")
+    with pytest.raises(MissingColumnsError):
+        read_csv_projected(spark, path)
+
+
+def test_clean_chain(spark, scratch_dir):
+    obs: dict = {}
+    clean = clean_events(read_csv_projected(spark, _csv(scratch_dir, ROWS)), RUN_TS, observations=obs)
+    rows = sorted((r.iso_code, r.country, str(r.event_date.date()), r.cases, r.deaths) for r in clean.collect())
+    assert rows == [
+        ("ARE", "UAE", "2024-01-15", 20, 1),
+        ("ARE", "United Arab Emirates", "2024-01-16", 30, 2),
+        ("BRA", "Brazil", "2024-01-15", 3, 1),
+        ("DEU", "Germany", "2024-01-16", 0, 0),
+        ("IND", "India", "2024-01-15", 100, 2),
+        ("USA", "United States", "2024-01-15", 0, 0),
+        ("ind", "India lower", "2024-01-16", 7, 0),
+    ]
+    assert set(clean.columns) == {"iso_code", "country", "event_date", "cases", "deaths", "source_name", "loaded_at"}
+    counts = {k: v.get["rows"] for k, v in obs.items()}
+    assert counts == {"extract": 11, "drop_nulls": 9, "code_length": 8, "non_negative": 7}
+
+
+@pytest.mark.parametrize("bad_row", ["IND,,India,2024-01-15,,abc,1,1", "IND,,India,2024-13-45,,1,1,1"])
+def test_malformed_values_fail_the_run(spark, scratch_dir, bad_row):
+    clean = clean_events(read_csv_projected(spark, _csv(scratch_dir, [ROWS[0], bad_row])), RUN_TS)
+    with pytest.raises(Exception):
+        clean.collect()
+
+
+def test_pipeline_end_to_end_and_reruns(spark, scratch_dir):
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    path = _csv(scratch_dir, ROWS)
+    res = run_pipeline(spark, path, wh, run_ts=RUN_TS)
+    assert res.stage_rows == {"extract": 11, "drop_nulls": 9, "code_length": 8, "non_negative": 7}
+    assert res.rows_staged == 7 and res.countries == 6
+    assert (str(res.min_date), str(res.max_date)) == ("2024-01-15", "2024-01-16")
+    assert (res.new_locations, res.new_dates) == (6, 2)
+    assert res.facts_appended == 5 and res.fact_rows_total == 5 and res.staging_unmatched == 0
+
+    locs = {r.iso_code: (r.location_id, r.country) for r in wh.table("dim_location").collect()}
+    # ids in code order; the first (smallest) name wins for a code with two names
+    assert locs == {
+        "ARE": (1, "UAE"), "BRA": (2, "Brazil"), "DEU": (3, "Germany"),
+        "IND": (4, "India"), "USA": (5, "United States"), "ind": (6, "India lower"),
+    }
+    dates = sorted((r.date_id, str(r.full_date), r.week, r.day_of_week) for r in wh.table("dim_date").collect())
+    assert dates == [(1, "2024-01-15", 3, "Monday"), (2, "2024-01-16", 3, "Tuesday")]
+    facts = wh.table("fact_health_events").collect()
+    assert sorted((r.location_id, r.cases, r.deaths, r.disease_id, r.source_id, r.recovered) for r in facts) == [
+        (1, 20, 1, 1, 1, 0), (1, 30, 2, 1, 1, 0), (2, 3, 1, 1, 1, 0), (4, 100, 2, 1, 1, 0), (6, 7, 0, 1, 1, 0),
+    ]
+    assert len({r.event_id for r in facts}) == 5
+    assert {r.loaded_at for r in facts} == {RUN_TS}
+
+    # rerun as coded: dims unchanged, every fact appended again (no unique key)
+    res2 = run_pipeline(spark, path, wh, run_ts=RUN_TS)
+    assert (res2.new_locations, res2.new_dates) == (0, 0)
+    assert res2.fact_rows_total == 10
+    ids = [r.event_id for r in wh.table("fact_health_events").collect()]
+    assert len(set(ids)) == 10
+
+    # rerun as intended: nothing new to insert
+    res3 = run_pipeline(spark, path, wh, run_ts=RUN_TS, on_conflict="ignore")
+    assert res3.facts_appended == 0 and res3.fact_rows_total == 10
+
+
+def test_gate_failure_writes_nothing(spark, scratch_dir):
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    path = _csv(scratch_dir, [ROWS[0], "USA,,United States,2030-01-01,,5,0,1"])
+    with pytest.raises(Q.QualityGateError, match="gate_future_dates"):
+        run_pipeline(spark, path, wh, run_ts=RUN_TS)
+    assert wh.count("staging_health_events") == 0
+    assert wh.count("fact_health_events") == 0
+
+
+def test_warehouse_publish_swaps_versions(spark):
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    wh.create()
+    v1 = wh.current_version("dim_source")
+    df = spark.createDataFrame([(1, "WHO", "https://www.who.int/data", "Daily")], wh.table("dim_source").schema)
+    # reading the table while publishing its next version is safe
+    wh.publish({"dim_source": wh.table("dim_source").unionByName(df)})
+    assert wh.current_version("dim_source") == v1 + 1
+    assert wh.count("dim_source") == 1
+    assert wh.vacuum("dim_source", keep=1) == [v1]
