@@ -39,6 +39,27 @@ def build_session(
     return spark
 
 
+def cluster_conf(target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings the library assumes on a large cluster (pass them to the
+    session builder or spark-submit).  Shuffle partitions start high and AQE
+    coalesces them to ~``target_partition_mb`` each, so the same jobs fit at
+    any scale; skewed join partitions are split at run time; file splits are
+    sized so a scan task reads about one target partition."""
+    mb = f"{target_partition_mb}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": mb,
+        "spark.sql.shuffle.partitions": "20000",
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting it on the context if
     needed.

@@ -132,3 +132,39 @@ def country_day_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("units") / F.lit(2.0)).cast("string").alias("new_cases"),
         F.col("lost").cast("string").alias("new_deaths"),
     )
+
+
+def supplier_day_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A finer raw extract for the end-to-end pipeline benchmark: one report
+    per (supplier, ship day), i.e. about one row per two line items.  The
+    three-letter code is the supplier key written in base 26 (A-Z), the
+    location is the supplier name; counts follow ``country_day_reports``."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
+    )
+    supplier = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_name")
+    )
+    returned = F.col("l_returnflag") == "R"
+    per_day = li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("ship_day")).agg(
+        F.sum(
+            F.when(returned, -F.col("l_quantity"))
+            .when(F.col("l_linestatus") == "O", F.col("l_quantity"))
+            .otherwise(F.lit(0.0))
+        ).alias("units"),
+        F.sum(
+            F.when(returned, (F.col("l_quantity") * F.col("l_discount")).cast("decimal(18,2)"))
+        ).alias("lost"),
+    )
+    code = F.concat(
+        F.expr("chr(65 + CAST(pmod(l_suppkey DIV 676, 26) AS INT))"),
+        F.expr("chr(65 + CAST(pmod(l_suppkey DIV 26, 26) AS INT))"),
+        F.expr("chr(65 + CAST(pmod(l_suppkey, 26) AS INT))"),
+    )
+    return per_day.join(supplier, "l_suppkey").select(
+        code.alias("iso_code"),
+        F.col("s_name").alias("location"),
+        F.date_format("ship_day", "yyyy-MM-dd").alias("date"),
+        (F.col("units") / F.lit(2.0)).cast("string").alias("new_cases"),
+        F.col("lost").cast("string").alias("new_deaths"),
+    )
