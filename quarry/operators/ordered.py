@@ -142,10 +142,11 @@ def rank_and_lag(
     if split.hot_groups == 0:
         w_rank = Window.partitionBy(*partition_cols).orderBy(key)
         w_lag = Window.partitionBy(*partition_cols).orderBy(key, *ties)
-        return df.select(
-            "*",
-            F.rank().over(w_rank).cast("bigint").alias(rank_alias),
-            F.lag(o).over(w_lag).alias(lag_alias),
+        # LAG's window (the longer sort key) is planned first; RANK's ordering
+        # is a prefix of it, so both windows share one exchange and one sort.
+        with_lag = df.withColumn(lag_alias, F.lag(o).over(w_lag))
+        return with_lag.withColumn(rank_alias, F.rank().over(w_rank).cast("bigint")).select(
+            *df.columns, rank_alias, lag_alias
         )
 
     keys2 = [*partition_cols, _B]
