@@ -30,6 +30,7 @@ DEFAULT_MAX_GROUP_ROWS = 4_000_000
 DEFAULT_BUCKETS = 64
 # At most this many hot-group summary rows are broadcast; beyond, shuffle join.
 MAX_BROADCAST_SUMMARY_ROWS = 2_000_000
+MAX_HOT_GROUPS = 100_000
 
 _B = "_q_bucket"
 _BOUNDS = "_q_bounds"
@@ -61,18 +62,26 @@ def _split_hot_groups(
     its dimension joins.  Any boundaries give correct results; good ones only
     balance the tasks."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     src = df if probe is None else probe
-    hot = (
+    # At most rows/max_group_rows groups can be hot.  Up to MAX_HOT_GROUPS of
+    # them come back as a small list in one job; beyond that the list stays
+    # in Spark (checkpointed) and every join with it is a shuffle join.
+    hot_df = (
         src.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_q_n"))
         .where(F.col("_q_n") > F.lit(max_group_rows))
         .select(*keys)
-        .checkpoint(eager=True)
     )
-    hot_groups = hot.count()
-    if hot_groups == 0:
+    hot_rows = hot_df.limit(MAX_HOT_GROUPS + 1).collect()
+    if not hot_rows:
         return _Split(df.withColumn(_B, F.lit(0)), 0)
+    ensure_checkpoint_dir(spark)
+    if len(hot_rows) <= MAX_HOT_GROUPS:
+        hot = spark.createDataFrame(hot_rows, hot_df.schema)
+        hot_groups = len(hot_rows)
+    else:
+        hot = hot_df.checkpoint(eager=True)
+        hot_groups = hot.count()
 
     probs = [i / buckets for i in range(1, buckets)]
     hot_side = F.broadcast(hot) if hot_groups * (buckets + 2) <= MAX_BROADCAST_SUMMARY_ROWS else hot

@@ -21,7 +21,6 @@ from quarry.operators import clean as C
 from quarry.operators import facts as F_
 from quarry.operators import keys as K
 from quarry.operators import merge as M
-from quarry.operators.joins import bounded_broadcast
 from quarry.operators import profile as P
 from quarry.operators import quality as Q
 from quarry.session import ensure_checkpoint_dir
@@ -586,7 +585,7 @@ def _customer_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     )
     incoming = (
         customer.join(orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
-        .join(bounded_broadcast(geo, 10_000), "c_nationkey")
+        .join(geo, "c_nationkey")
         .select("c_custkey", "c_name", "nation", "region")
     )
     return existing, incoming

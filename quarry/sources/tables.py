@@ -18,16 +18,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import bounded_broadcast
-
-# nation and region have a fixed row count at every scale factor
-_SMALL_DIM_ROWS = 10_000
+# Joins here carry no broadcast hints: nation and region are tiny Parquet
+# tables whose file-size statistics let the planner broadcast them on its own,
+# while customer, supplier, part and orders grow with the data and are joined
+# by shuffle unless AQE measures them small at run time.
+
+
+# The input tables' schemas.  Declaring them skips schema
+# inference from file footers at every read.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Full scan of one driver table (S5); projection and filters applied
-    later are pushed into the Parquet scan by Catalyst."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Full scan of one driver table (S5) with its declared schema; projection
+    and filters applied later are pushed into the Parquet scan by Catalyst."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,24 +74,22 @@ def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation x region: country and continent per nation key (25 rows at every
-    scale, broadcast after a size check)."""
+    """Nation x region: country and continent per nation key."""
     nation = read_table(spark, sf_dir, "nation").select(
         "n_nationkey", F.col("n_name").alias("country"), "n_regionkey"
     )
     region = read_table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("continent")
     )
-    return nation.join(bounded_broadcast(region, _SMALL_DIM_ROWS), "n_regionkey")
+    return nation.join(region, "n_regionkey")
 
 
 def customer_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer -> (country, continent).  customer grows with the data, so it
-    is joined by shuffle; the nation/region side is bounded and broadcast."""
+    """customer -> (country, continent)."""
     customer = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
     )
-    return customer.join(bounded_broadcast(locations(spark, sf_dir), _SMALL_DIM_ROWS), "n_nationkey")
+    return customer.join(locations(spark, sf_dir), "n_nationkey")
 
 
 def diseases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +118,9 @@ def country_day_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    geo = nation.join(
-        bounded_broadcast(region, _SMALL_DIM_ROWS), nation.n_regionkey == region.r_regionkey
-    ).select("n_nationkey", "n_name", "n_regionkey", "r_name")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", "n_regionkey", "r_name"
+    )
     returned = F.col("l_returnflag") == "R"
     per_day = (
         li.join(supplier, "l_suppkey")
@@ -125,7 +147,7 @@ def country_day_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return per_day.join(bounded_broadcast(geo, _SMALL_DIM_ROWS), "n_nationkey").select(
+    return per_day.join(geo, "n_nationkey").select(
         code.cast("string").alias("iso_code"),
         F.col("n_name").alias("location"),
         F.date_format("ship_day", "yyyy-MM-dd").alias("date"),
