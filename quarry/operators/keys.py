@@ -4,8 +4,8 @@ Dimensions: dense ids ``base+1, base+2, ...`` in the order of a natural key,
 assigned without a global window (which would pull every row into one task):
 rows are range-partitioned and sorted on the key, each partition numbers its
 rows locally, and a tiny per-partition count table gives each partition its
-offset.  The numbered frame is checkpointed first so the ids can never change
-on re-evaluation.
+offset.  The numbered frame is materialised first (written once to the
+checkpoint folder) so the ids can never change on re-evaluation.
 
 Facts: ids only need to be unique and above the previous high-water mark, so
 ``monotonically_increasing_id`` is enough (gaps allowed, as with SERIAL)."""
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 
 
 def max_id(existing: DataFrame | None, id_col: str) -> int:
@@ -39,7 +39,6 @@ def assign_keys(
     ``order_cols`` (ascending, NULLs last).  ``order_cols`` should be unique
     for the ids to be reproducible."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in order_cols]
     numbered = (
@@ -49,8 +48,8 @@ def assign_keys(
         # the lower 33 bits of monotonically_increasing_id are the row's
         # position inside its partition, which here follows the sort order
         .withColumn("_q_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .checkpoint(eager=True)
     )
+    numbered = materialize(numbered, "keys")
     counts = numbered.groupBy("_q_pid").agg(F.count(F.lit(1)).alias("_q_n"))
     # one row per partition: a window over it is bounded by the partition count
     before = Window.orderBy("_q_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import epoch_micros, minutes_between
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 
 # Rows a single window task may own before its group is split.
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
@@ -65,7 +65,7 @@ def _split_hot_groups(
     src = df if probe is None else probe
     # At most rows/max_group_rows groups can be hot.  Up to MAX_HOT_GROUPS of
     # them come back as a small list in one job; beyond that the list stays
-    # in Spark (checkpointed) and every join with it is a shuffle join.
+    # in Spark (materialised) and every join with it is a shuffle join.
     hot_df = (
         src.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_q_n"))
@@ -75,12 +75,11 @@ def _split_hot_groups(
     hot_rows = hot_df.limit(MAX_HOT_GROUPS + 1).collect()
     if not hot_rows:
         return _Split(df.withColumn(_B, F.lit(0)), 0)
-    ensure_checkpoint_dir(spark)
     if len(hot_rows) <= MAX_HOT_GROUPS:
         hot = spark.createDataFrame(hot_rows, hot_df.schema)
         hot_groups = len(hot_rows)
     else:
-        hot = hot_df.checkpoint(eager=True)
+        hot = materialize(hot_df, "hot-groups")
         hot_groups = hot.count()
 
     probs = [i / buckets for i in range(1, buckets)]
@@ -90,8 +89,8 @@ def _split_hot_groups(
         .join(hot_side, list(keys), "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx("_q_ord", probs, 10_000).alias(_BOUNDS))
-        .checkpoint(eager=True)
     )
+    bounds = materialize(bounds, "bounds")
     bounds_side = F.broadcast(bounds) if hot_groups * (buckets + 2) <= MAX_BROADCAST_SUMMARY_ROWS else bounds
     o = order_num
     if descending:

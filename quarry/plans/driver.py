@@ -23,7 +23,7 @@ from quarry.operators import keys as K
 from quarry.operators import merge as M
 from quarry.operators import profile as P
 from quarry.operators import quality as Q
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 from quarry.sources import tables as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -404,11 +404,10 @@ def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging as the pipeline has it after L1: materialised once (a reliable
-    checkpoint, i.e. a written table), then read by every later step instead
-    of re-deriving it from lineitem for each dimension and the facts."""
-    ensure_checkpoint_dir(spark)
-    return _staging(spark, sf_dir).checkpoint(eager=True)
+    """Staging as the pipeline has it after L1: written once (to the
+    checkpoint folder), then read by every later step instead of re-deriving
+    it from lineitem for each dimension and the facts."""
+    return materialize(_staging(spark, sf_dir), "staging")
 
 
 def _dim_date(staging: DataFrame) -> DataFrame:
@@ -465,14 +464,14 @@ def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5 + A9 + L4: distinct staging dates with calendar attributes and dense
     surrogate keys in date order."""
-    return _dim_date(_staging(spark, sf_dir))
+    return _dim_date(_staged(spark, sf_dir))
 
 
 @register("dim_location_load", f"WITH {_RAW_CTE} SELECT * FROM dl")
 def dim_location_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2: insert-new-only location load from staging (first country per code
     wins, deterministically the smallest)."""
-    return _dim_location(_staging(spark, sf_dir))
+    return _dim_location(_staged(spark, sf_dir))
 
 
 @register(
@@ -875,3 +874,64 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
         null_rates=["value"],
     )
+
+
+# ==========================================================================
+# Further single-operator queries
+# ==========================================================================
+
+
+@register(
+    "date_dimension_padded",
+    """
+SELECT CAST(row_number() OVER (ORDER BY full_date) AS BIGINT) AS date_id, full_date,
+       CAST(year(full_date) AS INTEGER) AS year,
+       CAST(quarter(full_date) AS INTEGER) AS quarter,
+       CAST(month(full_date) AS INTEGER) AS month,
+       rpad(strftime(full_date, '%B'), 9, ' ') AS month_name,
+       CAST(weekofyear(full_date) AS INTEGER) AS week,
+       rpad(strftime(full_date, '%A'), 9, ' ') AS day_of_week
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders WHERE o_orderdate IS NOT NULL)
+""",
+)
+def date_dimension_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 with the loader's ``TO_CHAR`` blank-padded month and day names (D13),
+    over every order date."""
+    orders = T.read_table(spark, sf_dir, "orders").select("o_orderdate")
+    rows = Cal.calendar_rows(orders, "o_orderdate", pad_names=True)
+    return K.assign_keys(rows, "date_id", ["full_date"]).select(*SC.DIM_DATE.fieldNames())
+
+
+@register(
+    "staging_unmatched",
+    f"""
+WITH {_RAW_CTE},
+first_dates AS (SELECT DISTINCT CAST(event_date AS DATE) AS d FROM staging
+                WHERE event_date < {FIRST_LOAD_BEFORE_SQL}),
+first_codes AS (SELECT DISTINCT iso_code FROM staging WHERE event_date < {FIRST_LOAD_BEFORE_SQL})
+SELECT DISTINCT * FROM staging s
+WHERE CAST(s.event_date AS DATE) NOT IN (SELECT d FROM first_dates)
+   OR s.iso_code NOT IN (SELECT iso_code FROM first_codes)
+""",
+)
+def staging_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging rows the fact joins would silently drop, against
+    dimensions that hold only what a first load (before 1998) created."""
+    staging = _staged(spark, sf_dir)
+    first = staging.where(F.col("event_date") < F.lit(FIRST_LOAD_BEFORE))
+    return F_.unmatched_staging(staging, _dim_date(first), _dim_location(first)).select(
+        *SC.STAGING.fieldNames()
+    )
+
+
+@register(
+    "negative_sample",
+    """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal < 0 ORDER BY c_custkey LIMIT 5
+""",
+)
+def negative_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five offending rows of a failed no-negatives check
+    (the limit is the feature: a sample for the report)."""
+    customer = T.read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return Q.negative_sample(customer, "c_acctbal", ["c_custkey"])

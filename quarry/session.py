@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -77,3 +78,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+    """Cut lineage by writing ``df`` once as Parquet under the checkpoint
+    folder (shared storage on a cluster) and reading it back.
+
+    Unlike an eager ``checkpoint()``, which runs the plan once to count and
+    again to write the checkpoint files, this computes the input exactly
+    once; the read-back frame also carries file-size statistics, so the
+    planner can size later joins.  If an executor is lost afterwards, the
+    data is re-read from shared storage, never recomputed."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/quarry-{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
