@@ -106,10 +106,25 @@ def load_facts(
     if on_conflict == "ignore":
         out = first_per_key(out, natural_key)
         if existing is not None:
-            out = out.join(existing.select(*natural_key), list(natural_key), "left_anti")
-    return assign_fact_ids(out.select(*FACT_COLUMNS), id_col, max_id(existing, id_col)).select(
-        id_col, *FACT_COLUMNS
-    )
+            out = out.join(_conflict_candidates(existing, out, natural_key), list(natural_key), "left_anti")
+    with_ids = assign_fact_ids(out.select(*FACT_COLUMNS), id_col, max_id(existing, id_col))
+    # rows of a file sorted by (date, location): Parquet row groups then carry
+    # tight min/max ranges, so date predicates skip most of the table
+    return with_ids.select(id_col, *FACT_COLUMNS).sortWithinPartitions("date_id", "location_id")
+
+
+def _conflict_candidates(existing: DataFrame, batch: DataFrame, natural_key: Sequence[str]) -> DataFrame:
+    """Existing natural keys that could collide with the batch: only those in
+    the batch's date_id range.  The range predicate reaches the Parquet scan
+    (row groups outside it are skipped), so an incremental load reads and
+    shuffles the facts of its own days, not the whole history."""
+    keys = existing.select(*natural_key)
+    if "date_id" not in natural_key:
+        return keys
+    lo, hi = batch.agg(F.min("date_id"), F.max("date_id")).first()
+    if lo is None:
+        return keys.limit(0)
+    return keys.where(F.col("date_id").between(F.lit(lo), F.lit(hi)))
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -123,13 +124,21 @@ def load_clean(
         F.lit(None).cast("string").alias("region"),
         F.lit(None).cast("string").alias("continent"),
     )
-    new_loc = new_rows(warehouse.table("dim_location"), loc_incoming, ["iso_code"], "location_id")
-    new_dates = new_rows(
-        warehouse.table("dim_date"),
-        calendar_rows(staging, "event_date", pad_names=pad_names),
-        ["full_date"],
-        "date_id",
-    )
+    # The two dimensions are independent: their jobs are submitted from two
+    # driver threads and run side by side; both are appended only after both
+    # succeeded (each new-row set is already materialised by assign_keys).
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        loc_future = pool.submit(
+            new_rows, warehouse.table("dim_location"), loc_incoming, ["iso_code"], "location_id"
+        )
+        date_future = pool.submit(
+            new_rows,
+            warehouse.table("dim_date"),
+            calendar_rows(staging, "event_date", pad_names=pad_names),
+            ["full_date"],
+            "date_id",
+        )
+        new_loc, new_dates = loc_future.result(), date_future.result()
     n_loc, n_dates = new_loc.count(), new_dates.count()
     warehouse.append("dim_location", new_loc)
     warehouse.append("dim_date", new_dates)

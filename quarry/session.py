@@ -93,4 +93,4 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/quarry-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
