@@ -288,6 +288,19 @@ def run_checks(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     return out.orderBy("ordinal").drop("ordinal")
 
 
+# The status tags of a rendered result line.
+PASS_TAG = "PASS ✓"
+FAIL_TAG = "FAIL ✗"
+
+
+def render(results: DataFrame) -> DataFrame:
+    """V7: add ``line`` = ``[PASS ✓] name: message`` / ``[FAIL ✗] ...``."""
+    tag = F.when(F.col("passed"), F.lit(PASS_TAG)).otherwise(F.lit(FAIL_TAG))
+    return results.withColumn(
+        "line", F.format_string("[%s] %s: %s", tag, F.col("check_name"), F.col("message"))
+    )
+
+
 def summarize(results: DataFrame) -> tuple[bool, list[Row]]:
     """Collect the (few) result rows: ``(all passed, rows)``."""
     rows = results.collect()

@@ -123,3 +123,18 @@ class Warehouse:
         for v in old:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._physical(name, v)}")
         return old
+
+
+def write_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    mode: str = "overwrite",
+    batchsize: int = 1000,
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """L1 into an external database instead of the catalog: replace (or
+    append to) ``table`` with multi-row batches of ``batchsize``, one
+    connection per task.  Needs the database's JDBC driver on the classpath;
+    credentials come from ``properties`` (never hard-coded)."""
+    df.write.jdbc(url, table, mode=mode, properties={"batchsize": str(batchsize), **(properties or {})})

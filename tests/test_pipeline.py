@@ -135,3 +135,9 @@ def test_warehouse_publish_swaps_versions(spark):
     assert wh.current_version("dim_source") == v1 + 1
     assert wh.count("dim_source") == 1
     assert wh.vacuum("dim_source", keep=1) == [v1]
+
+
+def test_recency_filter_keeps_last_n_days(spark, scratch_dir):
+    rows = ["IND,,India,2025-05-01,,1,0,1", "IND,,India,2025-03-01,,1,0,1"]
+    clean = clean_events(read_csv_projected(spark, _csv(scratch_dir, rows)), RUN_TS, since_days=90)
+    assert [str(r.event_date.date()) for r in clean.collect()] == ["2025-05-01"]

@@ -165,3 +165,11 @@ def test_constraint_checks(spark):
     assert out == {"not_null_id": 1, "unique_id": 1}
     fk = Q.constraint_checks(fact, foreign_keys=[("fk", dim, "id")]).collect()
     assert fk[0].violations == 1
+
+
+def test_render_result_lines(spark, bad):
+    rows = Q.render(Q.run_checks(bad, [Q.not_empty(bad, 100), Q.required_columns(bad)])).collect()
+    assert [r.line for r in rows] == [
+        "[FAIL ✗] not_empty: DataFrame has 5 rows (minimum: 100)",
+        "[PASS ✓] required_columns: All required columns present",
+    ]
