@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.dates import epoch_micros, minutes_between
 from quarry.session import materialize
@@ -215,8 +216,9 @@ def sessionize(
     def flag(gap: Column) -> Column:
         return F.when((gap > thr) | gap.isNull(), F.lit(1)).otherwise(F.lit(0))
 
+    ntz = isinstance(df.schema[ts_col].dataType, T.TimestampNTZType)
     split = _split_hot_groups(
-        df, user_cols, epoch_micros(ts), False, False, max_group_rows, buckets, probe
+        df, user_cols, epoch_micros(ts, ntz=ntz), False, False, max_group_rows, buckets, probe
     )
     if split.hot_groups == 0:
         w_lag = Window.partitionBy(*user_cols).orderBy(key, *ties)

@@ -76,3 +76,17 @@ def test_sessionize_reference_fixture(spark):
     assert out[9] == (30.0, 1)
     assert out[10][1] == 2 and out[11][1] == 2 and out[11][0] == 0.0
     assert out[12] == (None, 3)
+
+
+def test_sessionize_ntz_gaps_ignore_session_time_zone(spark):
+    # wall-clock gaps of TIMESTAMP_NTZ events across a daylight-saving change
+    rows = [(1, dt.datetime(2024, 3, 10, 1, 30), 1), (1, dt.datetime(2024, 3, 10, 3, 30), 2)]
+    df = spark.createDataFrame(rows, "u int, ts timestamp_ntz, k int")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        plain = {r.k: (r.gap_minutes, r.session_id) for r in sessionize(df, ["u"], "ts", 30, ["k"]).collect()}
+        hot = {r.k: (r.gap_minutes, r.session_id) for r in sessionize(df, ["u"], "ts", 30, ["k"], max_group_rows=1, buckets=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert plain == hot == {1: (None, 1), 2: (120.0, 2)}
