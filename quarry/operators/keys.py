@@ -38,11 +38,13 @@ def assign_keys(
     """Add ``id_col`` = ``start_after + 1 .. start_after + n`` following
     ``order_cols`` (ascending, NULLs last).  ``order_cols`` should be unique
     for the ids to be reproducible."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in order_cols]
+    # Without an explicit count AQE sizes the range partitions; coalescing
+    # only merges adjacent ranges, in order, so partition ids still follow
+    # the key order.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     numbered = (
-        df.repartitionByRange(n, *order)
+        ranged
         .sortWithinPartitions(*order)
         .withColumn("_q_pid", F.spark_partition_id())
         # the lower 33 bits of monotonically_increasing_id are the row's

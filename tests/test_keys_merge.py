@@ -70,3 +70,15 @@ def test_upsert_rejects_duplicate_keys_in_batch(spark):
     incoming = spark.createDataFrame([("A", None, None, "AAA"), ("B", None, None, "AAA")], "country string, region string, continent string, iso_code string")
     with pytest.raises(DuplicateKeyError):
         upsert(existing, incoming, ["iso_code"], ["region"], "location_id")
+
+
+def test_assign_keys_with_adaptive_range_partitions(spark):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("k")).repartition(11)
+        out = assign_keys(df, "kid", ["k"])
+        rows = sorted((r.k, r.kid) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert [kid for _, kid in rows] == list(range(1, 3001))
