@@ -935,3 +935,105 @@ def negative_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     (the limit is the feature: a sample for the report)."""
     customer = T.read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     return Q.negative_sample(customer, "c_acctbal", ["c_custkey"])
+
+
+# One query per check (V3, V4, V6, V8, V9, V10), each on a whole table.
+
+ORDERS_NOW = dt.datetime(1998, 1, 1)
+
+
+def _one_check_sql(name: str, passed: str, metric: str, threshold: str, source: str) -> str:
+    return (
+        f"SELECT '{name}' AS check_name, {passed} AS passed, CAST({metric} AS DOUBLE) AS metric, "
+        f"CAST({threshold} AS DOUBLE) AS threshold FROM ({source})"
+    )
+
+
+@register(
+    "null_rate",
+    _one_check_sql(
+        "null_rate_o_orderpriority",
+        f"{_rate('nulls', 'n', '1.0')} <= 0.05",
+        _rate("nulls", "n", "1.0"),
+        "0.05",
+        "SELECT count(*) AS n, count_if(NULLIF(o_orderpriority, '5-LOW') IS NULL) AS nulls FROM orders",
+    ),
+)
+def null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3 on orders, with a NULL path injected by NULLIF."""
+    o = T.read_table(spark, sf_dir, "orders").select(
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority")
+    )
+    return Q.run_checks(o, [Q.null_rate(o, "o_orderpriority", 0.05)]).select(*_CHECK_COLS)
+
+
+@register(
+    "negatives",
+    _one_check_sql(
+        "no_negatives_c_acctbal", "neg = 0", "neg", "0",
+        "SELECT count_if(c_acctbal < 0) AS neg FROM customer",
+    ),
+)
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 on customer balances."""
+    c = T.read_table(spark, sf_dir, "customer").select("c_acctbal")
+    return Q.run_checks(c, [Q.no_negatives(c, "c_acctbal")]).select(*_CHECK_COLS)
+
+
+@register(
+    "date_range",
+    _one_check_sql(
+        "date_range", "future = 0", "future", "1",
+        "SELECT count_if(o_orderdate > TIMESTAMP '1998-01-01 00:00:00' + INTERVAL 1 DAY) AS future FROM orders",
+    ),
+)
+def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 on order dates with an injected clock."""
+    o = T.read_table(spark, sf_dir, "orders").select("o_orderdate")
+    return Q.run_checks(o, [Q.date_range(o, "o_orderdate", ORDERS_NOW, 1)]).select(*_CHECK_COLS)
+
+
+@register(
+    "code_format",
+    _one_check_sql(
+        "priority_code_format", "bad = 0", "bad", "0",
+        "SELECT count_if(NOT coalesce(regexp_full_match(upper(split_part(substr(o_orderpriority, 3), ' ', 1)), "
+        "'[A-Z]{3}'), false)) AS bad FROM orders",
+    ),
+)
+def code_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8 on a code derived from the order priority (its first word)."""
+    o = T.read_table(spark, sf_dir, "orders").select(
+        F.upper(F.split_part(F.substring("o_orderpriority", 3, 1 << 20), F.lit(" "), F.lit(1))).alias("code")
+    )
+    return Q.run_checks(o, [Q.code_format(o, "code", name="priority_code_format")]).select(*_CHECK_COLS)
+
+
+@register(
+    "duplicates",
+    _one_check_sql(
+        "unique_combinations",
+        f"{_rate('dups', 'rows', '0.0')} <= 0.01",
+        _rate("dups", "rows", "0.0"),
+        "0.01",
+        "SELECT coalesce(sum(k), 0) AS rows, coalesce(sum(k - 1), 0) AS dups "
+        "FROM (SELECT count(*) AS k FROM orders GROUP BY o_custkey, o_orderdate)",
+    ),
+)
+def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9 / A10: rows beyond the first per (customer, order date)."""
+    o = T.read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    return Q.run_checks(o, [Q.unique_combinations(o, ["o_custkey", "o_orderdate"], 0.01)]).select(*_CHECK_COLS)
+
+
+@register(
+    "coverage",
+    _one_check_sql(
+        "supplier_coverage", "n >= 50", "n", "50",
+        "SELECT count(DISTINCT l_suppkey) AS n FROM lineitem",
+    ),
+)
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct suppliers seen in lineitem."""
+    li = T.read_table(spark, sf_dir, "lineitem").select("l_suppkey")
+    return Q.run_checks(li, [Q.coverage(li, "l_suppkey", 50, name="supplier_coverage")]).select(*_CHECK_COLS)
