@@ -119,12 +119,14 @@ def _conflict_candidates(existing: DataFrame, batch: DataFrame, natural_key: Seq
     (row groups outside it are skipped), so an incremental load reads and
     shuffles the facts of its own days, not the whole history."""
     keys = existing.select(*natural_key)
-    if "date_id" not in natural_key:
-        return keys
-    lo, hi = batch.agg(F.min("date_id"), F.max("date_id")).first()
-    if lo is None:
-        return keys.limit(0)
-    return keys.where(F.col("date_id").between(F.lit(lo), F.lit(hi)))
+    if "date_id" in natural_key:
+        lo, hi = batch.agg(F.min("date_id"), F.max("date_id")).first()
+        if lo is None:
+            return keys.limit(0)
+        keys = keys.where(F.col("date_id").between(F.lit(lo), F.lit(hi)))
+    # appended history can repeat a key many times; de-duplicate map-side so
+    # a hot key on the anti join's lookup side does not land in one task
+    return keys.distinct()
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = None) -> DataFrame:
@@ -133,5 +135,5 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = None)
     return (
         fact.where(F.col(fk).isNotNull())
         .select(F.col(fk).alias("_q_fk"))
-        .join(dim.select(F.col(pk).alias("_q_fk")), "_q_fk", "left_anti")
+        .join(dim.select(F.col(pk).alias("_q_fk")).distinct(), "_q_fk", "left_anti")
     )

@@ -470,7 +470,7 @@ def constraint_checks(
         orphans = (
             df.where(F.col(fk).isNotNull())
             .select(F.col(fk).alias("_q_k"))
-            .join(ref.select(F.col(pk).alias("_q_k")), "_q_k", "left_anti")
+            .join(ref.select(F.col(pk).alias("_q_k")).distinct(), "_q_k", "left_anti")
             .agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
         )
         parts.append(orphans.select(F.lit(f"{prefix}fk_{fk}").alias("check_name"), "violations"))
