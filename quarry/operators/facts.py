@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import ts_literal
@@ -48,19 +48,24 @@ def build_facts(
     source_id: int = 1,
     loaded_at: dt.datetime | None = None,
     max_dim_rows: int = DEFAULT_BROADCAST_ROWS,
+    matched: Observation | None = None,
 ) -> DataFrame:
     """``SELECT date_id, location_id, <disease>, <source>, cases, deaths,
     loaded_at FROM staging JOIN dim_date ON full_date = event_date::DATE JOIN
     dim_location USING (iso_code) WHERE cases > 0 OR deaths > 0``.
 
-    Staging rows without a matching date or location drop out (J5); count
-    them with ``unmatched_staging``.  ``recovered`` takes its default 0 and
+    Staging rows without a matching date or location drop out (J5); list
+    them with ``unmatched_staging`` or count them through ``matched``.  ``recovered`` takes its default 0 and
     ``loaded_at`` the staging value unless a run timestamp is given (L9).
     Counts are cast to INT as the fact columns are; an oversize value
     raises under ANSI rather than wrapping."""
-    keyed = _keyed(staging, dim_date, dim_location, max_dim_rows).where(
-        (F.col("cases") > 0) | (F.col("deaths") > 0)
-    )
+    keyed = _keyed(staging, dim_date, dim_location, max_dim_rows)
+    if matched is not None:
+        # rows that found both dimensions, counted by whatever action runs
+        # the load (dimension keys are unique, so staging rows minus this
+        # count is the number of rows the joins dropped)
+        keyed = keyed.observe(matched, F.count(F.lit(1)).alias("rows"))
+    keyed = keyed.where((F.col("cases") > 0) | (F.col("deaths") > 0))
     stamp = ts_literal(loaded_at) if loaded_at else F.col("loaded_at")
     return keyed.select(
         F.col("date_id").cast("bigint"),

@@ -15,13 +15,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import quality as Q
 from quarry.operators.calendar import calendar_rows
 from quarry.operators.clean import clean_events
-from quarry.operators.facts import build_facts, load_facts, unmatched_staging
+from quarry.operators.facts import build_facts, load_facts
 from quarry.operators.merge import new_rows
 from quarry.operators.profile import observed_counts
 from quarry.plans.warehouse import Warehouse
@@ -145,13 +145,17 @@ def load_clean(
     t = lap("load_dimensions", t)
 
     # facts
+    # T13 and the appended count come from observations on the load itself,
+    # so no extra pass over staging or the fact table is needed
     dd, dl = warehouse.table("dim_date"), warehouse.table("dim_location")
-    unmatched = unmatched_staging(staging, dd, dl).count()
-    facts = build_facts(staging, dd, dl, disease_id=disease_id, source_id=source_id)
-    to_append = load_facts(facts, warehouse.table("fact_health_events"), on_conflict)
+    matched, appended = Observation("facts_matched"), Observation("facts_appended")
+    facts = build_facts(staging, dd, dl, disease_id=disease_id, source_id=source_id, matched=matched)
     before = warehouse.count("fact_health_events")
-    warehouse.append("fact_health_events", to_append)
-    total = warehouse.count("fact_health_events")
+    to_append = load_facts(facts, warehouse.table("fact_health_events"), on_conflict)
+    warehouse.append("fact_health_events", to_append.observe(appended, F.count(F.lit(1)).alias("rows")))
+    n_appended = int(appended.get.get("rows", 0))
+    unmatched = int(prof["rows"]) - int(matched.get.get("rows", 0))
+    total = before + n_appended
     lap("load_facts", t)
 
     return PipelineResult(
@@ -162,7 +166,7 @@ def load_clean(
         max_date=prof["max_date"],
         new_locations=n_loc,
         new_dates=n_dates,
-        facts_appended=total - before,
+        facts_appended=n_appended,
         fact_rows_total=total,
         staging_unmatched=unmatched,
         gate_results=gate_rows,
