@@ -29,7 +29,7 @@ from quarry.sources.csv import read_csv_projected
 
 
 @dataclass
-class PipelineResult:
+class EltResult:
     stage_rows: dict[str, int]
     rows_staged: int
     countries: int
@@ -44,7 +44,7 @@ class PipelineResult:
     timings: dict[str, float] = field(default_factory=dict)
 
 
-def run_pipeline(
+def run_elt(
     spark: SparkSession,
     csv_path: str | Sequence[str],
     warehouse: Warehouse,
@@ -54,7 +54,7 @@ def run_pipeline(
     disease_id: int = 1,
     source_id: int = 1,
     pad_names: bool = False,
-) -> PipelineResult:
+) -> EltResult:
     """Run the whole load.  Raises ``QualityGateError`` before any write when
     the gate fails (G2).  ``on_conflict="append"`` reproduces the reference
     (a rerun duplicates facts); ``"ignore"`` makes reruns idempotent."""
@@ -89,7 +89,7 @@ def load_clean(
     source_id: int = 1,
     pad_names: bool = False,
     observations: dict | None = None,
-) -> PipelineResult:
+) -> EltResult:
     """Gate a cleaned frame, then replace staging with it and load the
     dimensions and facts from staging.  Shared by the batch run and by each
     micro-batch of the streaming ingest."""
@@ -158,7 +158,7 @@ def load_clean(
     total = before + n_appended
     lap("load_facts", t)
 
-    return PipelineResult(
+    return EltResult(
         stage_rows=observed_counts(observations or {}),
         rows_staged=int(prof["rows"]),
         countries=int(prof["countries"]),

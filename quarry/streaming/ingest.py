@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.functions.text import NA_TOKENS, decode_na
 from quarry.operators.clean import clean_events
-from quarry.plans.pipeline import load_clean
+from quarry.plans.elt import load_clean
 from quarry.plans.warehouse import Warehouse
 from quarry.schemas import RAW_COLUMNS
 

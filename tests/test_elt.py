@@ -11,7 +11,7 @@ import pytest
 
 from quarry.operators import quality as Q
 from quarry.operators.clean import clean_events
-from quarry.plans.pipeline import run_pipeline
+from quarry.plans.elt import run_elt
 from quarry.plans.warehouse import Warehouse
 from quarry.sources.csv import MissingColumnsError, read_csv_projected
 
@@ -79,10 +79,10 @@ def test_malformed_values_fail_the_run(spark, scratch_dir, bad_row):
         clean.collect()
 
 
-def test_pipeline_end_to_end_and_reruns(spark, scratch_dir):
+def test_elt_end_to_end_and_reruns(spark, scratch_dir):
     wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
     path = _csv(scratch_dir, ROWS)
-    res = run_pipeline(spark, path, wh, run_ts=RUN_TS)
+    res = run_elt(spark, path, wh, run_ts=RUN_TS)
     assert res.stage_rows == {"extract": 11, "drop_nulls": 9, "code_length": 8, "non_negative": 7}
     assert res.rows_staged == 7 and res.countries == 6
     assert (str(res.min_date), str(res.max_date)) == ("2024-01-15", "2024-01-16")
@@ -105,14 +105,14 @@ def test_pipeline_end_to_end_and_reruns(spark, scratch_dir):
     assert {r.loaded_at for r in facts} == {RUN_TS}
 
     # rerun as coded: dims unchanged, every fact appended again (no unique key)
-    res2 = run_pipeline(spark, path, wh, run_ts=RUN_TS)
+    res2 = run_elt(spark, path, wh, run_ts=RUN_TS)
     assert (res2.new_locations, res2.new_dates) == (0, 0)
     assert res2.fact_rows_total == 10
     ids = [r.event_id for r in wh.table("fact_health_events").collect()]
     assert len(set(ids)) == 10
 
     # rerun as intended: nothing new to insert
-    res3 = run_pipeline(spark, path, wh, run_ts=RUN_TS, on_conflict="ignore")
+    res3 = run_elt(spark, path, wh, run_ts=RUN_TS, on_conflict="ignore")
     assert res3.facts_appended == 0 and res3.fact_rows_total == 10
 
 
@@ -120,7 +120,7 @@ def test_gate_failure_writes_nothing(spark, scratch_dir):
     wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
     path = _csv(scratch_dir, [ROWS[0], "USA,,United States,2030-01-01,,5,0,1"])
     with pytest.raises(Q.QualityGateError, match="gate_future_dates"):
-        run_pipeline(spark, path, wh, run_ts=RUN_TS)
+        run_elt(spark, path, wh, run_ts=RUN_TS)
     assert wh.count("staging_health_events") == 0
     assert wh.count("fact_health_events") == 0
 
