@@ -141,3 +141,19 @@ def test_recency_filter_keeps_last_n_days(spark, scratch_dir):
     rows = ["IND,,India,2025-05-01,,1,0,1", "IND,,India,2025-03-01,,1,0,1"]
     clean = clean_events(read_csv_projected(spark, _csv(scratch_dir, rows)), RUN_TS, since_days=90)
     assert [str(r.event_date.date()) for r in clean.collect()] == ["2025-05-01"]
+
+
+def test_cli_load_and_validate(spark, scratch_dir, capsys):
+    from quarry import cli
+
+    good = _csv(scratch_dir, ROWS)
+    assert cli.main(["load", good, "--database", f"wh_{uuid.uuid4().hex[:8]}"]) == 0
+    assert "facts appended 5" in capsys.readouterr().out
+    bad = _csv(scratch_dir, [ROWS[0], "USA,,United States,2999-01-01,,5,0,1"])
+    assert cli.main(["load", bad, "--database", f"wh_{uuid.uuid4().hex[:8]}"]) == 1
+    assert cli.main(["validate", good, "--now", "2025-06-01"]) == 1
+    out = capsys.readouterr().out
+    assert "[FAIL ✗] country_coverage: 6 countries found (minimum: 50)" in out
+    assert "[FAIL ✗] iso_code_format: 1 invalid ISO codes found" in out
+    assert "[FAIL ✗] not_empty: DataFrame has 7 rows (minimum: 100)" in out
+    assert out.strip().endswith("8 passed, 3 failed")
