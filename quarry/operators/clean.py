@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from quarry.functions.dates import ts_literal
 from quarry.functions.numeric import truncate_count
 
+# The extract's columns renamed to staging names, and the source
+# tag written on every staged row.
+DEFAULT_SOURCE_NAME = "Our World in Data"
 DEFAULT_RENAME = {
     "iso_code": "iso_code",
     "location": "country",
@@ -82,7 +85,7 @@ def clean_events(
     measures: Sequence[str] = ("new_cases", "new_deaths"),
     date_col: str = "date",
     rename: Mapping[str, str] = DEFAULT_RENAME,
-    source_name: str = "Our World in Data",
+    source_name: str = DEFAULT_SOURCE_NAME,
     since_days: int | None = None,
     observations: dict[str, Observation] | None = None,
 ) -> DataFrame:

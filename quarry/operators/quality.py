@@ -25,6 +25,30 @@ from quarry.schemas import REQUIRED_COLUMNS
 
 Result = tuple[Column, Column, float | None, Column]  # passed, metric, threshold, message
 
+# Result messages (Java format strings; %,d groups thousands)
+# and the status tags of a rendered line.
+MSG_NOT_EMPTY = "DataFrame has %,d rows (minimum: %,d)"
+MSG_ALL_COLUMNS = "All required columns present"
+MSG_MISSING_COLUMNS = "Missing columns: {}"
+MSG_NO_COLUMN = "Column '{}' does not exist"
+MSG_NULL_RATE = "Null rate: %s (max allowed: %s)"
+MSG_NO_NEGATIVES = "No negatives found"
+MSG_NEGATIVES = "%,d negative values found"
+MSG_DATES_OK = "Dates OK. Range: %s to %s"
+MSG_FUTURE_DATES = "%,d future dates found"
+MSG_CODES_OK = "All ISO codes valid"
+MSG_BAD_CODES = "%,d invalid ISO codes found"
+MSG_SOME_COLUMNS_MISSING = "Some columns not found: {}"
+MSG_UNIQUE_OK = "Uniqueness OK: %,d duplicates (%s)"
+MSG_DUPLICATES = "%,d duplicate rows (%s)"
+MSG_COVERAGE = "%d countries found (minimum: %d)"
+MSG_GATE_BAD_LENGTH = "%d rows have invalid iso_code"
+MSG_GATE_NULL_RATE = "iso_code null rate is %s (max 1%%)"
+MSG_GATE_FUTURE = "Future dates found in data"
+PASS_TAG = "PASS ✓"
+FAIL_TAG = "FAIL ✗"
+LINE_FORMAT = "[%s] %s: %s"
+
 
 @dataclass
 class CheckSpec:
@@ -62,7 +86,7 @@ def not_empty(df: DataFrame, min_rows: int = 100, name: str = "not_empty") -> Ch
             n >= F.lit(min_rows),
             n,
             float(min_rows),
-            F.format_string("DataFrame has %,d rows (minimum: %,d)", n, F.lit(min_rows)),
+            F.format_string(MSG_NOT_EMPTY, n, F.lit(min_rows)),
         )
 
     return CheckSpec(name, {a: F.count(F.lit(1))}, result)
@@ -76,7 +100,7 @@ def required_columns(
 ) -> CheckSpec:
     """Metadata only: no data is read."""
     missing = [c for c in required if c not in df.columns]
-    msg = f"Missing columns: {missing}" if missing else "All required columns present"
+    msg = MSG_MISSING_COLUMNS.format(missing) if missing else MSG_ALL_COLUMNS
     return CheckSpec(
         name, {}, lambda: (F.lit(not missing), F.lit(float(len(missing))), 0.0, F.lit(msg))
     )
@@ -90,7 +114,7 @@ def null_rate(df: DataFrame, column: str, max_null_rate: float = 0.05, name: str
     an empty frame has rate 1.0."""
     name = name or f"null_rate_{column}"
     if column not in df.columns:
-        return _failed(name, f"Column '{column}' does not exist")
+        return _failed(name, MSG_NO_COLUMN.format(column))
     c = F.col(column)
     is_null = (c.isNull() | F.isnan(c)) if _is_float(df, column) else c.isNull()
     an, ar = f"{name}__nulls", f"{name}__rows"
@@ -102,7 +126,7 @@ def null_rate(df: DataFrame, column: str, max_null_rate: float = 0.05, name: str
             rate <= F.lit(max_null_rate),
             rate,
             float(max_null_rate),
-            F.format_string("Null rate: %s (max allowed: %s)", _pct(rate), _pct(F.lit(max_null_rate))),
+            F.format_string(MSG_NULL_RATE, _pct(rate), _pct(F.lit(max_null_rate))),
         )
 
     return CheckSpec(name, {an: F.count_if(is_null), ar: F.count(F.lit(1))}, result)
@@ -115,14 +139,12 @@ def no_negatives(df: DataFrame, column: str, name: str | None = None) -> CheckSp
     """No value < 0 (NULL is not negative)."""
     name = name or f"no_negatives_{column}"
     if column not in df.columns:
-        return _failed(name, f"Column '{column}' does not exist")
+        return _failed(name, MSG_NO_COLUMN.format(column))
     a = f"{name}__neg"
 
     def result() -> Result:
         n = F.col(a)
-        msg = F.when(n == 0, F.lit("No negatives found")).otherwise(
-            F.format_string("%,d negative values found", n)
-        )
+        msg = F.when(n == 0, F.lit(MSG_NO_NEGATIVES)).otherwise(F.format_string(MSG_NEGATIVES, n))
         return n == 0, n, 0.0, msg
 
     return CheckSpec(name, {a: F.count_if(F.col(column) < F.lit(0))}, result)
@@ -147,7 +169,7 @@ def date_range(
     """No date strictly after ``now + max_future_days``; NULL dates ignored.
     ``now`` is injected so results do not depend on the clock."""
     if date_column not in df.columns:
-        return _failed(name, f"Column '{date_column}' does not exist")
+        return _failed(name, MSG_NO_COLUMN.format(date_column))
     d = F.to_timestamp_ntz(F.col(date_column)) if isinstance(
         df.schema[date_column].dataType, T.StringType
     ) else F.col(date_column).cast("timestamp_ntz")
@@ -159,11 +181,11 @@ def date_range(
         msg = F.when(
             n == 0,
             F.format_string(
-                "Dates OK. Range: %s to %s",
+                MSG_DATES_OK,
                 F.to_date(F.col(amin)).cast("string"),
                 F.to_date(F.col(amax)).cast("string"),
             ),
-        ).otherwise(F.format_string("%,d future dates found", n))
+        ).otherwise(F.format_string(MSG_FUTURE_DATES, n))
         return n == 0, n, float(max_future_days), msg
 
     return CheckSpec(
@@ -177,14 +199,12 @@ def date_range(
 def code_format(df: DataFrame, column: str = "iso_code", name: str = "iso_code_format") -> CheckSpec:
     """Every value is exactly three upper-case letters; NULL is invalid."""
     if column not in df.columns:
-        return _failed(name, f"Column '{column}' does not exist")
+        return _failed(name, MSG_NO_COLUMN.format(column))
     a = f"{name}__bad"
 
     def result() -> Result:
         n = F.col(a)
-        msg = F.when(n == 0, F.lit("All ISO codes valid")).otherwise(
-            F.format_string("%,d invalid ISO codes found", n)
-        )
+        msg = F.when(n == 0, F.lit(MSG_CODES_OK)).otherwise(F.format_string(MSG_BAD_CODES, n))
         return n == 0, n, 0.0, msg
 
     return CheckSpec(name, {a: F.count_if(~matches_code(F.col(column)))}, result)
@@ -202,14 +222,15 @@ def unique_combinations(
     """Rows beyond the first per key combination, as a share of all rows, <=
     max (inclusive); NULL equals NULL; an empty frame has rate 0."""
     if not all(c in df.columns for c in columns):
-        return _failed(name, f"Some columns not found: {list(columns)}")
+        return _failed(name, MSG_SOME_COLUMNS_MISSING.format(list(columns)))
 
     def result() -> Result:
         rows, dups = F.col("_q_rows"), F.col("_q_dups")
         rate = F.when(rows > 0, dups / rows).otherwise(F.lit(0.0))
         ok = rate <= F.lit(max_duplicate_rate)
-        body = F.format_string("%,d duplicate rows (%s)", dups, _pct(rate))
-        msg = F.when(ok, F.concat(F.lit("Uniqueness OK: "), F.format_string("%,d duplicates (%s)", dups, _pct(rate)))).otherwise(body)
+        msg = F.when(ok, F.format_string(MSG_UNIQUE_OK, dups, _pct(rate))).otherwise(
+            F.format_string(MSG_DUPLICATES, dups, _pct(rate))
+        )
         return ok, rate, float(max_duplicate_rate), msg
 
     return CheckSpec(name, {}, result, group_keys=tuple(columns))
@@ -223,7 +244,7 @@ def coverage(
 ) -> CheckSpec:
     """At least ``min_distinct`` distinct non-NULL values (exact count)."""
     if column not in df.columns:
-        return _failed(name, f"Column '{column}' does not exist")
+        return _failed(name, MSG_NO_COLUMN.format(column))
     a = f"{name}__distinct"
 
     def result() -> Result:
@@ -232,7 +253,7 @@ def coverage(
             n >= F.lit(min_distinct),
             n,
             float(min_distinct),
-            F.format_string("%d countries found (minimum: %d)", n, F.lit(min_distinct)),
+            F.format_string(MSG_COVERAGE, n, F.lit(min_distinct)),
         )
 
     return CheckSpec(name, {a: F.count_distinct(F.col(column))}, result)
@@ -288,16 +309,11 @@ def run_checks(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     return out.orderBy("ordinal").drop("ordinal")
 
 
-# The status tags of a rendered result line.
-PASS_TAG = "PASS ✓"
-FAIL_TAG = "FAIL ✗"
-
-
 def render(results: DataFrame) -> DataFrame:
     """V7: add ``line`` = ``[PASS ✓] name: message`` / ``[FAIL ✗] ...``."""
     tag = F.when(F.col("passed"), F.lit(PASS_TAG)).otherwise(F.lit(FAIL_TAG))
     return results.withColumn(
-        "line", F.format_string("[%s] %s: %s", tag, F.col("check_name"), F.col("message"))
+        "line", F.format_string(LINE_FORMAT, tag, F.col("check_name"), F.col("message"))
     )
 
 
@@ -312,6 +328,8 @@ def summarize(results: DataFrame) -> tuple[bool, list[Row]]:
 
 def health_suite(df: DataFrame, now: dt.datetime) -> list[CheckSpec]:
     """The 11 checks of the validator, with its parameters, in its order."""
+    # The suite's thresholds (min rows 100; NULL rates 0, 0 and
+    # 10%; duplicate rate 1%; at least 50 countries; 1 day into the future).
     return [
         not_empty(df, min_rows=100),
         required_columns(df, REQUIRED_COLUMNS),
@@ -344,14 +362,14 @@ def gate_specs(df: DataFrame, now: dt.datetime) -> list[CheckSpec]:
     if "cases" in df.columns:
         specs.append(no_negatives(df, "cases", name="gate_no_negative_cases"))
     else:
-        specs.append(_failed("gate_no_negative_cases", "Column 'cases' does not exist"))
+        specs.append(_failed("gate_no_negative_cases", MSG_NO_COLUMN.format("cases")))
     if "iso_code" in df.columns:
         bad_len = F.coalesce(F.length(F.col("iso_code")), F.lit(-1)) != F.lit(3)
 
         def length_result() -> Result:
             n = F.col("gate_iso_length__bad")
             msg = F.when(n == 0, F.lit("All codes have 3 characters")).otherwise(
-                F.format_string("%d rows have invalid iso_code", n)
+                F.format_string(MSG_GATE_BAD_LENGTH, n)
             )
             return n == 0, n, 0.0, msg
 
@@ -362,7 +380,7 @@ def gate_specs(df: DataFrame, now: dt.datetime) -> list[CheckSpec]:
             rate = F.col("gate_iso_null__nulls") / F.nullif(rows, F.lit(0))
             ok = ~F.coalesce(rate > F.lit(0.01), F.lit(False))
             msg = F.when(ok, F.lit("iso_code null rate within 1%")).otherwise(
-                F.format_string("iso_code null rate is %s (max 1%%)", _pct(rate))
+                F.format_string(MSG_GATE_NULL_RATE, _pct(rate))
             )
             return ok, rate, 0.01, msg
 
@@ -377,15 +395,15 @@ def gate_specs(df: DataFrame, now: dt.datetime) -> list[CheckSpec]:
             )
         )
     else:
-        specs.append(_failed("gate_iso_code_length", "Column 'iso_code' does not exist"))
-        specs.append(_failed("gate_iso_code_null_rate", "Column 'iso_code' does not exist"))
+        specs.append(_failed("gate_iso_code_length", MSG_NO_COLUMN.format("iso_code")))
+        specs.append(_failed("gate_iso_code_null_rate", MSG_NO_COLUMN.format("iso_code")))
     if "event_date" in df.columns:
         limit = now_plus_days(now, 1)
 
         def future_result() -> Result:
             mx = F.col("gate_future__max")
             bad = F.coalesce(mx > limit, F.lit(False))
-            msg = F.when(bad, F.lit("Future dates found in data")).otherwise(F.lit("No future dates"))
+            msg = F.when(bad, F.lit(MSG_GATE_FUTURE)).otherwise(F.lit("No future dates"))
             return ~bad, F.when(bad, F.lit(1.0)).otherwise(F.lit(0.0)), 1.0, msg
 
         specs.append(
@@ -396,7 +414,7 @@ def gate_specs(df: DataFrame, now: dt.datetime) -> list[CheckSpec]:
             )
         )
     else:
-        specs.append(_failed("gate_future_dates", "Column 'event_date' does not exist"))
+        specs.append(_failed("gate_future_dates", MSG_NO_COLUMN.format("event_date")))
     return specs
 
 
