@@ -97,3 +97,22 @@ def test_sessions_on_reference_events(spark):
         (2, t(2024, 1, 15, 14, 0), "page_view", None, 1),
         (2, t(2024, 1, 15, 14, 3), "click", 3.0, 1),
     ]
+
+
+def test_reports_over_seeded_warehouse(spark):
+    import uuid
+
+    from quarry.plans.warehouse import Warehouse
+
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    wh.create()
+    wh.seed(seed_tables(spark))
+    rows = R.star_report(
+        wh.table("fact_health_events"), wh.table("dim_date"), wh.table("dim_location"), wh.table("dim_disease")
+    ).collect()
+    assert [(r.country, r.cases, r.death_rate_pct) for r in rows][:2] == [("United States", 45000, 0.84), ("India", 15000, 0.80)]
+    # the upsert result is published as the next version of the table
+    japan = spark.createDataFrame([("Japan", "East Asia", "Asia", "JPN")], "country string, region string, continent string, iso_code string")
+    wh.replace("dim_location", R.upsert_location(wh.table("dim_location"), japan))
+    wh.replace("dim_location", R.upsert_location(wh.table("dim_location"), japan))
+    assert wh.count("dim_location") == 7
