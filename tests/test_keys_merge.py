@@ -77,8 +77,15 @@ def test_assign_keys_with_adaptive_range_partitions(spark):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
     try:
         df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("k")).repartition(11)
-        out = assign_keys(df, "kid", ["k"])
+        out = assign_keys(df, "kid", ["k"], small_rows=0)
         rows = sorted((r.k, r.kid) for r in out.collect())
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     assert [kid for _, kid in rows] == list(range(1, 3001))
+
+
+def test_assign_keys_small_and_distributed_paths_agree(spark):
+    df = spark.range(0, 4000).select((F.col("id") * 613 % 4000).alias("k"), (F.col("id") % 7).alias("v"))
+    small = sorted(tuple(r) for r in assign_keys(df, "kid", ["k"], start_after=5).collect())
+    dist = sorted(tuple(r) for r in assign_keys(df, "kid", ["k"], start_after=5, small_rows=0).collect())
+    assert small == dist
