@@ -861,8 +861,8 @@ SELECT count(*) AS row_count,
        count(DISTINCT user_id) AS distinct_user_id,
        count(DISTINCT event_type) AS distinct_event_type,
        min(ts) AS min_ts, max(ts) AS max_ts,
-       count_if(event_type = 'error') AS error_events,
-       count_if(value < 0) AS negative_values,
+       CAST(count_if(event_type = 'error') AS BIGINT) AS error_events,
+       CAST(count_if(value < 0) AS BIGINT) AS negative_values,
        count_if(value IS NULL OR isnan(value)) / NULLIF(count(*), 0) AS null_rate_value
 FROM events
 """,
