@@ -1,10 +1,10 @@
 """The ELT run (C2): extract -> clean -> gate -> staging -> dimensions -> facts.
 
-Spark shape: one lazy plan from the CSV to the cleaned frame, persisted once
-because the gate and the staging write both read it.  Actions, in order: the
-gate's aggregate (which also fills the per-stage row counters), the staging
-write, the two dimension appends, the fact append, the final count.  Nothing
-is written unless the gate passes."""
+Spark shape: one lazy plan from the CSV to the cleaned frame, written once as
+an unpublished staging version (no cache of the extract).  Actions, in order:
+the staging write (which also fills the per-stage row counters), the gate's
+aggregate over that Parquet, the profile, the two dimension loads (run side
+by side), the fact append.  Nothing becomes visible unless the gate passes."""
 
 from __future__ import annotations
 
@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,8 +54,8 @@ def run_elt(
     source_id: int = 1,
     pad_names: bool = False,
 ) -> EltResult:
-    """Run the whole load.  Raises ``QualityGateError`` before any write when
-    the gate fails (G2).  ``on_conflict="append"`` reproduces the reference
+    """Run the whole load.  Raises ``QualityGateError`` when the gate fails
+    (G2); the failed batch is never published.  ``on_conflict="append"`` reproduces the reference
     (a rerun duplicates facts); ``"ignore"`` makes reruns idempotent."""
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     t0 = time.perf_counter()
@@ -90,8 +89,8 @@ def load_clean(
     pad_names: bool = False,
     observations: dict | None = None,
 ) -> EltResult:
-    """Gate a cleaned frame, then replace staging with it and load the
-    dimensions and facts from staging.  Shared by the batch run and by each
+    """Stage a cleaned frame, gate it, publish it as staging and load the
+    dimensions and facts from it.  Shared by the batch run and by each
     micro-batch of the streaming ingest."""
     timings: dict[str, float] = {}
 
@@ -101,21 +100,23 @@ def load_clean(
         return now
 
     t = time.perf_counter()
-    clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
-    gate_df = Q.run_checks(clean, Q.gate_specs(clean, run_ts))
-    passed, gate_rows = Q.summarize(gate_df)
-    t = lap("transform_and_gate", t)
+    # L1 + G1/G2: the cleaned extract is written once, as an unpublished
+    # version of staging (the only pass over the raw input; it also fills the
+    # stage counters).  The gate and the run profile then read just the
+    # columns they need from that Parquet.  Only a passing batch is
+    # published; a failing one is dropped, so no reader ever sees it.
+    version = warehouse.write_unpublished("staging_health_events", clean)
+    candidate = warehouse.version_table("staging_health_events", version)
+    t = lap("transform_and_stage", t)
+    passed, gate_rows = Q.summarize(Q.run_checks(candidate, Q.gate_specs(candidate, run_ts)))
     if not passed:
-        clean.unpersist()
+        warehouse.drop_version("staging_health_events", version)
         failed = [r["check_name"] + ": " + (r["message"] or "") for r in gate_rows if not r["passed"]]
         raise Q.QualityGateError("quality gate failed: " + "; ".join(failed))
-    prof = clean.agg(*[e.alias(k) for k, e in Q.profile_specs(clean).items()]).first()
-
-    # L1: replace-load staging
-    warehouse.replace("staging_health_events", clean)
-    clean.unpersist()
+    prof = candidate.agg(*[e.alias(k) for k, e in Q.profile_specs(candidate).items()]).first()
+    warehouse.publish_version("staging_health_events", version)
     staging = warehouse.table("staging_health_events")
-    t = lap("load_staging", t)
+    t = lap("gate_and_publish", t)
 
     # L2 / L3: insert-new-only dimension loads
     loc_incoming = staging.select(
@@ -124,24 +125,20 @@ def load_clean(
         F.lit(None).cast("string").alias("region"),
         F.lit(None).cast("string").alias("continent"),
     )
-    # The two dimensions are independent: their jobs are submitted from two
-    # driver threads and run side by side; both are appended only after both
-    # succeeded (each new-row set is already materialised by assign_keys).
+    # The two dimensions are independent: each is computed and appended from
+    # its own driver thread, so their jobs run side by side.  New-row counts
+    # come from observations on the appends themselves.
+    def load_dim(name: str, incoming: DataFrame, keys: list[str], id_col: str) -> int:
+        added = new_rows(warehouse.table(name), incoming, keys, id_col)
+        obs = Observation(f"new_{name}")
+        warehouse.append(name, added.observe(obs, F.count(F.lit(1)).alias("rows")))
+        return int(obs.get.get("rows", 0))
+
+    dates_incoming = calendar_rows(staging, "event_date", pad_names=pad_names)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        loc_future = pool.submit(
-            new_rows, warehouse.table("dim_location"), loc_incoming, ["iso_code"], "location_id"
-        )
-        date_future = pool.submit(
-            new_rows,
-            warehouse.table("dim_date"),
-            calendar_rows(staging, "event_date", pad_names=pad_names),
-            ["full_date"],
-            "date_id",
-        )
-        new_loc, new_dates = loc_future.result(), date_future.result()
-    n_loc, n_dates = new_loc.count(), new_dates.count()
-    warehouse.append("dim_location", new_loc)
-    warehouse.append("dim_date", new_dates)
+        loc_future = pool.submit(load_dim, "dim_location", loc_incoming, ["iso_code"], "location_id")
+        date_future = pool.submit(load_dim, "dim_date", dates_incoming, ["full_date"], "date_id")
+        n_loc, n_dates = loc_future.result(), date_future.result()
     t = lap("load_dimensions", t)
 
     # facts

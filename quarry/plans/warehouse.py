@@ -80,6 +80,23 @@ class Warehouse:
             f"CREATE OR REPLACE VIEW {self.db}.{name} AS SELECT * FROM {self._physical(name, version)}"
         )
 
+    def write_unpublished(self, name: str, df: DataFrame) -> int:
+        """Write ``df`` as the next version of ``name`` without pointing the
+        view at it: readers keep seeing the current version until
+        ``publish_version`` (or never, after ``drop_version``)."""
+        return self._write_version(name, df)
+
+    def version_table(self, name: str, version: int) -> DataFrame:
+        return self.spark.table(self._physical(name, version))
+
+    def publish_version(self, name: str, version: int) -> None:
+        self._point(name, version)
+
+    def drop_version(self, name: str, version: int) -> None:
+        if version == self.current_version(name):
+            raise ValueError(f"version {version} of {name} is published")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._physical(name, version)}")
+
     def publish(self, frames: Mapping[str, DataFrame]) -> dict[str, int]:
         """Replace several tables together (L1 replace-load, L7 upsert result,
         L11 all-or-nothing): all new versions are written before any view

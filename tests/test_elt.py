@@ -116,13 +116,15 @@ def test_elt_end_to_end_and_reruns(spark, scratch_dir):
     assert res3.facts_appended == 0 and res3.fact_rows_total == 10
 
 
-def test_gate_failure_writes_nothing(spark, scratch_dir):
+def test_gate_failure_publishes_nothing(spark, scratch_dir):
     wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
     path = _csv(scratch_dir, [ROWS[0], "USA,,United States,2030-01-01,,5,0,1"])
     with pytest.raises(Q.QualityGateError, match="gate_future_dates"):
         run_elt(spark, path, wh, run_ts=RUN_TS)
     assert wh.count("staging_health_events") == 0
     assert wh.count("fact_health_events") == 0
+    # the failed batch was staged unpublished and then dropped
+    assert wh._versions("staging_health_events") == [wh.current_version("staging_health_events")]
 
 
 def test_warehouse_publish_swaps_versions(spark):
