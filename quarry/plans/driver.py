@@ -660,11 +660,12 @@ a AS (
            max(event_date) AS max_date
     FROM staging
 ),
-d AS (
-    SELECT coalesce(sum(k), 0) AS rows, coalesce(sum(k - 1), 0) AS dups
-    FROM (SELECT count(*) AS k FROM staging GROUP BY iso_code, event_date)
-),
-ad AS (SELECT * FROM a, d)
+d AS (SELECT count(*) AS k FROM staging GROUP BY iso_code, event_date),
+ad AS (
+    SELECT a.*, (SELECT coalesce(sum(k), 0) FROM d) AS rows,
+           (SELECT coalesce(sum(k - 1), 0) FROM d) AS dups
+    FROM a
+)
 """
 
 
@@ -745,9 +746,9 @@ c AS (SELECT c_custkey, c_nationkey, c_acctbal, NULLIF(c_mktsegment, 'HOUSEHOLD'
       FROM customer),
 a AS (SELECT count(*) AS n, count_if(c_mktsegment IS NULL) AS seg_nulls,
              count_if(c_acctbal < 0) AS neg, count(DISTINCT c_nationkey) AS nations FROM c),
-d AS (SELECT coalesce(sum(k), 0) AS rows, coalesce(sum(k - 1), 0) AS dups
-      FROM (SELECT count(*) AS k FROM c GROUP BY c_nationkey, c_mktsegment)),
-ad AS (SELECT * FROM a, d)
+d AS (SELECT count(*) AS k FROM c GROUP BY c_nationkey, c_mktsegment),
+ad AS (SELECT a.*, (SELECT coalesce(sum(k), 0) FROM d) AS rows,
+              (SELECT coalesce(sum(k - 1), 0) FROM d) AS dups FROM a)
 """,
         "ad",
     ),
@@ -789,9 +790,9 @@ a AS (SELECT count(*) AS n,
              count_if(value IS NULL OR isnan(value)) AS value_nulls,
              count_if(NOT coalesce(regexp_full_match(event_type, '[A-Z]{3}'), false)) AS bad
       FROM events),
-d AS (SELECT coalesce(sum(k), 0) AS rows, coalesce(sum(k - 1), 0) AS dups
-      FROM (SELECT count(*) AS k FROM events GROUP BY user_id, ts)),
-ad AS (SELECT * FROM a, d)
+d AS (SELECT count(*) AS k FROM events GROUP BY user_id, ts),
+ad AS (SELECT a.*, (SELECT coalesce(sum(k), 0) FROM d) AS rows,
+              (SELECT coalesce(sum(k - 1), 0) FROM d) AS dups FROM a)
 """,
         "ad",
     ),
