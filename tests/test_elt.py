@@ -159,3 +159,14 @@ def test_cli_load_and_validate(spark, scratch_dir, capsys):
     assert "[FAIL ✗] iso_code_format: 1 invalid ISO codes found" in out
     assert "[FAIL ✗] not_empty: DataFrame has 7 rows (minimum: 100)" in out
     assert out.strip().endswith("8 passed, 3 failed")
+
+
+def test_cli_seed_and_reports(spark, capsys):
+    from quarry import cli
+
+    db = f"wh_{uuid.uuid4().hex[:8]}"
+    assert cli.main(["seed", "--database", db]) == 0
+    assert cli.main(["report", "rate", "--database", db]) == 0
+    assert "Germany" in capsys.readouterr().out
+    for name in ["star", "rank", "top", "continent", "sessions"]:
+        assert cli.main(["report", name, "--database", db]) == 0
