@@ -1,4 +1,4 @@
-"""Command line: the two entry points a user of a script-based ELT expects.
+"""Command line entry points.
 
     python -m quarry.cli load CSV... [--database NAME] [--on-conflict append|ignore]
     python -m quarry.cli validate CSV... [--now YYYY-MM-DD]
@@ -8,8 +8,9 @@
 ``load`` runs the whole ELT (G2: exit code 1 when the quality gate fails,
 before anything is published); ``validate`` cleans the extract and prints
 the 11-check suite, one rendered line per check; ``seed`` creates the tables
-and loads the seed rows; ``report`` prints one of the warehouse statements.  Both use the session the
-environment provides (``spark-submit`` settings or defaults)."""
+and loads the seed rows; ``report`` prints one of the warehouse statements.
+All use the session the environment provides (``spark-submit`` settings or
+defaults)."""
 
 from __future__ import annotations
 
@@ -29,9 +30,7 @@ from quarry.sources.inline import seed_tables, seed_user_events
 
 
 def _session() -> SparkSession:
-    spark = SparkSession.builder.appName("quarry").getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    return SparkSession.builder.appName("quarry").getOrCreate()
 
 
 def _load(args: argparse.Namespace) -> int:
