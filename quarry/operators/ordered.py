@@ -2,119 +2,104 @@
 distributed when a single group is hot.
 
 A plain ``Window.partitionBy(g)`` sends every row of a group to one task; if
-one group holds a third of all rows, one task sorts a third of the data.  Here
-the groups above ``max_group_rows`` are split into ``buckets`` ranges of the
-order key (boundaries from ``percentile_approx`` over that group only).  The
-bucket is a monotone function of the order key, so peers (equal keys) always
-share a bucket and bucket order equals key order.  The window then runs per
-``(group, bucket)`` and a small per-bucket summary (count, first/last key,
-flag sums) gives each bucket the offset it needs from the buckets before it.
-
-The summary has at most ``hot_groups * (buckets + 2)`` rows, a bound known
-before it is built, so it is broadcast back; the big side is shuffled once
-(by the window).  When no group is hot the operator is a plain window."""
+one group holds a third of all rows, one task sorts a third of the data.
+
+Here a cheap count finds the groups above ``max_group_rows`` (on ``probe``,
+e.g. the fact before its dimension joins).  Ordinary groups use the plain
+window.  Rows of hot groups are range-partitioned on the *whole* sort order
+``(group, order key, tie columns)`` into ``ceil(hot rows / max_group_rows)``
+partitions, so even a single repeated order value is split across tasks.
+Each (group, partition) is windowed locally, and a summary with one row per
+(group, partition) supplies what crosses partition borders:
+
+- the global row number offset (rows of the group in earlier partitions);
+- the previous row's value (for LAG and for session gaps);
+- where the run of equal order values that a partition starts with began
+  (RANK = global row number of the first peer);
+- session-flag offsets and each group's flag total.
+
+The summary's size is bounded by ``hot groups + partitions`` (known before it
+is built), so it is broadcast back when small.  Results equal the plain
+window exactly (tests force every group hot)."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quarry.functions.dates import epoch_micros, minutes_between
+from quarry.functions.dates import minutes_between
 from quarry.session import materialize
 
 # Rows a single window task may own before its group is split.
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
-DEFAULT_BUCKETS = 64
-# At most this many hot-group summary rows are broadcast; beyond, shuffle join.
-MAX_BROADCAST_SUMMARY_ROWS = 2_000_000
+# Hot-group keys come back to the driver as a list up to this many groups.
 MAX_HOT_GROUPS = 100_000
+# At most this many summary rows are broadcast; beyond, shuffle join.
+MAX_BROADCAST_SUMMARY_ROWS = 2_000_000
+MAX_RANGE_PARTITIONS = 200_000
 
-_B = "_q_bucket"
-_BOUNDS = "_q_bounds"
+_PID = "_q_pid"
 _HOT = "_q_hot"
 
 
 @dataclass
-class _Split:
-    df: DataFrame
-    hot_groups: int
+class _Hot:
+    keys: DataFrame | None
+    groups: int
+    rows: int
 
 
-def _split_hot_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_num: Column,
-    descending: bool,
-    nulls_first: bool,
-    max_group_rows: int,
-    buckets: int,
-    probe: DataFrame | None = None,
-) -> _Split:
-    """Add ``_q_bucket``: 0 for ordinary groups; for hot groups, the rank of
-    the order key among that group's quantile boundaries (monotone in the sort
-    direction; NULL keys get the first or last bucket per ``nulls_first``).
-
-    Group sizes and boundaries are estimated on ``probe`` (default ``df``): a
-    cheaper frame with the same keys and order column, e.g. the fact before
-    its dimension joins.  Any boundaries give correct results; good ones only
-    balance the tasks."""
-    spark = df.sparkSession
-    src = df if probe is None else probe
-    # At most rows/max_group_rows groups can be hot.  Up to MAX_HOT_GROUPS of
-    # them come back as a small list in one job; beyond that the list stays
-    # in Spark (materialised) and every join with it is a shuffle join.
-    hot_df = (
+def _find_hot(src: DataFrame, keys: Sequence[str], max_group_rows: int) -> _Hot:
+    """Groups of ``src`` with more than ``max_group_rows`` rows.  At most
+    rows/max_group_rows groups can qualify; up to MAX_HOT_GROUPS of them come
+    back as a small list in one job, beyond that they stay in Spark."""
+    counts = (
         src.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_q_n"))
         .where(F.col("_q_n") > F.lit(max_group_rows))
-        .select(*keys)
-    )
-    hot_rows = hot_df.limit(MAX_HOT_GROUPS + 1).collect()
-    if not hot_rows:
-        return _Split(df.withColumn(_B, F.lit(0)), 0)
-    if len(hot_rows) <= MAX_HOT_GROUPS:
-        hot = spark.createDataFrame(hot_rows, hot_df.schema)
-        hot_groups = len(hot_rows)
-    else:
-        hot = materialize(hot_df, "hot-groups")
-        hot_groups = hot.count()
-
-    probs = [i / buckets for i in range(1, buckets)]
-    hot_side = F.broadcast(hot) if hot_groups * (buckets + 2) <= MAX_BROADCAST_SUMMARY_ROWS else hot
-    bounds = (
-        src.withColumn("_q_ord", order_num)
-        .join(hot_side, list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("_q_ord", probs, 10_000).alias(_BOUNDS))
-    )
-    bounds = materialize(bounds, "bounds")
-    bounds_side = F.broadcast(bounds) if hot_groups * (buckets + 2) <= MAX_BROADCAST_SUMMARY_ROWS else bounds
-    o = order_num
-    if descending:
-        idx = F.size(F.filter(F.col(_BOUNDS), lambda b: b > o)) + F.lit(1)
-    else:
-        idx = F.size(F.filter(F.col(_BOUNDS), lambda b: b <= o)) + F.lit(1)
-    null_bucket = F.lit(-1) if nulls_first else F.lit(buckets + 2)
-    bucket = (
-        F.when(F.col(_BOUNDS).isNull(), F.lit(0))
-        .when(o.isNull(), null_bucket)
-        .otherwise(idx)
     )
-    out = (
-        df.join(bounds_side, list(keys), "left")
-        .withColumn(_B, bucket)
-        .withColumn(_HOT, F.col(_BOUNDS).isNotNull())
-        .drop(_BOUNDS)
-    )
-    return _Split(out, hot_groups)
+    rows = counts.limit(MAX_HOT_GROUPS + 1).collect()
+    if not rows:
+        return _Hot(None, 0, 0)
+    if len(rows) <= MAX_HOT_GROUPS:
+        spark = src.sparkSession
+        hot = spark.createDataFrame([tuple(r)[: len(keys)] for r in rows], counts.select(*keys).schema)
+        return _Hot(hot, len(rows), sum(r["_q_n"] for r in rows))
+    kept = materialize(counts, "hot-groups")
+    n, total = kept.agg(F.count(F.lit(1)), F.sum("_q_n")).first()
+    return _Hot(kept.select(*keys), int(n), int(total))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``on`` where NULL keys match (a NULL group is a group)."""
+    renamed = right.select(*[F.col(c).alias(f"_q_r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_q_r_{c}"]) for c in on])
+    return left.join(renamed, cond, how).drop(*[f"_q_r_{c}" for c in on])
+
+
+def _side(df: DataFrame, bound: int) -> DataFrame:
+    return F.broadcast(df) if bound <= MAX_BROADCAST_SUMMARY_ROWS else df
 
 
-def _summary_side(summary: DataFrame, hot_groups: int, buckets: int) -> DataFrame:
-    return F.broadcast(summary) if hot_groups * (buckets + 2) <= MAX_BROADCAST_SUMMARY_ROWS else summary
+def _mark_hot(df: DataFrame, keys: Sequence[str], hot: _Hot) -> DataFrame:
+    side = hot.keys.withColumn(_HOT, F.lit(True))
+    marked = _null_safe_join(df, _side(side, hot.groups), keys, "left")
+    return marked.withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
+
+
+def _range_partitioned(
+    rows: DataFrame, keys: Sequence[str], sort: Sequence[Column], hot: _Hot, max_group_rows: int
+) -> tuple[DataFrame, int]:
+    """Range-partition hot rows on (keys, sort...) and tag each row with its
+    partition; partitions follow the global sort order."""
+    n = max(1, min(MAX_RANGE_PARTITIONS, math.ceil(hot.rows / max(1, max_group_rows))))
+    ranged = rows.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *sort)
+    return ranged.withColumn(_PID, F.spark_partition_id()), n
 
 
 def _sort_key(c: Column, descending: bool, nulls_first: bool) -> Column:
@@ -123,6 +108,17 @@ def _sort_key(c: Column, descending: bool, nulls_first: bool) -> Column:
     return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
 
 
+def _plain_rank_lag(df, keys, o, key, ties, rank_alias, lag_alias, cols):
+    w_rank = Window.partitionBy(*keys).orderBy(key)
+    w_lag = Window.partitionBy(*keys).orderBy(key, *ties)
+    # LAG's window (the longer sort key) is planned first; RANK's ordering is
+    # a prefix of it, so both windows share one exchange and one sort.
+    with_lag = df.withColumn(lag_alias, F.lag(o).over(w_lag))
+    return with_lag.withColumn(rank_alias, F.rank().over(w_rank).cast("bigint")).select(
+        *cols, rank_alias, lag_alias
+    )
+
+
 def rank_and_lag(
     df: DataFrame,
     partition_cols: Sequence[str],
@@ -133,7 +129,6 @@ def rank_and_lag(
     rank_alias: str = "rank",
     lag_alias: str = "prev_value",
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    buckets: int = DEFAULT_BUCKETS,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """``RANK() OVER (PARTITION BY p ORDER BY o)`` and ``LAG(o)`` over the same
@@ -142,51 +137,75 @@ def rank_and_lag(
     defaults to PostgreSQL's: first for DESC, last for ASC."""
     if nulls_first is None:
         nulls_first = descending
+    keys = list(partition_cols)
+    cols = df.columns
     o = F.col(order_col)
     key = _sort_key(o, descending, nulls_first)
     ties = [F.col(t).asc_nulls_last() for t in tie_cols]
-    split = _split_hot_groups(
-        df, partition_cols, o, descending, nulls_first, max_group_rows, buckets, probe
-    )
-    if split.hot_groups == 0:
-        w_rank = Window.partitionBy(*partition_cols).orderBy(key)
-        w_lag = Window.partitionBy(*partition_cols).orderBy(key, *ties)
-        # LAG's window (the longer sort key) is planned first; RANK's ordering
-        # is a prefix of it, so both windows share one exchange and one sort.
-        with_lag = df.withColumn(lag_alias, F.lag(o).over(w_lag))
-        return with_lag.withColumn(rank_alias, F.rank().over(w_rank).cast("bigint")).select(
-            *df.columns, rank_alias, lag_alias
-        )
+    hot = _find_hot(df if probe is None else probe, keys, max_group_rows)
+    if hot.groups == 0:
+        return _plain_rank_lag(df, keys, o, key, ties, rank_alias, lag_alias, cols)
+
+    marked = _mark_hot(df, keys, hot)
+    cold = _plain_rank_lag(marked.where(~F.col(_HOT)), keys, o, key, ties, rank_alias, lag_alias, cols)
 
-    keys2 = [*partition_cols, _B]
-    w_rank = Window.partitionBy(*keys2).orderBy(key)
-    w_lag = Window.partitionBy(*keys2).orderBy(key, *ties)
-    local = split.df.select(
-        "*",
-        F.rank().over(w_rank).alias("_q_lrank"),
-        F.row_number().over(w_lag).alias("_q_lrn"),
-        F.lag(o).over(w_lag).alias("_q_llag"),
+    ranged, n = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
+    kp = [*keys, _PID]
+    w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
+    w_vals = Window.partitionBy(*kp).orderBy(key)
+    local = ranged.withColumn("_q_lrn", F.row_number().over(w_rows)).withColumn(
+        "_q_llag", F.lag(o).over(w_rows)
     )
-    last_in_bucket = F.min(o) if descending else F.max(o)
+    # local position of the first row with this value (rows are in value order)
+    local = local.withColumn("_q_lfirst", F.rank().over(w_vals))
+    summary = local.groupBy(*kp).agg(
+        F.count(F.lit(1)).alias("_q_n"),
+        F.min_by(o, F.col("_q_lrn")).alias("_q_first"),
+        F.max_by(o, F.col("_q_lrn")).alias("_q_last"),
+        F.max_by(F.col("_q_lfirst"), F.col("_q_lrn")).alias("_q_last_first"),
+    )
+    by_pid = Window.partitionBy(*keys).orderBy(_PID)
     summary = (
-        local.where(F.col(_HOT))
-        .groupBy(*keys2)
-        .agg(F.count(F.lit(1)).alias("_q_cnt"), last_in_bucket.alias("_q_last"))
+        summary.withColumn(
+            "_q_off",
+            F.coalesce(F.sum("_q_n").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        )
+        .withColumn("_q_prev_last", F.lag("_q_last").over(by_pid))
+        .withColumn("_q_has_prev", F.lag(_PID).over(by_pid).isNotNull())
+        # global row number of the first row of this partition's last value
+        .withColumn("_q_start_last", F.col("_q_off") + F.col("_q_last_first"))
     )
-    ws = Window.partitionBy(*partition_cols).orderBy(F.col(_B))
+    # partitions sharing a last value are contiguous, so the earliest start in
+    # that run is where the value's rows begin
+    run = Window.partitionBy(*keys, "_q_last").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
+    summary = summary.withColumn("_q_run_start", F.min("_q_start_last").over(run))
+    summary = summary.withColumn("_q_prev_run_start", F.lag("_q_run_start").over(by_pid))
+    continues = F.col("_q_has_prev") & F.col("_q_prev_last").eqNullSafe(F.col("_q_first"))
     offsets = summary.select(
-        *keys2,
-        F.coalesce(
-            F.sum("_q_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_q_off"),
-        F.lag("_q_last").over(ws).alias("_q_prev_last"),
+        *kp,
+        "_q_off",
+        "_q_first",
+        "_q_prev_last",
+        F.when(continues, F.col("_q_prev_run_start"))
+        .otherwise(F.col("_q_off") + F.lit(1))
+        .alias("_q_first_rank"),
     )
-    joined = local.join(_summary_side(offsets, split.hot_groups, buckets), keys2, "left")
-    return joined.select(
-        *df.columns,
-        (F.col("_q_lrank") + F.coalesce(F.col("_q_off"), F.lit(0))).cast("bigint").alias(rank_alias),
-        F.when(F.col("_q_lrn") == 1, F.col("_q_prev_last")).otherwise(F.col("_q_llag")).alias(lag_alias),
+    joined = _null_safe_join(local, _side(offsets, hot.groups + n), kp, "left")
+    rank = F.when(o.eqNullSafe(F.col("_q_first")), F.col("_q_first_rank")).otherwise(
+        F.col("_q_off") + F.col("_q_lfirst")
     )
+    lag = F.when(F.col("_q_lrn") == 1, F.col("_q_prev_last")).otherwise(F.col("_q_llag"))
+    hot_out = joined.select(*cols, rank.cast("bigint").alias(rank_alias), lag.alias(lag_alias))
+    return cold.unionByName(hot_out)
+
+
+def _plain_sessions(df, keys, ts, key, ties, flag, gap_alias, session_alias, cols):
+    w_lag = Window.partitionBy(*keys).orderBy(key, *ties)
+    w_sum = Window.partitionBy(*keys).orderBy(key)
+    gapped = df.withColumn(gap_alias, minutes_between(ts, F.lag(ts).over(w_lag)))
+    return gapped.withColumn(
+        session_alias, F.sum(flag(F.col(gap_alias))).over(w_sum).cast("bigint")
+    ).select(*cols, gap_alias, session_alias)
 
 
 def sessionize(
@@ -198,7 +217,6 @@ def sessionize(
     gap_alias: str = "gap_minutes",
     session_alias: str = "session_id",
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    buckets: int = DEFAULT_BUCKETS,
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """Row-preserving sessionisation.
@@ -208,6 +226,8 @@ def sessionize(
     (strictly) or gap is NULL; ``session_id`` is the running SUM of those
     flags over the *default* RANGE frame, so events at the same time share an
     id.  ``tie_cols`` only fix which of several same-time events LAG sees first."""
+    keys = list(user_cols)
+    cols = df.columns
     ts = F.col(ts_col)
     key = ts.asc_nulls_last()
     ties = [F.col(t).asc_nulls_last() for t in tie_cols]
@@ -216,63 +236,58 @@ def sessionize(
     def flag(gap: Column) -> Column:
         return F.when((gap > thr) | gap.isNull(), F.lit(1)).otherwise(F.lit(0))
 
-    ntz = isinstance(df.schema[ts_col].dataType, T.TimestampNTZType)
-    split = _split_hot_groups(
-        df, user_cols, epoch_micros(ts, ntz=ntz), False, False, max_group_rows, buckets, probe
-    )
-    if split.hot_groups == 0:
-        w_lag = Window.partitionBy(*user_cols).orderBy(key, *ties)
-        w_sum = Window.partitionBy(*user_cols).orderBy(key)
-        gapped = df.withColumn(gap_alias, minutes_between(ts, F.lag(ts).over(w_lag)))
-        return gapped.withColumn(
-            session_alias, F.sum(flag(F.col(gap_alias))).over(w_sum).cast("bigint")
-        )
+    hot = _find_hot(df if probe is None else probe, keys, max_group_rows)
+    if hot.groups == 0:
+        return _plain_sessions(df, keys, ts, key, ties, flag, gap_alias, session_alias, cols)
+
+    marked = _mark_hot(df, keys, hot)
+    cold = _plain_sessions(marked.where(~F.col(_HOT)), keys, ts, key, ties, flag, gap_alias, session_alias, cols)
 
-    keys2 = [*user_cols, _B]
-    w_lag = Window.partitionBy(*keys2).orderBy(key, *ties)
-    w_sum = Window.partitionBy(*keys2).orderBy(key)
-    local = split.df.select(
-        "*",
-        F.row_number().over(w_lag).alias("_q_lrn"),
-        F.lag(ts).over(w_lag).alias("_q_lprev"),
+    ranged, n = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
+    kp = [*keys, _PID]
+    w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
+    local = ranged.withColumn("_q_lrn", F.row_number().over(w_rows)).withColumn(
+        "_q_lprev", F.lag(ts).over(w_rows)
     )
+    # the first row of a partition sees no previous row and is flagged 1 here;
+    # the summary corrects it from the previous partition's last time
     local = local.withColumn("_q_lflag", flag(minutes_between(ts, F.col("_q_lprev"))))
-    local = local.withColumn("_q_lsess", F.sum("_q_lflag").over(w_sum))
-    summary = (
-        local.where(F.col(_HOT))
-        .groupBy(*keys2)
-        .agg(
-            F.min(ts).alias("_q_first"),
-            F.max(ts).alias("_q_last"),
-            F.sum("_q_lflag").alias("_q_lflags"),
-        )
+    local = local.withColumn(
+        "_q_lsum", F.sum("_q_lflag").over(w_rows.rowsBetween(Window.unboundedPreceding, 0))
     )
-    ws = Window.partitionBy(*user_cols).orderBy(F.col(_B))
-    with_prev = summary.withColumn("_q_prev_last", F.lag("_q_last").over(ws))
-    # The first row of a bucket was flagged 1 locally (no previous row seen);
-    # its true flag compares it with the last time of the previous bucket.
-    f0 = F.when(
-        F.col("_q_prev_last").isNull(), F.lit(1)
-    ).otherwise(flag(minutes_between(F.col("_q_first"), F.col("_q_prev_last"))))
-    with_prev = with_prev.withColumn("_q_f0", f0)
-    offsets = with_prev.select(
-        *keys2,
+    summary = local.groupBy(*kp).agg(
+        F.min_by(ts, F.col("_q_lrn")).alias("_q_first"),
+        F.max_by(ts, F.col("_q_lrn")).alias("_q_last"),
+        F.sum("_q_lflag").alias("_q_lflags"),
+    )
+    by_pid = Window.partitionBy(*keys).orderBy(_PID)
+    summary = summary.withColumn("_q_prev_last", F.lag("_q_last").over(by_pid)).withColumn(
+        "_q_has_prev", F.lag(_PID).over(by_pid).isNotNull()
+    )
+    f0 = F.when(~F.col("_q_has_prev"), F.lit(1)).otherwise(
+        flag(minutes_between(F.col("_q_first"), F.col("_q_prev_last")))
+    )
+    summary = summary.withColumn("_q_f0", f0).withColumn(
+        "_q_flags", F.col("_q_lflags") - F.lit(1) + F.col("_q_f0")
+    )
+    offsets = summary.select(
+        *kp,
         "_q_prev_last",
         "_q_f0",
         F.coalesce(
-            F.sum(F.col("_q_lflags") - F.lit(1) + F.col("_q_f0")).over(
-                ws.rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
+            F.sum("_q_flags").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_q_off"),
+        # NULL times are peers of each other and come last: their RANGE sum
+        # is the group's total
+        F.sum("_q_flags").over(Window.partitionBy(*keys)).alias("_q_total"),
     )
-    joined = local.join(_summary_side(offsets, split.hot_groups, buckets), keys2, "left")
+    joined = _null_safe_join(local, _side(offsets, hot.groups + n), kp, "left")
     prev = F.when(F.col("_q_lrn") == 1, F.col("_q_prev_last")).otherwise(F.col("_q_lprev"))
-    correction = F.when(F.col("_q_f0") == 0, F.lit(1)).otherwise(F.lit(0))
-    return joined.select(
-        *df.columns,
-        minutes_between(ts, prev).alias(gap_alias),
-        (F.col("_q_lsess") + F.coalesce(F.col("_q_off"), F.lit(0)) - correction)
-        .cast("bigint")
-        .alias(session_alias),
+    # For non-NULL times only the first of several same-time events can carry
+    # a flag, so the ROWS running sum equals the RANGE (peer) sum.
+    running = F.col("_q_off") + F.col("_q_lsum") - (F.lit(1) - F.col("_q_f0"))
+    session = F.when(ts.isNull(), F.col("_q_total")).otherwise(running)
+    hot_out = joined.select(
+        *cols, minutes_between(ts, prev).alias(gap_alias), session.cast("bigint").alias(session_alias)
     )
+    return cold.unionByName(hot_out)

@@ -19,7 +19,7 @@ def test_rank_lag_hot_equals_plain(spark):
     data = [(g, (i * 7919) % 23 if i % 11 else None, i) for g in (1, 2) for i in range(300)]
     data += [(3, 5, 1000), (3, 5, 1001)]
     df = spark.createDataFrame(data, "g int, v int, t int")
-    got = rank_and_lag(df, ["g"], "v", tie_cols=["t"], max_group_rows=10, buckets=8)
+    got = rank_and_lag(df, ["g"], "v", tie_cols=["t"], max_group_rows=10)
     w_r = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_first())
     w_l = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_first(), "t")
     exp = df.select("*", F.rank().over(w_r).alias("rank"), F.lag("v").over(w_l).alias("prev_value"))
@@ -44,7 +44,7 @@ def test_sessionize_hot_equals_plain(spark):
             t = t + dt.timedelta(minutes=[5, 31, 30, 0, 97, 2][i % 6], microseconds=(i % 3 == 0))
             data.append((u, t if i % 50 else None, i))
     df = spark.createDataFrame(data, "u int, ts timestamp, k int")
-    got = sessionize(df, ["u"], "ts", 30, tie_cols=["k"], max_group_rows=20, buckets=8)
+    got = sessionize(df, ["u"], "ts", 30, tie_cols=["k"], max_group_rows=20)
     plain = sessionize(df, ["u"], "ts", 30, tie_cols=["k"])
     cols = ["u", "ts", "k", "gap_minutes", "session_id"]
     assert _rows(got, cols) == _rows(plain, cols)
@@ -86,7 +86,7 @@ def test_sessionize_ntz_gaps_ignore_session_time_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
         plain = {r.k: (r.gap_minutes, r.session_id) for r in sessionize(df, ["u"], "ts", 30, ["k"]).collect()}
-        hot = {r.k: (r.gap_minutes, r.session_id) for r in sessionize(df, ["u"], "ts", 30, ["k"], max_group_rows=1, buckets=2).collect()}
+        hot = {r.k: (r.gap_minutes, r.session_id) for r in sessionize(df, ["u"], "ts", 30, ["k"], max_group_rows=1).collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert plain == hot == {1: (None, 1), 2: (120.0, 2)}
@@ -101,13 +101,35 @@ def test_hot_path_on_driver_tables_equals_plain(spark):
 
     star = D._star(spark, SF_SMALL)
     args = dict(tie_cols=["l_orderkey", "l_linenumber"], rank_alias="r", lag_alias="p")
-    hot = rank_and_lag(star, ["l_partkey"], "cases", max_group_rows=1, buckets=4, probe=T.event_facts(spark, SF_SMALL), **args)
+    hot = rank_and_lag(star, ["l_partkey"], "cases", max_group_rows=1, probe=T.event_facts(spark, SF_SMALL), **args)
     plain = rank_and_lag(star, ["l_partkey"], "cases", **args)
     cols = ["l_orderkey", "l_linenumber", "cases", "r", "p"]
     assert _rows(hot, cols) == _rows(plain, cols)
 
     ev = T.read_table(spark, SF_SMALL, "events").select("user_id", "ts", "event_id")
-    hot_s = sessionize(ev, ["user_id"], "ts", 30, ["event_id"], max_group_rows=3, buckets=8)
+    hot_s = sessionize(ev, ["user_id"], "ts", 30, ["event_id"], max_group_rows=3)
     plain_s = sessionize(ev, ["user_id"], "ts", 30, ["event_id"])
     cols = ["event_id", "gap_minutes", "session_id"]
     assert _rows(hot_s, cols) == _rows(plain_s, cols)
+
+
+def test_single_repeated_value_spans_many_partitions(spark):
+    # one hot group, one order value: the peer run crosses every partition
+    data = [(1, 7, i) for i in range(500)] + [(1, 3, 1000 + i) for i in range(40)] + [(2, 5, 2000)]
+    df = spark.createDataFrame(data, "g int, v int, t int")
+    hot = rank_and_lag(df, ["g"], "v", tie_cols=["t"], max_group_rows=7)
+    plain = rank_and_lag(df, ["g"], "v", tie_cols=["t"])
+    cols = ["g", "v", "t", "rank", "prev_value"]
+    assert _rows(hot, cols) == _rows(plain, cols)
+    ranks = {r.t: r["rank"] for r in hot.collect()}
+    assert ranks[0] == 1 and ranks[499] == 1 and ranks[1000] == 501 and ranks[1039] == 501
+
+    same = dt.datetime(2024, 1, 1, 12, 0)
+    ev = spark.createDataFrame(
+        [(1, same, i) for i in range(300)] + [(1, None, 900), (1, None, 901), (1, same + dt.timedelta(hours=2), 950)],
+        "u int, ts timestamp, k int",
+    )
+    hot_s = sessionize(ev, ["u"], "ts", 30, ["k"], max_group_rows=5)
+    plain_s = sessionize(ev, ["u"], "ts", 30, ["k"])
+    cols = ["u", "ts", "k", "gap_minutes", "session_id"]
+    assert _rows(hot_s, cols) == _rows(plain_s, cols)
