@@ -1,5 +1,5 @@
-"""Session helpers: building a local session for tests/bench and making sure a
-reliable checkpoint directory exists before any operator cuts lineage."""
+"""Session helpers: a local session for tests and the bench, the settings
+assumed on a cluster, and cutting lineage into the shared checkpoint folder."""
 
 from __future__ import annotations
 
@@ -63,23 +63,30 @@ def cluster_conf(target_partition_mb: int = 256) -> dict[str, str]:
     }
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting it on the context if
-    needed.
-
-    The cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    always used when present.  Only when it is unset (local tests, the driver's
-    smoke runs) is a private scratch folder created, because there is no cluster
-    whose executors could lose it."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    """The shared folder where lineage is cut.
+
+    The cluster names it in ``spark.checkpoint.dir``; that value is always
+    used when present (read from the session, so it also works without a
+    SparkContext, e.g. over Spark Connect).  Next comes a checkpoint folder
+    already set on the context.  Only when neither exists (local tests, smoke
+    runs) is a private scratch folder created, once per session."""
+    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    if configured:
+        return configured
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on a remote session
+        current = None
     if current:
         return current
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    key = str(id(spark))
+    if key not in _SCRATCH:
+        _SCRATCH[key] = tempfile.mkdtemp(prefix="quarry-ckpt-")
+    return _SCRATCH[key]
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
