@@ -34,3 +34,24 @@ def test_incremental_ingest(spark, scratch_dir):
     assert wh.count("dim_location") == 2 and wh.count("dim_date") == 2
     # staging holds the last micro-batch only (replace-load per batch)
     assert wh.count("staging_health_events") == 1
+
+
+def test_failed_gate_stops_the_stream_and_publishes_nothing(spark, scratch_dir):
+    src = os.path.join(scratch_dir, "in")
+    os.makedirs(src)
+    ckpt = os.path.join(scratch_dir, "stream-ckpt")
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    clock = lambda: dt.datetime(2025, 6, 1)
+    _write(src, "a.csv", ["IND,Asia,India,2024-01-15,100,2"])
+    start_ingest(spark, src, HEADER, wh, ckpt, clock=clock).awaitTermination(120)
+    staged = wh.current_version("staging_health_events")
+    _write(src, "b.csv", ["USA,,United States,2030-01-01,5,0"])
+    q = start_ingest(spark, src, HEADER, wh, ckpt, clock=clock)
+    try:
+        q.awaitTermination(120)
+        failed = q.exception() is not None
+    except Exception:
+        failed = True
+    assert failed
+    assert wh.current_version("staging_health_events") == staged
+    assert wh.count("fact_health_events") == 1
