@@ -99,7 +99,12 @@ def _range_partitioned(
     partition; partitions follow the global sort order."""
     n = max(1, min(MAX_RANGE_PARTITIONS, math.ceil(hot.rows / max(1, max_group_rows))))
     ranged = rows.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *sort)
-    return ranged.withColumn(_PID, F.spark_partition_id()), n
+    tagged = ranged.withColumn(_PID, F.spark_partition_id())
+    # The windows cluster by (keys, partition id).  Hashing the id alone into
+    # four times as many buckets as ranges keeps about one range per task
+    # (no sampling pass, unlike a second range partitioning) and satisfies
+    # that clustering, so the windows add no exchange of their own.
+    return tagged.repartition(4 * n, F.col(_PID)), n
 
 
 def _sort_key(c: Column, descending: bool, nulls_first: bool) -> Column:
