@@ -17,7 +17,7 @@ cluster).  Old versions are kept until ``vacuum``."""
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -28,9 +28,20 @@ _VERSION = re.compile(r"__v(\d{6})$")
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, database: str = "health_wh"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str = "health_wh",
+        partition_by: Mapping[str, Sequence[str]] | None = None,
+    ):
+        """``partition_by`` names directory-partition columns per table, e.g.
+        ``{"fact_health_events": ["date_id"]}`` for a large fact: date
+        filters and joins with a filtered date dimension then prune whole
+        directories (dynamic partition pruning).  Off by default, since it
+        writes one directory per value."""
         self.spark = spark
         self.db = database
+        self.partition_by = {k: list(v) for k, v in (partition_by or {}).items()}
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     # names -----------------------------------------------------------------
@@ -72,7 +83,10 @@ class Warehouse:
 
     def _write_version(self, name: str, df: DataFrame) -> int:
         version = max(self._versions(name), default=0) + 1
-        df.write.format("parquet").mode("errorifexists").saveAsTable(self._physical(name, version))
+        writer = df.write.format("parquet").mode("errorifexists")
+        if self.partition_by.get(name):
+            writer = writer.partitionBy(*self.partition_by[name])
+        writer.saveAsTable(self._physical(name, version))
         return version
 
     def _point(self, name: str, version: int) -> None:
@@ -115,7 +129,8 @@ class Warehouse:
         version = self.current_version(name)
         if version is None:
             raise KeyError(f"table {name} does not exist; create() it first")
-        cols = self.table(name).columns
+        # the physical table's column order (partition columns last)
+        cols = self.version_table(name, version).columns
         df.select(*cols).write.insertInto(self._physical(name, version))
 
     def create(self, schemas: Mapping[str, T.StructType] = WAREHOUSE_TABLES) -> None:

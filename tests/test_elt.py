@@ -170,3 +170,17 @@ def test_cli_seed_and_reports(spark, capsys):
     assert "Germany" in capsys.readouterr().out
     for name in ["star", "rank", "top", "continent", "sessions"]:
         assert cli.main(["report", name, "--database", db]) == 0
+
+
+def test_partitioned_fact_table_prunes_by_date(spark, scratch_dir):
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}", partition_by={"fact_health_events": ["date_id"]})
+    res = run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS)
+    assert res.fact_rows_total == 5
+    facts = wh.table("fact_health_events")
+    assert facts.columns[-1] == "date_id"
+    q = facts.where("date_id = 2")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_id" in plan
+    assert q.count() == 2  # 2024-01-16: ARE 30/2 and ind 7/0 (the 0/0 row is not a fact)
+    # rerun in ignore mode appends nothing to the partitioned table
+    assert run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS, on_conflict="ignore").facts_appended == 0
