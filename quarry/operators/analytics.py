@@ -86,7 +86,9 @@ def top_n_per_group(
     """Top-``n`` rows per group by ``ROW_NUMBER()``.  ``order`` should end in a
     unique key so ties resolve deterministically.  The filter on the row number
     plans as ``WindowGroupLimit``: each task keeps at most ``n`` rows per group
-    *before* the shuffle, so a hot group costs no more than a cold one."""
+    *before* the shuffle, so a hot group costs no more than a cold one.  Spark
+    applies that limit for ``n`` up to ``spark.sql.optimizer.
+    windowGroupLimitThreshold`` (1,000 by default); the reports use ``n=1``."""
     w = Window.partitionBy(*partition_cols).orderBy(*order)
     ranked = df.withColumn("_q_rn", F.row_number().over(w)).where(F.col("_q_rn") <= n)
     if rn_alias:
