@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -115,7 +116,15 @@ class Warehouse:
         """Replace several tables together (L1 replace-load, L7 upsert result,
         L11 all-or-nothing): all new versions are written before any view
         moves."""
-        written = {name: self._write_version(name, df) for name, df in frames.items()}
+        items = list(frames.items())
+        if len(items) > 1:
+            # independent writes: submitted from parallel threads, they run as
+            # concurrent Spark jobs; views still move only after all finished
+            with ThreadPoolExecutor(max_workers=min(8, len(items))) as pool:
+                versions = list(pool.map(lambda kv: self._write_version(*kv), items))
+            written = dict(zip(frames, versions))
+        else:
+            written = {name: self._write_version(name, df) for name, df in items}
         for name, version in written.items():
             self._point(name, version)
         return written
