@@ -182,5 +182,10 @@ def test_partitioned_fact_table_prunes_by_date(spark, scratch_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_id" in plan
     assert q.count() == 2  # 2024-01-16: ARE 30/2 and ind 7/0 (the 0/0 row is not a fact)
+    # a join with a filtered date dimension prunes fact directories at run time
+    tuesdays = wh.table("dim_date").where("day_of_week = 'Tuesday'")
+    dpp = facts.join(tuesdays, "date_id")
+    assert "dynamicpruning" in dpp._jdf.queryExecution().executedPlan().toString().lower()
+    assert dpp.count() == 2
     # rerun in ignore mode appends nothing to the partitioned table
     assert run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS, on_conflict="ignore").facts_appended == 0
