@@ -1,6 +1,7 @@
-"""Evidence for the hot-group split: one part is made to hold over a third of
-all line items (rows re-keyed from lineitem itself), then RANK/LAG within
-each part runs once with the plain window and once with the split.  The
+"""Evidence for the hot-group split: one part is made to hold half of all line
+items (rows re-keyed from lineitem itself), then RANK/LAG within each part
+runs once with the plain window and once with the split; likewise one user
+is made to own half of all events for sessionisation.  The
 Spark event log (written to a scratch folder) gives the largest number of
 shuffle records any single task read.
 
@@ -20,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import zstandard  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from quarry.operators.ordered import rank_and_lag  # noqa: E402
+from quarry.operators.ordered import rank_and_lag, sessionize  # noqa: E402
 from quarry.session import build_session  # noqa: E402
 from quarry.sources import tables as T  # noqa: E402
 
@@ -67,6 +68,14 @@ def main() -> None:
         "split": rank_and_lag(hot, ["l_partkey"], "cases", max_group_rows=limit, **args),
     }
     out = {"rows": total, "rows_in_hot_part": in_hot, "max_group_rows": limit}
+    # sessionisation with one user holding every even event
+    ev = T.read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    ev_hot = ev.withColumn("user_id", F.when(F.col("event_id") % 2 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    ev_total = ev_hot.count()
+    ev_limit = max(1, ev_total // 64)
+    runs["sessions_plain"] = sessionize(ev_hot, ["user_id"], "ts", 30, ["event_id"], max_group_rows=ev_total + 1)
+    runs["sessions_split"] = sessionize(ev_hot, ["user_id"], "ts", 30, ["event_id"], max_group_rows=ev_limit)
+    out.update({"events": ev_total, "events_of_hot_user": ev_hot.where("user_id = 0").count()})
     for name, df in runs.items():
         spark.sparkContext.setJobGroup(name, name)
         df.write.format("noop").mode("overwrite").save()
