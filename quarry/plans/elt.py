@@ -115,6 +115,9 @@ def load_clean(
         raise Q.QualityGateError("quality gate failed: " + "; ".join(failed))
     prof = candidate.agg(*[e.alias(k) for k, e in Q.profile_specs(candidate).items()]).first()
     warehouse.publish_version("staging_health_events", version)
+    # each run replaces staging with a full extract: keep the previous
+    # version for readers still on it, drop anything older
+    warehouse.vacuum("staging_health_events", keep=2)
     staging = warehouse.table("staging_health_events")
     t = lap("gate_and_publish", t)
 

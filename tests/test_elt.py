@@ -114,6 +114,8 @@ def test_elt_end_to_end_and_reruns(spark, scratch_dir):
     # rerun as intended: nothing new to insert
     res3 = run_elt(spark, path, wh, run_ts=RUN_TS, on_conflict="ignore")
     assert res3.facts_appended == 0 and res3.fact_rows_total == 10
+    # staging keeps only the current and the previous version
+    assert len(wh._versions("staging_health_events")) == 2
 
 
 def test_gate_failure_publishes_nothing(spark, scratch_dir):
