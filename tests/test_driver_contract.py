@@ -52,3 +52,15 @@ def test_query_matches_oracle(spark, duck, name):
     d_rows = res.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
     assert _canon(df.columns, s_rows) == _canon(d_cols, d_rows)
+
+
+def test_ordered_reports_keep_their_order(spark):
+    q = E.queries()
+    cases = [r.cases for r in q["star_report"](spark, SF_SMALL).collect()]
+    assert cases == sorted(cases, reverse=True)
+    keys = [(r.user_id, r.event_time) for r in q["sessionize"](spark, SF_SMALL).collect()]
+    assert keys == sorted(keys)
+    rates = [r.death_rate_pct for r in q["agg_having"](spark, SF_SMALL).collect()]
+    assert rates == sorted(rates, reverse=True)
+    totals = [r.total_cases for r in q["top_per_group"](spark, SF_SMALL).collect()]
+    assert totals == sorted(totals, reverse=True)
