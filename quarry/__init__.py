@@ -12,3 +12,27 @@ and whole-stage codegen.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+from quarry.operators.analytics import (  # noqa: E402
+    filtered_sum,
+    rank_and_lag,
+    ratio_having,
+    sessionize,
+    top_n_per_group,
+)
+from quarry.operators.quality import gate, run_checks, validate  # noqa: E402
+from quarry.plans.elt import run_elt  # noqa: E402
+from quarry.plans.warehouse import Warehouse  # noqa: E402
+
+__all__ = [
+    "Warehouse",
+    "filtered_sum",
+    "gate",
+    "rank_and_lag",
+    "ratio_having",
+    "run_checks",
+    "run_elt",
+    "sessionize",
+    "top_n_per_group",
+    "validate",
+]
