@@ -4,7 +4,6 @@ assumed on a cluster, and cutting lineage into the shared checkpoint folder."""
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,36 +56,22 @@ def cluster_conf(target_partition_mb: int = 256) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": mb,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.filterPushdown": "true",
-        # MAX(event_id) and COUNT(*) over the fact table from Parquet footers
-        "spark.sql.parquet.aggregatePushdown": "true",
         "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     }
 
 
-_SCRATCH: dict[str, str] = {}
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder where lineage is cut.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is always
     used when present (read from the session, so it also works without a
-    SparkContext, e.g. over Spark Connect).  Next comes a checkpoint folder
-    already set on the context.  Only when neither exists (local tests, smoke
-    runs) is a private scratch folder created, once per session."""
+    SparkContext, e.g. over Spark Connect).  Where it is unset, a folder
+    inside the warehouse is used: the warehouse, too, is shared by the driver
+    and all executors.  A machine-local temporary folder is never used."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # no SparkContext on a remote session
-        current = None
-    if current:
-        return current
-    key = str(id(spark))
-    if key not in _SCRATCH:
-        _SCRATCH[key] = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    return _SCRATCH[key]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quarry_scratch"
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
@@ -97,9 +82,24 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     again to write the checkpoint files, this computes the input exactly
     once; the read-back frame also carries file-size statistics, so the
     planner can size later joins.  If an executor is lost afterwards, the
-    data is re-read from shared storage, never recomputed."""
+    data is re-read from shared storage, never recomputed.
+
+    The folder stays until ``discard`` is called on the returned frame, or is
+    left to the retention rule of the checkpoint folder."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/quarry-{label}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a frame that ``materialize`` returned, once nothing
+    that is still to run reads it.  Other frames are left alone."""
+    path = getattr(df, "_written_to", None)
+    if path is None:
+        return
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
