@@ -276,16 +276,16 @@ OP4_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), s AS (
-  SELECT doc_id, words, UNNEST(range(1, len(words) - 18)) AS at FROM w WHERE len(words) >= 20
+  SELECT doc_id, words, UNNEST(range(1, len(words) - 18)) AS pos FROM w WHERE len(words) >= 20
 ), f AS (
-  SELECT doc_id, at, first_value(struct_pack(d := doc_id, a := at)) OVER (PARTITION BY words[at:at + 19] ORDER BY doc_id, at) AS first FROM s
+  SELECT doc_id, pos, first_value(struct_pack(d := doc_id, a := pos)) OVER (PARTITION BY words[pos:pos + 19] ORDER BY doc_id, pos) AS first FROM s
 ), gone AS (
-  SELECT DISTINCT doc_id, at + k AS at FROM (SELECT doc_id, at, UNNEST(range(0, 20)) AS k FROM f WHERE first.d <> doc_id OR first.a <> at)
+  SELECT DISTINCT doc_id, pos + k AS pos FROM (SELECT doc_id, pos, UNNEST(range(0, 20)) AS k FROM f WHERE first.d <> doc_id OR first.a <> pos)
 ), kept AS (
-  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.at) AS text, COUNT(*) AS n
-  FROM (SELECT doc_id, UNNEST(words) AS word, generate_subscripts(words, 1) AS at FROM w) e
-  LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.at = e.at
-  WHERE g.at IS NULL GROUP BY e.doc_id
+  SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.pos) AS text, COUNT(*) AS n
+  FROM (SELECT doc_id, UNNEST(words) AS word, generate_subscripts(words, 1) AS pos FROM w) e
+  LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos
+  WHERE g.pos IS NULL GROUP BY e.doc_id
 )
 SELECT w.doc_id, len(w.words) AS n_words, CAST(len(w.words) - COALESCE(kept.n, 0) AS BIGINT) AS n_removed,
        sha256(COALESCE(kept.text, '')) AS kept_sha256
