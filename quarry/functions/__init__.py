@@ -2,23 +2,20 @@
 
 from quarry.functions.dates import (
     day_name,
-    epoch_micros,
     iso_week,
     minutes_between,
     month_name,
     now_plus_days,
     ts_literal,
 )
-from quarry.functions.numeric import decimal_sum, safe_pct, truncate_count
+from quarry.functions.numeric import safe_pct, truncate_count
 from quarry.functions.text import CODE_PATTERN, NA_TOKENS, decode_na, matches_code
 
 __all__ = [
     "CODE_PATTERN",
     "NA_TOKENS",
     "day_name",
-    "decimal_sum",
     "decode_na",
-    "epoch_micros",
     "iso_week",
     "matches_code",
     "minutes_between",

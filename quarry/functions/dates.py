@@ -31,17 +31,6 @@ def iso_week(d: Column | str) -> Column:
     return F.weekofyear(_col(d))
 
 
-def epoch_micros(ts: Column | str, ntz: bool = True) -> Column:
-    """Microseconds since the epoch, monotone in ``ts``.  For TIMESTAMP_NTZ
-    (``ntz=True``) the wall-clock value is measured from 1970-01-01 00:00
-    with ``timestamp_diff``, independent of the session time zone (casting
-    to TIMESTAMP first would go through the zone and break order across a
-    daylight-saving change); for TIMESTAMP it is ``unix_micros``."""
-    if ntz:
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _col(ts))
-    return F.unix_micros(_col(ts))
-
-
 def minutes_between(later: Column | str, earlier: Column | str) -> Column:
     """``EXTRACT(EPOCH FROM later - earlier) / 60`` as DOUBLE, keeping fractions
     of a second.  Both sides must have the same type; for TIMESTAMP_NTZ this

@@ -10,18 +10,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_pct(numerator: Column | str, denominator: Column | str, scale: int = 2) -> Column:
+def safe_pct(numerator: Column | str, denominator: Column | str, scale: int = 2, fractional: bool = False) -> Column:
     """``ROUND(num::NUMERIC / NULLIF(den, 0) * 100, scale)``, exact.
 
     NULL when the denominator is 0 or NULL (ANSI Spark would raise on x/0).
-    The numerator is multiplied by 100 *before* dividing and both operands are
-    ``decimal(20,0)``: dividing first keeps only six decimals of the quotient
-    and can round 0.00499.. up to 0.01.  Rounding is half away from zero, as
-    NUMERIC rounding is.  Returned as DOUBLE (the 2-dp decimal, widened)."""
-    num = _col(numerator).cast("bigint") * F.lit(100)
-    den = F.nullif(_col(denominator).cast("bigint"), F.lit(0))
-    quotient = num.cast("decimal(20,0)") / den.cast("decimal(20,0)")
-    return F.round(quotient, scale).cast("double")
+    Operands are DECIMAL: whole numbers of the full BIGINT range, or with
+    ``fractional`` up to six decimals.  The numerator is multiplied by 100
+    *before* dividing, since dividing first keeps only six decimals of the
+    quotient and can round 0.00499.. up to 0.01.  Rounding is half away from
+    zero, as NUMERIC rounding is.  Returned as DOUBLE (the 2-dp decimal,
+    widened)."""
+    kind = "decimal(25,6)" if fractional else "decimal(19,0)"
+    num = _col(numerator).cast(kind) * F.lit(100).cast("decimal(3,0)")
+    den = F.nullif(_col(denominator).cast(kind), F.lit(0).cast(kind))
+    return F.round(num / den, scale).cast("double")
 
 
 def truncate_count(c: Column | str, fill: float = 0.0) -> Column:
@@ -30,9 +32,3 @@ def truncate_count(c: Column | str, fill: float = 0.0) -> Column:
     x = _col(c).cast("double")
     x = F.when(x.isNull() | F.isnan(x), F.lit(fill)).otherwise(x)
     return x.cast("bigint")
-
-
-def decimal_sum(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
-    """SUM of a money-like DOUBLE made order-independent: each value is cast to
-    DECIMAL before summing, so the total does not depend on partitioning."""
-    return F.sum(_col(c).cast(f"decimal({precision},{scale})"))

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from quarry.functions.numeric import safe_pct
 from quarry.operators.ordered import rank_and_lag, sessionize
@@ -28,7 +29,11 @@ __all__ = [
 
 def death_rate(df: DataFrame, num: str, den: str, alias: str = "death_rate_pct") -> DataFrame:
     """Add the safe percentage ``ROUND(num / NULLIF(den, 0) * 100, 2)``."""
-    return df.withColumn(alias, safe_pct(num, den))
+    return df.withColumn(alias, safe_pct(num, den, fractional=_fractional(df, num, den)))
+
+
+def _fractional(df: DataFrame, *cols: str) -> bool:
+    return not all(isinstance(df.schema[c].dataType, IntegralType) for c in cols)
 
 
 def order_desc(df: DataFrame, col: str, tie_cols: Sequence[str] = ()) -> DataFrame:
@@ -40,9 +45,13 @@ def order_desc(df: DataFrame, col: str, tie_cols: Sequence[str] = ()) -> DataFra
 
 def sum_by(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
     """``SELECT keys, SUM(m) AS alias ... GROUP BY keys`` (NULL keys form a
-    group).  Integer measures are summed as BIGINT."""
-    aggs = [F.sum(F.col(src).cast("bigint")).alias(alias) for alias, src in measures.items()]
-    return df.groupBy(*keys).agg(*aggs)
+    group).  Integers are summed as BIGINT, decimals and floating point
+    numbers as they are."""
+
+    def total(src: str) -> Column:
+        return F.sum(F.col(src) if _fractional(df, src) else F.col(src).cast("bigint"))
+
+    return df.groupBy(*keys).agg(*[total(src).alias(alias) for alias, src in measures.items()])
 
 
 def filtered_sum(
@@ -70,7 +79,7 @@ def ratio_having(
     groups whose rate is strictly above ``min_pct`` (a NULL rate drops out),
     ordered by rate DESC NULLS FIRST then keys."""
     agg = sum_by(df, keys, {den_alias: den, num_alias: num})
-    rated = agg.withColumn(rate_alias, safe_pct(num_alias, den_alias))
+    rated = agg.withColumn(rate_alias, safe_pct(num_alias, den_alias, fractional=_fractional(agg, num_alias, den_alias)))
     return rated.where(F.col(rate_alias) > F.lit(float(min_pct))).orderBy(
         F.col(rate_alias).desc_nulls_first(), *[F.col(k).asc_nulls_last() for k in keys]
     )

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.dates import ts_literal
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from quarry.operators.keys import assign_fact_ids, max_id
 from quarry.operators.merge import first_per_key
 from quarry.schemas import FACT_NATURAL_KEY
+from quarry.session import materialize
 
 FACT_COLUMNS = (
     "date_id",
@@ -27,12 +27,11 @@ FACT_COLUMNS = (
 )
 
 
-def _keyed(staging: DataFrame, dim_date: DataFrame, dim_location: DataFrame, max_dim_rows: int) -> DataFrame:
+def _keyed(staging: DataFrame, dim_date: DataFrame, dim_location: DataFrame) -> DataFrame:
     # The join key is an expression (event_date::DATE); computing it as a
-    # column first keeps the join an equi-join.  Both dimensions are bounded
-    # (a calendar, a country list) and broadcast after a size check.
-    dd = bounded_broadcast(dim_date.select("date_id", F.col("full_date").alias("_q_day")), max_dim_rows)
-    dl = bounded_broadcast(dim_location.select("location_id", "iso_code"), max_dim_rows)
+    # column first keeps the join an equi-join
+    dd = dim_date.select("date_id", F.col("full_date").alias("_q_day"))
+    dl = dim_location.select("location_id", "iso_code")
     return (
         staging.withColumn("_q_day", F.to_date(F.col("event_date")))
         .join(dd, "_q_day")
@@ -47,19 +46,19 @@ def build_facts(
     disease_id: int = 1,
     source_id: int = 1,
     loaded_at: dt.datetime | None = None,
-    max_dim_rows: int = DEFAULT_BROADCAST_ROWS,
     matched: Observation | None = None,
 ) -> DataFrame:
-    """``SELECT date_id, location_id, <disease>, <source>, cases, deaths,
-    loaded_at FROM staging JOIN dim_date ON full_date = event_date::DATE JOIN
-    dim_location USING (iso_code) WHERE cases > 0 OR deaths > 0``.
+    """Fact rows of a staged batch, without ids.
 
-    Staging rows without a matching date or location drop out (J5); list
-    them with ``unmatched_staging`` or count them through ``matched``.  ``recovered`` takes its default 0 and
+    A staging row becomes a fact when its day and its location code are known
+    to the dimensions and it reports at least one case or death; rows of an
+    unknown day or location drop out (J5: list them with
+    ``unmatched_staging``, count them through ``matched``).  Disease and
+    source are the constants given.  ``recovered`` takes its default 0 and
     ``loaded_at`` the staging value unless a run timestamp is given (L9).
-    Counts are cast to INT as the fact columns are; an oversize value
-    raises under ANSI rather than wrapping."""
-    keyed = _keyed(staging, dim_date, dim_location, max_dim_rows)
+    Counts are cast to INT as the fact columns are; an oversize value raises
+    under ANSI rather than wrapping."""
+    keyed = _keyed(staging, dim_date, dim_location)
     if matched is not None:
         # rows that found both dimensions, counted by whatever action runs
         # the load (dimension keys are unique, so staging rows minus this
@@ -83,13 +82,16 @@ def unmatched_staging(
     staging: DataFrame, dim_date: DataFrame, dim_location: DataFrame
 ) -> DataFrame:
     """Staging rows the fact joins would silently drop (no date or no
-    location), as a DataFrame to count or inspect."""
-    days = dim_date.select(F.col("full_date").alias("_q_day"))
-    codes = dim_location.select("iso_code")
-    s = staging.withColumn("_q_day", F.to_date(F.col("event_date")))
-    no_date = s.join(days, "_q_day", "left_anti")
-    no_loc = s.join(codes, "iso_code", "left_anti")
-    return no_date.unionByName(no_loc).drop("_q_day").distinct()
+    location), every one of them, equal rows included."""
+    days = dim_date.select(F.col("full_date").alias("_q_day")).distinct().withColumn("_q_has_day", F.lit(True))
+    codes = dim_location.select("iso_code").distinct().withColumn("_q_has_code", F.lit(True))
+    joined = (
+        staging.withColumn("_q_day", F.to_date(F.col("event_date")))
+        .join(days, "_q_day", "left")
+        .join(codes, "iso_code", "left")
+    )
+    lost = joined.where(F.col("_q_has_day").isNull() | F.col("_q_has_code").isNull())
+    return lost.select(*staging.columns)
 
 
 def load_facts(
@@ -98,29 +100,37 @@ def load_facts(
     on_conflict: str = "append",
     natural_key: Sequence[str] = FACT_NATURAL_KEY,
     id_col: str = "event_id",
+    start_after: int | None = None,
 ) -> DataFrame:
-    """Rows to append to the fact table, with ids above the current maximum.
+    """Rows to append to the fact table, with ids above ``start_after``, the
+    high-water mark of the ids (found by a scan of ``existing`` if not given).
 
     ``on_conflict="append"`` is what the reference does: the fact has no
     unique key, so a rerun duplicates every fact.  ``"ignore"`` is what it
     intends: one row per natural key within the batch and none whose key is
-    already loaded (left anti join)."""
+    already loaded (left anti join); the batch is written once, since its
+    date range and its rows are both needed.
+
+    Ids come from row positions, so write the result in the action that
+    computes it."""
     if on_conflict not in ("append", "ignore"):
         raise ValueError(f"on_conflict must be 'append' or 'ignore', not {on_conflict!r}")
     out = facts
     if on_conflict == "ignore":
         out = first_per_key(out, natural_key)
         if existing is not None:
+            out = materialize(out, "batch")
             out = out.join(_conflict_candidates(existing, out, natural_key), list(natural_key), "left_anti")
-    with_ids = assign_fact_ids(out.select(*FACT_COLUMNS), id_col, max_id(existing, id_col))
+    mark = max_id(existing, id_col) if start_after is None else start_after
+    with_ids = assign_fact_ids(out.select(*FACT_COLUMNS), id_col, mark)
     # rows of a file sorted by (date, location): Parquet row groups then carry
     # tight min/max ranges, so date predicates skip most of the table
     return with_ids.select(id_col, *FACT_COLUMNS).sortWithinPartitions("date_id", "location_id")
 
 
 def _conflict_candidates(existing: DataFrame, batch: DataFrame, natural_key: Sequence[str]) -> DataFrame:
-    """Existing natural keys that could collide with the batch: only those in
-    the batch's date_id range.  The range predicate reaches the Parquet scan
+    """Existing natural keys that could collide with the (written) batch: only
+    those in its date_id range.  The range predicate reaches the Parquet scan
     (row groups outside it are skipped), so an incremental load reads and
     shuffles the facts of its own days, not the whole history."""
     keys = existing.select(*natural_key)

@@ -1,41 +1,17 @@
-"""Join helpers: size-checked broadcast and the star join."""
+"""The star join."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it provably has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows.  Stops reading after
-    ``max_rows + 1`` rows, so the check is cheap even on a large input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking its size.  Beyond the bound
-    the frame is returned unmarked and the planner (with AQE) picks a shuffle
-    join, so a dimension that grows with the data can never blow up the driver
-    or executors."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def star_join(
-    fact: DataFrame,
-    dims: Sequence[tuple[DataFrame, str | Sequence[str], bool]],
-    how: str = "inner",
-) -> DataFrame:
-    """Join a fact to several dimensions.  Each entry is ``(dim, key, small)``:
-    ``key`` is a shared column name (or names); ``small=True`` means the
-    dimension has a size bounded independently of the data (a calendar, a
-    fixed region list) and is broadcast after a size check."""
+def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str]]], how: str = "inner") -> DataFrame:
+    """Join a fact to several dimensions, each ``(dim, key or keys)``.  No
+    broadcast hints: the planner decides by the size in bytes, from file
+    statistics before the run and from measured shuffles during it."""
     out = fact
-    for dim, key, small in dims:
-        side = bounded_broadcast(dim) if small else dim
-        out = out.join(side, list(key) if not isinstance(key, str) else key, how)
+    for dim, key in dims:
+        out = out.join(dim, list(key) if not isinstance(key, str) else key, how)
     return out

@@ -1,12 +1,11 @@
 """Surrogate keys (L4: the re-aim of SERIAL).
 
 Dimensions: dense ids ``base+1, base+2, ...`` in the order of a natural key.
-A size-checked small input is numbered by ``row_number()``; anything larger
-is numbered without a global window (which would pull every row into one task):
-rows are range-partitioned and sorted on the key, each partition numbers its
-rows locally, and a tiny per-partition count table gives each partition its
-offset.  The numbered frame is materialised first (written once to the
-checkpoint folder) so the ids can never change on re-evaluation.
+There is one path for every size and no global window over rows (which would
+pull them into one task): rows are range-partitioned and sorted on the key,
+each partition numbers its rows locally, and a per-partition count table gives
+each partition its offset.  The numbered frame is written once first, so the
+ids can never change on re-evaluation.
 
 Facts: ids only need to be unique and above the previous high-water mark, so
 ``monotonically_increasing_id`` is enough (gaps allowed, as with SERIAL)."""
@@ -18,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import row_count_at_most
 from quarry.session import materialize
 
 
@@ -30,32 +28,19 @@ def max_id(existing: DataFrame | None, id_col: str) -> int:
     return int(value) if value is not None else 0
 
 
-# Inputs proven to hold at most this many rows are numbered in one task.
-SMALL_KEY_ROWS = 100_000
-
-
 def assign_keys(
     df: DataFrame,
     id_col: str,
     order_cols: Sequence[str],
     start_after: int = 0,
     num_partitions: int | None = None,
-    small_rows: int = SMALL_KEY_ROWS,
 ) -> DataFrame:
     """Add ``id_col`` = ``start_after + 1 .. start_after + n`` following
-    ``order_cols`` (ascending, NULLs last).  ``order_cols`` should be unique
-    for the ids to be reproducible.
-
-    When a size check proves the input has at most ``small_rows`` rows (new
-    dates, new countries), ``row_number()`` over the key order numbers it in
-    one task; with unique keys that is deterministic, so nothing needs to be
-    materialised.  Larger inputs take the distributed path below."""
-    order = [F.col(c).asc_nulls_last() for c in order_cols]
-    if num_partitions is None and small_rows > 0 and row_count_at_most(df, small_rows):
-        w = Window.orderBy(*order)  # bounded: at most small_rows rows
-        return df.select(
-            *df.columns, (F.lit(start_after) + F.row_number().over(w)).cast("bigint").alias(id_col)
-        )
+    ``order_cols`` (ascending, NULLs last).  Rows that tie there, such as rows
+    with NULL keys, are ordered by all their other columns, so equal inputs
+    get equal ids; only rows equal in every column are interchangeable."""
+    rest = [c for c in df.columns if c not in order_cols]
+    order = [F.col(c).asc_nulls_last() for c in [*order_cols, *rest]]
     # Without an explicit count AQE sizes the range partitions; coalescing
     # only merges adjacent ranges, in order, so partition ids still follow
     # the key order.
@@ -70,12 +55,12 @@ def assign_keys(
     )
     numbered = materialize(numbered, "keys")
     counts = numbered.groupBy("_q_pid").agg(F.count(F.lit(1)).alias("_q_n"))
-    # one row per partition: a window over it is bounded by the partition count
+    # one row per partition, so this window is bounded by the partition count
     before = Window.orderBy("_q_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_q_pid", F.coalesce(F.sum("_q_n").over(before), F.lit(0)).alias("_q_off")
     )
-    return numbered.join(F.broadcast(offsets), "_q_pid").select(
+    return numbered.join(offsets, "_q_pid").select(
         *df.columns,
         (F.lit(start_after) + F.col("_q_off") + F.col("_q_pos") + F.lit(1)).cast("bigint").alias(id_col),
     )

@@ -4,13 +4,16 @@ distributed when a single group is hot.
 A plain ``Window.partitionBy(g)`` sends every row of a group to one task; if
 one group holds a third of all rows, one task sorts a third of the data.
 
-Here a cheap count finds the groups above ``max_group_rows`` (on ``probe``,
-e.g. the fact before its dimension joins).  Ordinary groups use the plain
-window.  Rows of hot groups are range-partitioned on the *whole* sort order
-``(group, order key, tie columns)`` into ``ceil(hot rows / max_group_rows)``
-partitions, so even a single repeated order value is split across tasks.
-Each (group, partition) is windowed locally, and a summary with one row per
-(group, partition) supplies what crosses partition borders:
+Here a count finds the groups above ``max_group_rows`` (on ``probe``, e.g.
+the fact before its dimension joins).  Ordinary groups use the plain window.
+Rows of hot groups are range-partitioned on the *whole* sort order ``(group,
+order key, tie columns)`` into ``ceil(hot rows / max_group_rows)`` partitions,
+so even a single repeated order value is split across tasks.  The partitioned
+rows, each tagged with its partition, are written once: range bounds come
+from a sample, so every later step must read the same partitioning instead of
+evaluating it again.  Each (group, partition) is windowed locally, and a
+summary with one row per (group, partition) supplies what crosses partition
+borders:
 
 - the global row number offset (rows of the group in earlier partitions);
 - the previous row's value (for LAG and for session gaps);
@@ -18,9 +21,9 @@ Each (group, partition) is windowed locally, and a summary with one row per
   (RANK = global row number of the first peer);
 - session-flag offsets and each group's flag total.
 
-The summary's size is bounded by ``hot groups + partitions`` (known before it
-is built), so it is broadcast back when small.  Results equal the plain
-window exactly (tests force every group hot)."""
+The summary has at most hot groups + partitions rows; how it is joined back
+is left to the planner.  Results equal the plain window (tests and two
+registered queries force every group hot, with thousands of rows per range)."""
 
 from __future__ import annotations
 
@@ -37,11 +40,6 @@ from quarry.session import materialize
 
 # Rows a single window task may own before its group is split.
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
-# Hot-group keys come back to the driver as a list up to this many groups.
-MAX_HOT_GROUPS = 100_000
-# At most this many summary rows are broadcast; beyond, shuffle join.
-MAX_BROADCAST_SUMMARY_ROWS = 2_000_000
-MAX_RANGE_PARTITIONS = 200_000
 
 _PID = "_q_pid"
 _HOT = "_q_hot"
@@ -49,30 +47,22 @@ _HOT = "_q_hot"
 
 @dataclass
 class _Hot:
-    keys: DataFrame | None
+    keys: DataFrame
     groups: int
     rows: int
 
 
 def _find_hot(src: DataFrame, keys: Sequence[str], max_group_rows: int) -> _Hot:
-    """Groups of ``src`` with more than ``max_group_rows`` rows.  At most
-    rows/max_group_rows groups can qualify; up to MAX_HOT_GROUPS of them come
-    back as a small list in one job, beyond that they stay in Spark."""
+    """Groups of ``src`` with more than ``max_group_rows`` rows, written as a
+    small table (at most rows / max_group_rows groups can qualify)."""
     counts = (
         src.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_q_n"))
         .where(F.col("_q_n") > F.lit(max_group_rows))
     )
-    rows = counts.limit(MAX_HOT_GROUPS + 1).collect()
-    if not rows:
-        return _Hot(None, 0, 0)
-    if len(rows) <= MAX_HOT_GROUPS:
-        spark = src.sparkSession
-        hot = spark.createDataFrame([tuple(r)[: len(keys)] for r in rows], counts.select(*keys).schema)
-        return _Hot(hot, len(rows), sum(r["_q_n"] for r in rows))
     kept = materialize(counts, "hot-groups")
     n, total = kept.agg(F.count(F.lit(1)), F.sum("_q_n")).first()
-    return _Hot(kept.select(*keys), int(n), int(total))
+    return _Hot(kept.select(*keys), int(n), int(total or 0))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -82,29 +72,26 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(renamed, cond, how).drop(*[f"_q_r_{c}" for c in on])
 
 
-def _side(df: DataFrame, bound: int) -> DataFrame:
-    return F.broadcast(df) if bound <= MAX_BROADCAST_SUMMARY_ROWS else df
-
-
 def _mark_hot(df: DataFrame, keys: Sequence[str], hot: _Hot) -> DataFrame:
-    side = hot.keys.withColumn(_HOT, F.lit(True))
-    marked = _null_safe_join(df, _side(side, hot.groups), keys, "left")
-    return marked.withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
+    """``df`` with a flag for rows of hot groups, written once: both branches
+    read it, and the plan below it runs a single time."""
+    marked = _null_safe_join(df, hot.keys.withColumn(_HOT, F.lit(True)), keys, "left")
+    return materialize(marked.withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))), "marked")
 
 
 def _range_partitioned(
     rows: DataFrame, keys: Sequence[str], sort: Sequence[Column], hot: _Hot, max_group_rows: int
-) -> tuple[DataFrame, int]:
+) -> DataFrame:
     """Range-partition hot rows on (keys, sort...) and tag each row with its
-    partition; partitions follow the global sort order."""
-    n = max(1, min(MAX_RANGE_PARTITIONS, math.ceil(hot.rows / max(1, max_group_rows))))
+    partition; partitions follow the global sort order.  The tagged rows are
+    written once and read back."""
+    n = max(1, math.ceil(hot.rows / max(1, max_group_rows)))
     ranged = rows.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *sort)
-    tagged = ranged.withColumn(_PID, F.spark_partition_id())
+    tagged = materialize(ranged.withColumn(_PID, F.spark_partition_id()), "ranges")
     # The windows cluster by (keys, partition id).  Hashing the id alone into
-    # four times as many buckets as ranges keeps about one range per task
-    # (no sampling pass, unlike a second range partitioning) and satisfies
-    # that clustering, so the windows add no exchange of their own.
-    return tagged.repartition(4 * n, F.col(_PID)), n
+    # four times as many buckets as ranges keeps about one range per task and
+    # satisfies that clustering, so the windows add no exchange of their own.
+    return tagged.repartition(4 * n, F.col(_PID))
 
 
 def _sort_key(c: Column, descending: bool, nulls_first: bool) -> Column:
@@ -154,7 +141,7 @@ def rank_and_lag(
     marked = _mark_hot(df, keys, hot)
     cold = _plain_rank_lag(marked.where(~F.col(_HOT)), keys, o, key, ties, rank_alias, lag_alias, cols)
 
-    ranged, n = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
+    ranged = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
     kp = [*keys, _PID]
     w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
     w_vals = Window.partitionBy(*kp).orderBy(key)
@@ -195,7 +182,7 @@ def rank_and_lag(
         .otherwise(F.col("_q_off") + F.lit(1))
         .alias("_q_first_rank"),
     )
-    joined = _null_safe_join(local, _side(offsets, hot.groups + n), kp, "left")
+    joined = _null_safe_join(local, offsets, kp, "left")
     rank = F.when(o.eqNullSafe(F.col("_q_first")), F.col("_q_first_rank")).otherwise(
         F.col("_q_off") + F.col("_q_lfirst")
     )
@@ -248,7 +235,7 @@ def sessionize(
     marked = _mark_hot(df, keys, hot)
     cold = _plain_sessions(marked.where(~F.col(_HOT)), keys, ts, key, ties, flag, gap_alias, session_alias, cols)
 
-    ranged, n = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
+    ranged = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
     kp = [*keys, _PID]
     w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
     local = ranged.withColumn("_q_lrn", F.row_number().over(w_rows)).withColumn(
@@ -286,7 +273,7 @@ def sessionize(
         # is the group's total
         F.sum("_q_flags").over(Window.partitionBy(*keys)).alias("_q_total"),
     )
-    joined = _null_safe_join(local, _side(offsets, hot.groups + n), kp, "left")
+    joined = _null_safe_join(local, offsets, kp, "left")
     prev = F.when(F.col("_q_lrn") == 1, F.col("_q_prev_last")).otherwise(F.col("_q_lprev"))
     # For non-NULL times only the first of several same-time events can carry
     # a flag, so the ROWS running sum equals the RANGE (peer) sum.

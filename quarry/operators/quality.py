@@ -434,7 +434,8 @@ def gate(df: DataFrame, now: dt.datetime) -> tuple[bool, list[Row]]:
 
 
 class QualityGateError(RuntimeError):
-    """The gate failed; nothing has been written."""
+    """The gate failed: the batch was written as an unpublished version and
+    dropped again, so no reader ever saw it (G2)."""
 
 
 # Constraint checks ----------------------------------------------------

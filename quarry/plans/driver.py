@@ -28,6 +28,11 @@ from quarry.sources import tables as T
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Rows of a group above which the *_split queries split it: far below what a
+# task can sort, so that splitting shows at every size of the tables.
+SPLIT_ROWS = 1500
+SPLIT_GAP_MINUTES = 10.0
+
 _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
 
@@ -116,14 +121,14 @@ WITH {_STAR_CTE}
 SELECT event_date, country, continent, disease_name, disease_type,
        cases, deaths, recovered, {_rate_sql('deaths', 'cases')} AS death_rate_pct
 FROM star
-ORDER BY cases DESC NULLS FIRST, l_orderkey, l_linenumber
+ORDER BY cases DESC NULLS FIRST, l_orderkey, l_linenumber, l_partkey, deaths, recovered
 """,
 )
 def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readable star report (J1 + P7 + O1): the fact joined to all its
     dimensions, death rate per row, highest case counts first."""
     report = A.death_rate(_star(spark, sf_dir), "deaths", "cases")
-    ordered = A.order_desc(report, "cases", ["l_orderkey", "l_linenumber"])
+    ordered = A.order_desc(report, "cases", ["l_orderkey", "l_linenumber", "l_partkey", "deaths", "recovered"])
     return ordered.select(
         "event_date",
         "country",
@@ -155,10 +160,14 @@ FROM star
 )
 def rank_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RANK and LAG of cases within each disease (C4: J2 + W1 + W2).  Both
-    windows share one partitioning; a hot disease is split by case ranges
-    (sizes probed on the fact alone, before the joins)."""
+    windows share one partitioning; a hot disease is split by case ranges.
+    The windows run over the fact with the country of its order; the disease
+    only has to exist before them (semi join), and its name is joined after,
+    so no join is keyed by a hot disease while rows are still to be ranked."""
+    located = _star(spark, sf_dir, with_part=False).select("l_orderkey", "l_linenumber", "l_partkey", "cases", "country")
+    names = T.diseases(spark, sf_dir).select("l_partkey", "disease_name")
     ranked = A.rank_and_lag(
-        _star(spark, sf_dir),
+        located.join(names.select("l_partkey"), "l_partkey", "left_semi"),
         ["l_partkey"],
         "cases",
         tie_cols=["l_orderkey", "l_linenumber"],
@@ -166,11 +175,38 @@ def rank_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
         lag_alias="prev_country_cases",
         probe=T.event_facts(spark, sf_dir),
     )
-    return ranked.select(
+    return ranked.join(names, "l_partkey").select(
         "country", "disease_name", "cases", "rank_within_disease", "prev_country_cases"
     )
 
 
+@register(
+    "rank_lag_split",
+    """
+WITH f AS (
+    SELECT l_linestatus, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice,
+           CAST(trunc(l_quantity) AS BIGINT) AS cases
+    FROM lineitem
+)
+SELECT l_linestatus, l_orderkey, l_linenumber, l_partkey, cases,
+       CAST(RANK() OVER (PARTITION BY l_linestatus ORDER BY cases DESC NULLS FIRST) AS BIGINT) AS rank_in_status,
+       LAG(cases) OVER (PARTITION BY l_linestatus ORDER BY cases DESC NULLS FIRST,
+                        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS prev_cases
+FROM f
+""",
+)
+def rank_lag_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2 with every group split: each line status holds a large part of
+    all rows, so its windows always run over several ranges."""
+    rows = T.read_table(spark, sf_dir, "lineitem").select(
+        "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
+        F.col("l_quantity").cast("bigint").alias("cases"),
+    )
+    ties = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    out = A.rank_and_lag(rows, ["l_linestatus"], "cases", tie_cols=ties, rank_alias="rank_in_status", lag_alias="prev_cases", max_group_rows=SPLIT_ROWS)
+    return out.select("l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "cases", "rank_in_status", "prev_cases")
+
+
 # C5 -----------------------------------------------------------------------
 
 
@@ -326,6 +362,28 @@ def sessionize_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("user_id", "event_time", "event_type", "gap_minutes", "session_id")
 
 
+@register(
+    "sessionize_split",
+    f"""
+WITH g AS (
+    SELECT event_type, ts AS event_time, event_id,
+           epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY event_type ORDER BY ts ASC NULLS LAST, event_id)) AS us
+    FROM events
+), m AS (SELECT *, us / CAST(60000000 AS DOUBLE) AS gap_minutes FROM g)
+SELECT event_type, event_time, event_id, gap_minutes,
+       CAST(SUM(CASE WHEN gap_minutes > {SPLIT_GAP_MINUTES} OR gap_minutes IS NULL THEN 1 ELSE 0 END)
+            OVER (PARTITION BY event_type ORDER BY event_time ASC NULLS LAST) AS BIGINT) AS session_id
+FROM m
+""",
+)
+def sessionize_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4-W6 with every group split: bursts of activity per event type."""
+    events = T.read_table(spark, sf_dir, "events").select("event_type", F.col("ts").alias("event_time"), "event_id")
+    return A.sessionize(
+        events, ["event_type"], "event_time", gap_minutes=SPLIT_GAP_MINUTES, tie_cols=["event_id"], max_group_rows=SPLIT_ROWS
+    ).select("event_type", "event_time", "event_id", "gap_minutes", "session_id")
+
+
 # ==========================================================================
 # ELT side: extract -> clean -> gate -> staging -> dimensions -> facts
 # ==========================================================================
@@ -916,7 +974,7 @@ WITH {_RAW_CTE},
 first_dates AS (SELECT DISTINCT CAST(event_date AS DATE) AS d FROM staging
                 WHERE event_date < {FIRST_LOAD_BEFORE_SQL}),
 first_codes AS (SELECT DISTINCT iso_code FROM staging WHERE event_date < {FIRST_LOAD_BEFORE_SQL})
-SELECT DISTINCT * FROM staging s
+SELECT * FROM staging s
 WHERE CAST(s.event_date AS DATE) NOT IN (SELECT d FROM first_dates)
    OR s.iso_code NOT IN (SELECT iso_code FROM first_codes)
 """,
@@ -1011,7 +1069,7 @@ def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def code_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V8 on a code derived from the order priority (its first word)."""
     o = T.read_table(spark, sf_dir, "orders").select(
-        F.upper(F.split_part(F.substring("o_orderpriority", 3, 1 << 20), F.lit(" "), F.lit(1))).alias("code")
+        F.upper(F.split_part(F.substr("o_orderpriority", F.lit(3)), F.lit(" "), F.lit(1))).alias("code")
     )
     return Q.run_checks(o, [Q.code_format(o, "code", name="priority_code_format")]).select(*_CHECK_COLS)
 

@@ -16,7 +16,7 @@ from quarry.operators.merge import upsert
 def _with_dims(fact: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
     # dimensions of the health star are bounded (calendar, countries,
     # diseases): broadcast after a size check
-    return star_join(fact, [(d, k, True) for d, k in dims])
+    return star_join(fact, dims)
 
 
 def star_report(

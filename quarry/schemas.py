@@ -87,16 +87,6 @@ USER_EVENTS = T.StructType(
     ]
 )
 
-VALIDATION_RESULT = T.StructType(
-    [
-        T.StructField("check_name", T.StringType(), False),
-        T.StructField("passed", T.BooleanType(), False),
-        T.StructField("metric", T.DoubleType(), True),
-        T.StructField("threshold", T.DoubleType(), True),
-        T.StructField("message", T.StringType(), True),
-    ]
-)
-
 WAREHOUSE_TABLES = {
     "staging_health_events": STAGING,
     "dim_date": DIM_DATE,

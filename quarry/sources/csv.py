@@ -17,6 +17,17 @@ class MissingColumnsError(ValueError):
     """The source lacks a column the projection needs."""
 
 
+def csv_options(reader):
+    """The reading rules of the feed, for batch and stream readers alike."""
+    return (
+        reader.option("header", True)
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .option("multiLine", False)
+    )
+
+
 def read_csv_projected(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -29,14 +40,14 @@ def read_csv_projected(
     line to learn the names).  The projection prunes the CSV parser to the
     selected columns (``ReadSchema`` lists just these).  A column absent from
     the header raises ``MissingColumnsError``.  Fields equal to one of
-    ``na_tokens`` become NULL, as ``pandas.read_csv`` does by default."""
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("mode", "FAILFAST")
-        .option("multiLine", False)
-    )
-    raw = reader.csv(path if isinstance(path, str) else list(path))
+    ``na_tokens`` become NULL, as ``pandas.read_csv`` does by default.
+
+    Quotes inside quoted fields are doubled (RFC 4180).  Of several files each
+    must have the header of the first; a file with other or reordered columns
+    raises instead of having its values exchanged.  A line with fewer or more
+    fields than the header raises, and so does a line break inside a quoted
+    field: files are split by lines, and neither occurs in the feed."""
+    raw = csv_options(spark.read).option("inferSchema", False).csv(path if isinstance(path, str) else list(path))
     missing = [c for c in columns if c not in raw.columns]
     if missing:
         raise MissingColumnsError(f"missing columns in {path}: {missing}")

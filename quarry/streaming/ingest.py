@@ -23,6 +23,7 @@ from quarry.operators.clean import clean_events
 from quarry.plans.elt import load_clean
 from quarry.plans.warehouse import Warehouse
 from quarry.schemas import RAW_COLUMNS
+from quarry.sources.csv import csv_options
 
 
 def read_csv_stream(
@@ -33,12 +34,13 @@ def read_csv_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """File-stream CSV source.  A stream needs its schema up front, so the
-    file's full header (all strings) is given; only ``columns`` are kept."""
+    file's full header (all strings) is given; only ``columns`` are kept.  A
+    file whose header differs from it stops the query."""
     missing = [c for c in columns if c not in header_columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header_columns])
-    reader = spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
+    reader = csv_options(spark.readStream.schema(schema))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(folder)

@@ -1,29 +1,19 @@
-"""Size-checked broadcast: hinted only within the proven bound."""
+"""The star join leaves the physical join to the planner."""
 
 from __future__ import annotations
 
-from quarry.operators.joins import bounded_broadcast, row_count_at_most, star_join
+from quarry.operators.joins import star_join
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_bounded_broadcast_respects_the_bound(spark):
-    fact = spark.range(0, 1000).withColumnRenamed("id", "k")
-    dim = spark.range(0, 50).withColumnRenamed("id", "k")
+def test_star_join_follows_the_planners_threshold(spark):
+    fact = spark.range(0, 1000).selectExpr("id AS k", "id % 7 AS k2")
+    dims = [(spark.range(0, 50).withColumnRenamed("id", "k"), "k"), (spark.range(0, 7).withColumnRenamed("id", "k2"), ["k2"])]
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert row_count_at_most(dim, 50) and not row_count_at_most(dim, 49)
-        small = fact.join(bounded_broadcast(dim, 50), "k")
-        large = fact.join(bounded_broadcast(dim, 49), "k")
-        assert "BroadcastHashJoin" in _plan(small)
-        assert "BroadcastHashJoin" not in _plan(large)
-        assert small.count() == large.count() == 50
-        fact2 = fact.selectExpr("k", "k % 7 AS k2")
-        dim2 = spark.range(0, 7).withColumnRenamed("id", "k2")
-        starred = star_join(fact2, [(dim, "k", True), (dim2, "k2", False)])
-        assert starred.count() == 50
+        for threshold, broadcast in (("-1", False), ("10MB", True)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            starred = star_join(fact, dims)
+            assert ("BroadcastHashJoin" in starred._jdf.queryExecution().executedPlan().toString()) == broadcast
+            assert starred.count() == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

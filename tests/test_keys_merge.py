@@ -77,15 +77,19 @@ def test_assign_keys_with_adaptive_range_partitions(spark):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
     try:
         df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("k")).repartition(11)
-        out = assign_keys(df, "kid", ["k"], small_rows=0)
+        out = assign_keys(df, "kid", ["k"])
         rows = sorted((r.k, r.kid) for r in out.collect())
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     assert [kid for _, kid in rows] == list(range(1, 3001))
 
 
-def test_assign_keys_small_and_distributed_paths_agree(spark):
-    df = spark.range(0, 4000).select((F.col("id") * 613 % 4000).alias("k"), (F.col("id") % 7).alias("v"))
-    small = sorted(tuple(r) for r in assign_keys(df, "kid", ["k"], start_after=5).collect())
-    dist = sorted(tuple(r) for r in assign_keys(df, "kid", ["k"], start_after=5, small_rows=0).collect())
-    assert small == dist
+def test_null_keyed_rows_get_the_same_ids_on_every_run(spark):
+    # ties on a NULL key are broken by the other columns, whatever the arrival order
+    rows = [(None, i * 31 % 200) for i in range(200)] + [(i, 0) for i in range(50)]
+    want = None
+    for parts in (1, 7, 13):
+        df = spark.createDataFrame(rows, "k int, v int").repartition(parts)
+        got = sorted((r.kid, r.v) for r in assign_keys(df, "kid", ["k"], start_after=5, num_partitions=parts).collect())
+        want = want or got
+        assert got == want and [i for i, _ in got] == list(range(6, 256))
