@@ -83,7 +83,13 @@ def _report(args: argparse.Namespace) -> int:
         "rate": lambda: R.death_rate_above(t("fact_health_events"), t("dim_location"), args.min_pct),
         "sessions": lambda: R.sessions(seed_user_events(spark), args.gap_minutes),
     }
-    reports[args.name]().show(args.rows, truncate=False)
+    report = reports[args.name]()
+    if args.output:
+        # every row, as CSV part files written by the tasks
+        report.write.option("header", True).mode("errorifexists").csv(args.output)
+        print(f"written to {args.output}")
+    else:
+        report.show(args.rows, truncate=False)
     return 0
 
 
@@ -108,7 +114,8 @@ def main(argv: list[str] | None = None) -> int:
     rep.add_argument("--continent", default="Asia")
     rep.add_argument("--min-pct", type=float, default=1.0)
     rep.add_argument("--gap-minutes", type=float, default=30.0)
-    rep.add_argument("--rows", type=int, default=20)
+    rep.add_argument("--rows", type=int, default=20, help="rows to print (a preview)")
+    rep.add_argument("--output", help="folder to write the whole report to, as CSV")
     rep.set_defaults(func=_report)
     args = parser.parse_args(argv)
     return args.func(args)

@@ -3,15 +3,15 @@
 Spark shape: one lazy plan from the CSV to the cleaned frame, written once as
 an unpublished staging version (no cache of the extract).  Actions, in order:
 the staging write (which also fills the per-stage row counters), the gate's
-aggregate over that Parquet, the profile, the two dimension loads (run side
-by side), the fact append.  Nothing becomes visible unless the gate passes."""
+aggregate over that Parquet, the profile, the two dimensions (written side by
+side, published together), the facts (written, checked against all four
+dimensions, appended).  Nothing becomes visible unless the gate passes."""
 
 from __future__ import annotations
 
 import datetime as dt
 import time
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -21,12 +21,23 @@ from quarry.operators import quality as Q
 from quarry.operators.calendar import calendar_rows
 from quarry.operators.clean import clean_events
 from quarry.operators.facts import build_facts, load_facts
+from quarry.operators.keys import max_id
 from quarry.operators.merge import new_rows
 from quarry.operators.profile import observed_counts
-from quarry.plans.warehouse import Warehouse
+from quarry.plans.warehouse import ConstraintError, Warehouse
+from quarry.schemas import REFERENCES
+from quarry.session import discard, materialize
 from quarry.sources.csv import read_csv_projected
 
 
+def check_references(facts: DataFrame, warehouse: Warehouse) -> None:
+    """Raise unless every key of ``facts`` has its dimension row."""
+    refs = [(fk, warehouse.table(dim), fk) for fk, dim in REFERENCES.items()]
+    broken = Q.constraint_checks(facts, foreign_keys=refs).where("violations > 0").collect()
+    if broken:
+        raise ConstraintError("; ".join(f"{r['check_name']}: {r['violations']} rows without a dimension row" for r in broken))
+
+
 @dataclass
 class EltResult:
     stage_rows: dict[str, int]
@@ -128,34 +139,49 @@ def load_clean(
         F.lit(None).cast("string").alias("region"),
         F.lit(None).cast("string").alias("continent"),
     )
-    # The two dimensions are independent: each is computed and appended from
-    # its own driver thread, so their jobs run side by side.  New-row counts
-    # come from observations on the appends themselves.
-    def load_dim(name: str, incoming: DataFrame, keys: list[str], id_col: str) -> int:
-        added = new_rows(warehouse.table(name), incoming, keys, id_col)
-        obs = Observation(f"new_{name}")
-        warehouse.append(name, added.observe(obs, F.count(F.lit(1)).alias("rows")))
-        return int(obs.get.get("rows", 0))
-
+    # Both new rows and the dimensions they complete are independent of each
+    # other; the new versions of both are written side by side, checked, and
+    # become visible together (L11).  New-row counts are observed on the
+    # writes themselves.
     dates_incoming = calendar_rows(staging, "event_date", pad_names=pad_names)
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        loc_future = pool.submit(load_dim, "dim_location", loc_incoming, ["iso_code"], "location_id")
-        date_future = pool.submit(load_dim, "dim_date", dates_incoming, ["full_date"], "date_id")
-        n_loc, n_dates = loc_future.result(), date_future.result()
+    counts = {name: Observation(f"new_{name}") for name in ("dim_location", "dim_date")}
+
+    def grown(name: str, incoming: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+        existing = warehouse.table(name)
+        added = new_rows(existing, incoming, keys, id_col).observe(counts[name], F.count(F.lit(1)).alias("rows"))
+        return existing.unionByName(added.select(*existing.columns))
+
+    warehouse.publish(
+        {
+            "dim_location": grown("dim_location", loc_incoming, ["iso_code"], "location_id"),
+            "dim_date": grown("dim_date", dates_incoming, ["full_date"], "date_id"),
+        }
+    )
+    for name in counts:
+        warehouse.vacuum(name, keep=2)
+    n_loc, n_dates = (int(counts[name].get.get("rows", 0)) for name in ("dim_location", "dim_date"))
     t = lap("load_dimensions", t)
 
-    # facts
-    # T13 and the appended count come from observations on the load itself,
-    # so no extra pass over staging or the fact table is needed
+    # Facts.  They are written once; references are checked on what
+    # was written, and only then are the rows appended.  The row count and the
+    # id mark are kept with the fact version, so no load scans the history.
     dd, dl = warehouse.table("dim_date"), warehouse.table("dim_location")
     matched, appended = Observation("facts_matched"), Observation("facts_appended")
     facts = build_facts(staging, dd, dl, disease_id=disease_id, source_id=source_id, matched=matched)
-    before = warehouse.count("fact_health_events")
-    to_append = load_facts(facts, warehouse.table("fact_health_events"), on_conflict)
-    warehouse.append("fact_health_events", to_append.observe(appended, F.count(F.lit(1)).alias("rows")))
-    n_appended = int(appended.get.get("rows", 0))
+    facts = materialize(facts, "facts")
     unmatched = int(prof["rows"]) - int(matched.get.get("rows", 0))
+    check_references(facts, warehouse)
+    history = warehouse.table("fact_health_events")
+    before, mark = warehouse.stat("fact_health_events", "rows"), warehouse.stat("fact_health_events", "max_id")
+    if before is None or mark is None:  # a version that something else has written
+        before, mark = warehouse.count("fact_health_events"), max_id(history, "event_id")
+    to_append = load_facts(facts, history, on_conflict, start_after=mark)
+    seen = [F.count(F.lit(1)).alias("rows"), F.max("event_id").alias("max_id")]
+    warehouse.append("fact_health_events", to_append.observe(appended, *seen))
+    n_appended = int(appended.get.get("rows", 0))
     total = before + n_appended
+    warehouse.set_stats("fact_health_events", rows=total, max_id=int(appended.get.get("max_id") or mark))
+    discard(facts)
     lap("load_facts", t)
 
     return EltResult(

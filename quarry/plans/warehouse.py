@@ -1,16 +1,24 @@
 """The star-schema warehouse on Spark's catalog.
 
 Parquet tables have no transactions, MERGE, or overwrite-while-reading, so
-each logical table is a catalog *view* over a physical versioned table
-``<name>__v<NNNNNN>``:
-
+each logical table is a series of physical versioned tables ``<name>__v<N>``
+and one property of the database says which version of every table is
+current:
+
+- ``publish`` writes new versions of several tables, checks them, and then
+  moves all of them by setting that property once, so readers that resolve
+  tables through ``table`` see either every new version or none; a failed
+  write or check leaves the property as it was;
 - ``append`` adds files to the current version (one job commit, atomic);
-- ``publish`` writes new versions of several tables first and only then
-  repoints all their views, so readers see either every new version or none
-  (dims "commit together"); a failed write leaves the old views in place;
 - reading a table while publishing its next version is safe: the new version
   is a different path.
 
+A view named like the table follows the property for SQL users; views move
+one after the other, after the commit.  Column lengths (VARCHAR, CHAR) are
+enforced by the physical tables on every write; NOT NULL and UNIQUE are
+checked on new versions before they are published.  Row counts and id marks
+are kept as properties of the version, so a load need not scan its history.
+
 Physical data lives under ``spark.sql.warehouse.dir`` (shared storage on a
 cluster).  Old versions are kept until ``vacuum``."""
 
@@ -23,9 +31,15 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quarry.schemas import WAREHOUSE_TABLES
+from quarry.operators.quality import constraint_checks
+from quarry.schemas import COLUMN_TYPES, NOT_NULL, UNIQUE, WAREHOUSE_TABLES
+
+_VERSION = re.compile(r"__v(\d+)$")
+_POINTER = "quarry.versions"
+
 
-_VERSION = re.compile(r"__v(\d{6})$")
+class ConstraintError(ValueError):
+    """Rows break a NOT NULL, UNIQUE or REFERENCES rule; nothing was published."""
 
 
 class Warehouse:
@@ -59,53 +73,100 @@ class Warehouse:
                     out.append(int(m.group(1)))
         return sorted(out)
 
+    def _pointer(self) -> dict[str, int]:
+        """The current version of every table, from the one property."""
+        told = self.spark.sql(f"DESCRIBE DATABASE EXTENDED {self.db}").collect()
+        text = " ".join(r[1] or "" for r in told if r[0] == "Properties")
+        m = re.search(rf"{re.escape(_POINTER)},([^)]*)\)", text)
+        pairs = [x.split(":") for x in m.group(1).split("/") if x] if m else []
+        return {name: int(version) for name, version in pairs}
+
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.db}.{name}")
+        return name in self._pointer()
 
     def current_version(self, name: str) -> int | None:
-        """The version the view currently points at."""
-        if not self.exists(name):
-            return None
-        stmt = self.spark.sql(f"SHOW CREATE TABLE {self.db}.{name}").first()[0]
-        m = re.search(rf"{re.escape(name)}__v(\d{{6}})", stmt)
-        return int(m.group(1)) if m else None
+        """The published version of a table."""
+        return self._pointer().get(name)
 
     # reads -----------------------------------------------------------------
 
     def table(self, name: str) -> DataFrame:
         """The current version of a table."""
-        return self.spark.table(f"{self.db}.{name}")
+        version = self.current_version(name)
+        if version is None:
+            raise KeyError(f"table {name} does not exist; create() it first")
+        return self.version_table(name, version)
 
     def count(self, name: str) -> int:
         """Post-load row count."""
         return self.table(name).count()
 
+    # facts about a version ---------------------------------------------------
+
+    def stat(self, name: str, key: str) -> int | None:
+        """A number kept with the current version (``rows``, ``max_id``)."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._physical(name, self._pointer()[name])}").collect()
+        return next((int(r[1]) for r in rows if r[0] == f"quarry.{key}"), None)
+
+    def set_stats(self, name: str, **stats: int) -> None:
+        pairs = ", ".join(f"'quarry.{k}' = '{v}'" for k, v in stats.items())
+        self.spark.sql(f"ALTER TABLE {self._physical(name, self._pointer()[name])} SET TBLPROPERTIES ({pairs})")
+
     # writes ----------------------------------------------------------------
 
+    def _create_physical(self, name: str, version: int, schema: T.StructType) -> str:
+        lengths = COLUMN_TYPES.get(name, {})
+        columns = ", ".join(f"`{f.name}` {lengths.get(f.name, f.dataType.simpleString())}" for f in schema)
+        parts = self.partition_by.get(name)
+        by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        table = self._physical(name, version)
+        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{by}")
+        return table
+
+    def _insert(self, table: str, df: DataFrame) -> None:
+        """Insert by the table's column order (partition columns last).  A
+        streaming batch comes from a session of its own, so this session's
+        view of the files is renewed."""
+        df.select(*self.spark.table(table).columns).write.insertInto(table)
+        self.spark.catalog.refreshTable(table)
+
     def _write_version(self, name: str, df: DataFrame) -> int:
         version = max(self._versions(name), default=0) + 1
-        writer = df.write.format("parquet").mode("errorifexists")
-        if self.partition_by.get(name):
-            writer = writer.partitionBy(*self.partition_by[name])
-        writer.saveAsTable(self._physical(name, version))
+        table = self._create_physical(name, version, df.schema)
+        try:
+            self._insert(table, df)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            raise
         return version
 
-    def _point(self, name: str, version: int) -> None:
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.db}.{name} AS SELECT * FROM {self._physical(name, version)}"
-        )
+    def _check(self, name: str, df: DataFrame) -> None:
+        not_null = [c for c in NOT_NULL.get(name, []) if c in df.columns]
+        unique = [[c] for c in UNIQUE.get(name, []) if c in df.columns]
+        if not not_null and not unique:
+            return
+        broken = constraint_checks(df, not_null=not_null, unique=unique, prefix=f"{name}_").where("violations > 0").collect()
+        if broken:
+            raise ConstraintError("; ".join(f"{r['check_name']}: {r['violations']}" for r in broken))
+
+    def _move(self, versions: Mapping[str, int]) -> None:
+        """The commit: one property holds the versions of all tables."""
+        pairs = "/".join(f"{k}:{v}" for k, v in sorted((self._pointer() | dict(versions)).items()))
+        self.spark.sql(f"ALTER DATABASE {self.db} SET DBPROPERTIES ('{_POINTER}' = '{pairs}')")
+        for name, version in versions.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.db}.{name} AS SELECT * FROM {self._physical(name, version)}")
 
     def write_unpublished(self, name: str, df: DataFrame) -> int:
-        """Write ``df`` as the next version of ``name`` without pointing the
-        view at it: readers keep seeing the current version until
-        ``publish_version`` (or never, after ``drop_version``)."""
+        """Write ``df`` as the next version of ``name`` without publishing
+        it: readers keep seeing the current version until ``publish_version``
+        (or never, after ``drop_version``)."""
         return self._write_version(name, df)
 
     def version_table(self, name: str, version: int) -> DataFrame:
         return self.spark.table(self._physical(name, version))
 
     def publish_version(self, name: str, version: int) -> None:
-        self._point(name, version)
+        self._move({name: version})
 
     def drop_version(self, name: str, version: int) -> None:
         if version == self.current_version(name):
@@ -113,20 +174,26 @@ class Warehouse:
         self.spark.sql(f"DROP TABLE IF EXISTS {self._physical(name, version)}")
 
     def publish(self, frames: Mapping[str, DataFrame]) -> dict[str, int]:
-        """Replace several tables together (L1 replace-load, L7 upsert result,
-        L11 all-or-nothing): all new versions are written before any view
-        moves."""
-        items = list(frames.items())
-        if len(items) > 1:
-            # independent writes: submitted from parallel threads, they run as
-            # concurrent Spark jobs; views still move only after all finished
-            with ThreadPoolExecutor(max_workers=min(8, len(items))) as pool:
-                versions = list(pool.map(lambda kv: self._write_version(*kv), items))
-            written = dict(zip(frames, versions))
-        else:
-            written = {name: self._write_version(name, df) for name, df in items}
-        for name, version in written.items():
-            self._point(name, version)
+        """Replace several tables together (L1 replace-load, L2/L3 and L7
+        results, L11 all-or-nothing): all new versions are written and checked
+        before any of them becomes visible, all at once."""
+        written: dict[str, int] = {}
+        try:
+            # independent writes: submitted from threads, they run as
+            # concurrent Spark jobs
+            with ThreadPoolExecutor(max_workers=min(8, max(1, len(frames)))) as pool:
+                jobs = {name: pool.submit(self._write_version, name, df) for name, df in frames.items()}
+            failed = [job.exception() for job in jobs.values() if job.exception()]
+            written = {name: job.result() for name, job in jobs.items() if not job.exception()}
+            if failed:
+                raise failed[0]
+            for name, version in written.items():
+                self._check(name, self.version_table(name, version))
+        except Exception:
+            for name, version in written.items():
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._physical(name, version)}")
+            raise
+        self._move(written)
         return written
 
     def replace(self, name: str, df: DataFrame) -> int:
@@ -138,9 +205,7 @@ class Warehouse:
         version = self.current_version(name)
         if version is None:
             raise KeyError(f"table {name} does not exist; create() it first")
-        # the physical table's column order (partition columns last)
-        cols = self.version_table(name, version).columns
-        df.select(*cols).write.insertInto(self._physical(name, version))
+        self._insert(self._physical(name, version), df)
 
     def create(self, schemas: Mapping[str, T.StructType] = WAREHOUSE_TABLES) -> None:
         """Create every missing table, empty, from its fixed schema."""
@@ -164,18 +229,3 @@ class Warehouse:
         for v in old:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._physical(name, v)}")
         return old
-
-
-def write_jdbc(
-    df: DataFrame,
-    url: str,
-    table: str,
-    mode: str = "overwrite",
-    batchsize: int = 1000,
-    properties: Mapping[str, str] | None = None,
-) -> None:
-    """L1 into an external database instead of the catalog: replace (or
-    append to) ``table`` with multi-row batches of ``batchsize``, one
-    connection per task.  Needs the database's JDBC driver on the classpath;
-    credentials come from ``properties`` (never hard-coded)."""
-    df.write.jdbc(url, table, mode=mode, properties={"batchsize": str(batchsize), **(properties or {})})

@@ -96,5 +96,34 @@ WAREHOUSE_TABLES = {
     "fact_health_events": FACT_HEALTH_EVENTS,
 }
 
+# Column types of the warehouse tables whose length the tables
+# enforce on write (everything else has the type of its schema above).
+COLUMN_TYPES = {
+    "dim_date": {"month_name": "VARCHAR(20)", "day_of_week": "VARCHAR(20)"},
+    "dim_location": {
+        "country": "VARCHAR(100)",
+        "region": "VARCHAR(100)",
+        "continent": "VARCHAR(50)",
+        "iso_code": "CHAR(3)",
+    },
+    "dim_disease": {"disease_name": "VARCHAR(200)", "category": "VARCHAR(100)", "icd_code": "VARCHAR(20)"},
+    "dim_source": {"source_name": "VARCHAR(100)", "source_url": "VARCHAR(300)", "update_freq": "VARCHAR(50)"},
+}
+
+# NOT NULL columns, unique columns and references.
+NOT_NULL = {name: [f.name for f in schema if not f.nullable] for name, schema in WAREHOUSE_TABLES.items()}
+UNIQUE = {
+    "dim_date": ["date_id", "full_date"],
+    "dim_location": ["location_id", "iso_code"],
+    "dim_disease": ["disease_id"],
+    "dim_source": ["source_id"],
+}
+REFERENCES = {
+    "date_id": "dim_date",
+    "location_id": "dim_location",
+    "disease_id": "dim_disease",
+    "source_id": "dim_source",
+}
+
 # Natural key of a fact row (used by the "ignore" conflict mode).
 FACT_NATURAL_KEY = ("date_id", "location_id", "disease_id", "source_id")

@@ -59,6 +59,13 @@ SEED_USER_EVENTS = [
 ]
 
 
+def reference_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    """The seed rows of the dimensions that no load creates: every fact must
+    name a disease and a source that exist."""
+    seeds = seed_tables(spark)
+    return {name: seeds[name] for name in ("dim_disease", "dim_source")}
+
+
 def seed_tables(spark: SparkSession, loaded_at: dt.datetime | None = None) -> dict[str, DataFrame]:
     """The seed rows as DataFrames with the warehouse schemas."""
     loaded_at = loaded_at or dt.datetime(2024, 1, 1)

@@ -12,7 +12,8 @@ import pytest
 from quarry.operators import quality as Q
 from quarry.operators.clean import clean_events
 from quarry.plans.elt import run_elt
-from quarry.plans.warehouse import Warehouse
+from quarry.plans.warehouse import ConstraintError, Warehouse
+from quarry.sources.inline import reference_tables
 from quarry.sources.csv import MissingColumnsError, read_csv_projected
 
 RUN_TS = dt.datetime(2025, 6, 1)
@@ -32,6 +33,13 @@ ROWS = [
 ]
 
 
+def _warehouse(spark, **options) -> Warehouse:
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}", **options)
+    wh.create()
+    wh.seed(reference_tables(spark))
+    return wh
+
+
 def _csv(folder: str, rows: list[str], header: str = HEADER) -> str:
     path = os.path.join(folder, f"data-{uuid.uuid4().hex}.csv")
     with open(path, "w") as fh:
@@ -80,7 +88,7 @@ def test_malformed_values_fail_the_run(spark, scratch_dir, bad_row):
 
 
 def test_elt_end_to_end_and_reruns(spark, scratch_dir):
-    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    wh = _warehouse(spark)
     path = _csv(scratch_dir, ROWS)
     res = run_elt(spark, path, wh, run_ts=RUN_TS)
     assert res.stage_rows == {"extract": 11, "drop_nulls": 9, "code_length": 8, "non_negative": 7}
@@ -151,7 +159,9 @@ def test_cli_load_and_validate(spark, scratch_dir, capsys):
     from quarry import cli
 
     good = _csv(scratch_dir, ROWS)
-    assert cli.main(["load", good, "--database", f"wh_{uuid.uuid4().hex[:8]}"]) == 0
+    db = f"wh_{uuid.uuid4().hex[:8]}"
+    assert cli.main(["seed", "--database", db]) == 0
+    assert cli.main(["load", good, "--database", db]) == 0
     assert "facts appended 5" in capsys.readouterr().out
     bad = _csv(scratch_dir, [ROWS[0], "USA,,United States,2999-01-01,,5,0,1"])
     assert cli.main(["load", bad, "--database", f"wh_{uuid.uuid4().hex[:8]}"]) == 1
@@ -163,19 +173,22 @@ def test_cli_load_and_validate(spark, scratch_dir, capsys):
     assert out.strip().endswith("8 passed, 3 failed")
 
 
-def test_cli_seed_and_reports(spark, capsys):
+def test_cli_seed_and_reports(spark, scratch_dir, capsys):
     from quarry import cli
 
     db = f"wh_{uuid.uuid4().hex[:8]}"
     assert cli.main(["seed", "--database", db]) == 0
     assert cli.main(["report", "rate", "--database", db]) == 0
     assert "Germany" in capsys.readouterr().out
+    out = os.path.join(scratch_dir, "report")
+    assert cli.main(["report", "sessions", "--database", db, "--output", out]) == 0
+    assert spark.read.option("header", True).csv(out).count() == 7
     for name in ["star", "rank", "top", "continent", "sessions"]:
         assert cli.main(["report", name, "--database", db]) == 0
 
 
 def test_partitioned_fact_table_prunes_by_date(spark, scratch_dir):
-    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}", partition_by={"fact_health_events": ["date_id"]})
+    wh = _warehouse(spark, partition_by={"fact_health_events": ["date_id"]})
     res = run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS)
     assert res.fact_rows_total == 5
     facts = wh.table("fact_health_events")
@@ -191,3 +204,60 @@ def test_partitioned_fact_table_prunes_by_date(spark, scratch_dir):
     assert dpp.count() == 2
     # rerun in ignore mode appends nothing to the partitioned table
     assert run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS, on_conflict="ignore").facts_appended == 0
+
+
+def test_a_missing_disease_refuses_the_load(spark, scratch_dir):
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    wh.create()
+    wh.seed({"dim_source": reference_tables(spark)["dim_source"]})
+    with pytest.raises(ConstraintError, match="fk_disease_id: 5"):
+        run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS)
+    assert wh.count("fact_health_events") == 0
+
+
+def test_dimensions_become_visible_together(spark, scratch_dir, monkeypatch):
+    wh = _warehouse(spark)
+    write = Warehouse._write_version
+
+    def failing(self, name, df):
+        if name == "dim_date":
+            raise RuntimeError("disk full")
+        return write(self, name, df)
+
+    monkeypatch.setattr(Warehouse, "_write_version", failing)
+    with pytest.raises(RuntimeError, match="disk full"):
+        wh.publish({"dim_location": spark.createDataFrame([(1, "India", None, None, "IND")], wh.table("dim_location").schema), "dim_date": wh.table("dim_date")})
+    monkeypatch.undo()
+    assert wh.count("dim_location") == 0 and wh._versions("dim_location") == [wh.current_version("dim_location")]
+
+
+def test_lengths_nulls_and_duplicates_are_refused(spark):
+    wh = _warehouse(spark)
+    schema = "location_id bigint, country string, region string, continent string, iso_code string"
+    for row, error in (((1, "India", None, None, "TOOLONG"), "(?i)length"), ((1, None, None, None, "IND"), "not_null_country")):
+        with pytest.raises(Exception, match=error):
+            wh.publish({"dim_location": spark.createDataFrame([row], schema)})
+    twice = [(1, "India", None, None, "IND"), (2, "Bharat", None, None, "IND"), (3, "Nowhere", None, None, None), (4, "Nowhere", None, None, None)]
+    with pytest.raises(ConstraintError, match="unique_iso_code: 1"):
+        wh.publish({"dim_location": spark.createDataFrame(twice, schema)})
+    assert wh.count("dim_location") == 0
+
+
+def test_versions_of_any_length(spark):
+    wh = _warehouse(spark)
+    wh._move({"dim_source": wh._write_version("dim_source", wh.table("dim_source"))})
+    table = wh._create_physical("dim_source", 1_234_567, wh.table("dim_source").schema)
+    assert table.endswith("__v1234567") and wh._versions("dim_source")[-1] == 1_234_567
+    wh._move({"dim_source": 1_234_567})
+    assert wh.current_version("dim_source") == 1_234_567 and wh.count("dim_source") == 0
+
+
+def test_a_load_does_not_scan_the_fact_history(spark, scratch_dir):
+    wh = _warehouse(spark)
+    run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS)
+    first = wh.stat("fact_health_events", "max_id")
+    assert wh.stat("fact_health_events", "rows") == 5 and first == max(r.event_id for r in wh.table("fact_health_events").collect())
+    res = run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS)
+    assert res.fact_rows_total == 10 == wh.stat("fact_health_events", "rows")
+    ids = sorted(r.event_id for r in wh.table("fact_health_events").collect())
+    assert len(set(ids)) == 10 and sum(i > first for i in ids) == 5

@@ -133,3 +133,22 @@ def test_single_repeated_value_spans_many_partitions(spark):
     plain_s = sessionize(ev, ["u"], "ts", 30, ["k"])
     cols = ["u", "ts", "k", "gap_minutes", "session_id"]
     assert _rows(hot_s, cols) == _rows(plain_s, cols)
+
+
+def test_split_equals_plain_on_many_rows_per_range(spark):
+    # thousands of rows per range, so range bounds come from a sample: the
+    # split reads one written partitioning and two runs agree with the plain window
+    from quarry.sources import tables as T
+
+    sf = "/root/testdata/sf0.1"
+    ties = ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice", "l_partkey"]
+    li = T.read_table(spark, sf, "lineitem").select("l_linestatus", F.col("l_quantity").cast("bigint").alias("v"), *ties)
+    plain = rank_and_lag(li, ["l_linestatus"], "v", tie_cols=ties, max_group_rows=10_000_000)
+    for _ in range(2):
+        split = rank_and_lag(li, ["l_linestatus"], "v", tie_cols=ties, max_group_rows=20_000)
+        assert split.exceptAll(plain).count() == 0 and split.count() == li.count()
+    ev = T.read_table(spark, sf, "events").select("event_type", "ts", "event_id")
+    plain_s = sessionize(ev, ["event_type"], "ts", 0.5, ["event_id"], max_group_rows=10_000_000)
+    for _ in range(2):
+        split_s = sessionize(ev, ["event_type"], "ts", 0.5, ["event_id"], max_group_rows=3_000)
+        assert split_s.exceptAll(plain_s).count() == 0 and split_s.count() == ev.count()

@@ -7,6 +7,7 @@ import os
 import uuid
 
 from quarry.plans.warehouse import Warehouse
+from quarry.sources.inline import reference_tables
 from quarry.streaming.ingest import start_ingest
 
 HEADER = ["iso_code", "continent", "location", "date", "new_cases", "new_deaths"]
@@ -22,6 +23,8 @@ def test_incremental_ingest(spark, scratch_dir):
     os.makedirs(src)
     ckpt = os.path.join(scratch_dir, "stream-ckpt")
     wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    wh.create()
+    wh.seed(reference_tables(spark))
     clock = lambda: dt.datetime(2025, 6, 1)
     _write(src, "a.csv", ["IND,Asia,India,2024-01-15,100,2", "USA,,United States,2024-01-15,5,0"])
     q = start_ingest(spark, src, HEADER, wh, ckpt, clock=clock)
@@ -41,6 +44,8 @@ def test_failed_gate_stops_the_stream_and_publishes_nothing(spark, scratch_dir):
     os.makedirs(src)
     ckpt = os.path.join(scratch_dir, "stream-ckpt")
     wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    wh.create()
+    wh.seed(reference_tables(spark))
     clock = lambda: dt.datetime(2025, 6, 1)
     _write(src, "a.csv", ["IND,Asia,India,2024-01-15,100,2"])
     start_ingest(spark, src, HEADER, wh, ckpt, clock=clock).awaitTermination(120)
