@@ -67,16 +67,14 @@ def insert_new(
     return existing.unionByName(added.select(*existing.columns))
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Non-NULL keys that occur more than once, with their row counts."""
+    return df.where(_key_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+
+
 def check_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a non-NULL key occurs twice in the batch."""
-    dup = (
-        df.where(_key_not_null(keys))
-        .groupBy(*keys)
-        .count()
-        .where(F.col("count") > 1)
-        .limit(1)
-        .collect()
-    )
+    dup = duplicate_keys(df, keys).limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"key {tuple(dup[0][k] for k in keys)} occurs more than once in the batch")
 

@@ -4,8 +4,11 @@ A check is a *spec*: aggregate expressions it needs plus how to turn the
 aggregated row into ``(passed, metric, threshold, message)``.  ``run_checks``
 evaluates every spec's aggregates in **one** ``agg`` job (the reference makes
 one pass per check); key-uniqueness specs add one ``groupBy`` job.  The result
-is a small DataFrame ``check_name, passed, metric, threshold, message`` (one
-row per check), so only a handful of scalars ever reach the driver.
+is a small DataFrame ``check_name, passed, metric, threshold, message,
+details`` (one row per check), so only a handful of scalars ever reach the
+driver.  ``details`` is a map of strings: the counts behind a rate, missing
+and present columns, the date range, and for a failed no-negatives check five
+of the offending rows as JSON.
 
 A check whose column is missing yields a failed row instead of raising."""
 
@@ -59,6 +62,10 @@ class CheckSpec:
     result: Callable[[], Result] | None = None
     # uniqueness check: keys to group by (evaluated in its own job)
     group_keys: tuple[str, ...] | None = None
+    # what stands behind the result, by name, from the same aggregates
+    details: Callable[[], dict[str, Column]] = dict
+    # a few offending rows, added to the details when the check fails
+    sample: DataFrame | None = None
 
 
 def _failed(name: str, message: str) -> CheckSpec:
@@ -89,7 +96,7 @@ def not_empty(df: DataFrame, min_rows: int = 100, name: str = "not_empty") -> Ch
             F.format_string(MSG_NOT_EMPTY, n, F.lit(min_rows)),
         )
 
-    return CheckSpec(name, {a: F.count(F.lit(1))}, result)
+    return CheckSpec(name, {a: F.count(F.lit(1))}, result, details=lambda: {"row_count": F.col(a)})
 
 
 # V2 ----------------------------------------------------------------------
@@ -102,7 +109,10 @@ def required_columns(
     missing = [c for c in required if c not in df.columns]
     msg = MSG_MISSING_COLUMNS.format(missing) if missing else MSG_ALL_COLUMNS
     return CheckSpec(
-        name, {}, lambda: (F.lit(not missing), F.lit(float(len(missing))), 0.0, F.lit(msg))
+        name,
+        {},
+        lambda: (F.lit(not missing), F.lit(float(len(missing))), 0.0, F.lit(msg)),
+        details=lambda: {"missing_columns": F.lit(",".join(missing)), "present_columns": F.lit(",".join(df.columns))},
     )
 
 
@@ -129,7 +139,10 @@ def null_rate(df: DataFrame, column: str, max_null_rate: float = 0.05, name: str
             F.format_string(MSG_NULL_RATE, _pct(rate), _pct(F.lit(max_null_rate))),
         )
 
-    return CheckSpec(name, {an: F.count_if(is_null), ar: F.count(F.lit(1))}, result)
+    def details() -> dict[str, Column]:
+        return {"null_count": F.col(an), "row_count": F.col(ar), "null_rate": result()[1], "max_allowed": F.lit(max_null_rate)}
+
+    return CheckSpec(name, {an: F.count_if(is_null), ar: F.count(F.lit(1))}, result, details=details)
 
 
 # V4 / V5 -----------------------------------------------------------------
@@ -147,7 +160,13 @@ def no_negatives(df: DataFrame, column: str, name: str | None = None) -> CheckSp
         msg = F.when(n == 0, F.lit(MSG_NO_NEGATIVES)).otherwise(F.format_string(MSG_NEGATIVES, n))
         return n == 0, n, 0.0, msg
 
-    return CheckSpec(name, {a: F.count_if(F.col(column) < F.lit(0))}, result)
+    return CheckSpec(
+        name,
+        {a: F.count_if(F.col(column) < F.lit(0))},
+        result,
+        details=lambda: {"negative_count": F.col(a)},
+        sample=negative_sample(df, column, df.columns),
+    )
 
 
 def negative_sample(df: DataFrame, column: str, order_cols: Sequence[str], n: int = 5) -> DataFrame:
@@ -188,8 +207,11 @@ def date_range(
         ).otherwise(F.format_string(MSG_FUTURE_DATES, n))
         return n == 0, n, float(max_future_days), msg
 
+    def details() -> dict[str, Column]:
+        return {"min_date": F.to_date(F.col(amin)), "max_date": F.to_date(F.col(amax)), "future_count": F.col(af)}
+
     return CheckSpec(
-        name, {af: F.count_if(d > limit), amin: F.min(d), amax: F.max(d)}, result
+        name, {af: F.count_if(d > limit), amin: F.min(d), amax: F.max(d)}, result, details=details
     )
 
 
@@ -207,7 +229,7 @@ def code_format(df: DataFrame, column: str = "iso_code", name: str = "iso_code_f
         msg = F.when(n == 0, F.lit(MSG_CODES_OK)).otherwise(F.format_string(MSG_BAD_CODES, n))
         return n == 0, n, 0.0, msg
 
-    return CheckSpec(name, {a: F.count_if(~matches_code(F.col(column)))}, result)
+    return CheckSpec(name, {a: F.count_if(~matches_code(F.col(column)))}, result, details=lambda: {"invalid_count": F.col(a)})
 
 
 # V9 ----------------------------------------------------------------------
@@ -233,7 +255,10 @@ def unique_combinations(
         )
         return ok, rate, float(max_duplicate_rate), msg
 
-    return CheckSpec(name, {}, result, group_keys=tuple(columns))
+    def details() -> dict[str, Column]:
+        return {"duplicate_count": F.col("_q_dups"), "row_count": F.col("_q_rows"), "duplicate_rate": result()[1]}
+
+    return CheckSpec(name, {}, result, group_keys=tuple(columns), details=details)
 
 
 # V10 ---------------------------------------------------------------------
@@ -256,12 +281,17 @@ def coverage(
             F.format_string(MSG_COVERAGE, n, F.lit(min_distinct)),
         )
 
-    return CheckSpec(name, {a: F.count_distinct(F.col(column))}, result)
+    return CheckSpec(
+        name,
+        {a: F.count_distinct(F.col(column))},
+        result,
+        details=lambda: {"country_count": F.col(a), "min_required": F.lit(min_distinct)},
+    )
 
 
 # runner ------------------------------------------------------------------
 
-RESULT_SCHEMA = "check_name string, passed boolean, metric double, threshold double, message string"
+SAMPLE_KEY = "negative_rows"
 
 
 def _result_struct(spec: CheckSpec, ordinal: int) -> Column:
@@ -273,9 +303,27 @@ def _result_struct(spec: CheckSpec, ordinal: int) -> Column:
         metric.cast("double").alias("metric"),
         F.lit(threshold).cast("double").alias("threshold"),
         message.cast("string").alias("message"),
+        _details(spec).alias("details"),
     )
 
 
+def _details(spec: CheckSpec) -> Column:
+    pairs = [(F.lit(k), v.cast("string")) for k, v in spec.details().items()]
+    return F.create_map(*[x for pair in pairs for x in pair]).cast("map<string,string>")
+
+
+def _samples(specs: Sequence[CheckSpec]) -> DataFrame | None:
+    """``check_name, rows``: the sampled rows of each check that has some."""
+    out: DataFrame | None = None
+    for s in specs:
+        if s.sample is not None:
+            rows = s.sample.select(F.to_json(F.struct(*s.sample.columns)).alias("row"))
+            one = rows.agg(F.array_join(F.array_sort(F.collect_list("row")), ",").alias("rows"))
+            one = one.select(F.lit(s.name).alias("check_name"), F.concat(F.lit("["), "rows", F.lit("]")).alias("rows"))
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def run_checks(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     """Evaluate ``specs`` over ``df``: one aggregate job for all plain specs,
     one ``groupBy`` job per distinct key set of uniqueness specs.  Returns one
@@ -306,6 +354,11 @@ def run_checks(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    samples = _samples(specs)
+    if samples is not None:
+        out = out.join(samples.where("rows <> '[]'"), "check_name", "left")
+        with_rows = F.map_concat("details", F.create_map(F.lit(SAMPLE_KEY), F.col("rows")))
+        out = out.withColumn("details", F.when(F.col("rows").isNotNull(), with_rows).otherwise(F.col("details"))).drop("rows")
     return out.orderBy("ordinal").drop("ordinal")
 
 

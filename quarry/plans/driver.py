@@ -546,15 +546,79 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return F_.build_facts(staging, _dim_date(staging), _dim_location(staging))
 
 
-def _two_loads(spark: SparkSession, sf_dir: str, on_conflict: str) -> DataFrame:
+def _two_loads(spark: SparkSession, sf_dir: str, on_conflict: str) -> tuple[DataFrame, DataFrame]:
+    """A first load up to FIRST_LOAD_BEFORE and a second one of everything.
+    The first is written, as a load writes it, before its ids and keys are
+    looked at by the second."""
     staging = _staged(spark, sf_dir)
     dd, dl = _dim_date(staging), _dim_location(staging)
     first = F_.build_facts(staging.where(F.col("event_date") < F.lit(FIRST_LOAD_BEFORE)), dd, dl)
-    loaded = F_.load_facts(first, None, "append")
-    second = F_.load_facts(F_.build_facts(staging, dd, dl), loaded, on_conflict)
+    loaded = materialize(F_.load_facts(first, None, "append"), "facts")
+    return loaded, F_.load_facts(F_.build_facts(staging, dd, dl), loaded, on_conflict)
+
+
+def _after_two_loads(spark: SparkSession, sf_dir: str, on_conflict: str) -> DataFrame:
+    loaded, second = _two_loads(spark, sf_dir, on_conflict)
     return loaded.unionByName(second).select(*F_.FACT_COLUMNS)
 
 
+@register(
+    "fact_ids",
+    f"""
+WITH {_RAW_CTE},
+n AS (SELECT count(*) AS b, count_if(full_date < {FIRST_LOAD_BEFORE_SQL}) AS a FROM facts)
+SELECT 1 AS load, a AS fact_rows, a AS distinct_ids, CAST(0 AS BIGINT) AS not_above_earlier FROM n
+UNION ALL SELECT 2, b, b, CAST(0 AS BIGINT) FROM n
+""",
+)
+def fact_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of two loads are unique and the second's lie above the
+    first's."""
+    loaded, second = _two_loads(spark, sf_dir, "append")
+    second = materialize(second, "facts")
+    mark = K.max_id(loaded, "event_id")
+
+    def told(load: int, rows: DataFrame, above: int) -> DataFrame:
+        return rows.agg(
+            F.lit(load).alias("load"),
+            F.count(F.lit(1)).alias("fact_rows"),
+            F.count_distinct("event_id").alias("distinct_ids"),
+            F.count_if(F.col("event_id") <= above).alias("not_above_earlier"),
+        )
+
+    return told(1, loaded, 0).unionByName(told(2, second, mark))
+
+
+@register(
+    "load_orphans",
+    f"""
+WITH {_RAW_CTE}
+SELECT 'fk_date_id' AS check_name, count_if(full_date >= {FIRST_LOAD_BEFORE_SQL}) AS violations FROM facts
+UNION ALL SELECT 'fk_location_id', count_if(location_id NOT IN
+    (SELECT location_id FROM dl WHERE iso_code < 'NM')) FROM facts
+UNION ALL SELECT 'fk_disease_id', count_if(disease_id NOT IN (SELECT r_regionkey FROM region)) FROM facts
+UNION ALL SELECT 'fk_source_id', count_if(source_id NOT IN
+    (SELECT n_nationkey FROM nation WHERE n_nationkey > 1)) FROM facts
+""",
+)
+def load_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The references a load checks before its append, against
+    dimensions that lack some of the rows."""
+    staging = _staged(spark, sf_dir)
+    dd, dl = materialize(_dim_date(staging), "dim"), materialize(_dim_location(staging), "dim")
+    facts = materialize(F_.build_facts(staging, dd, dl), "facts")
+    nations = T.read_table(spark, sf_dir, "nation").where("n_nationkey > 1")
+    return Q.constraint_checks(
+        facts,
+        foreign_keys=[
+            ("date_id", dd.where(F.col("full_date") < F.lit(FIRST_LOAD_BEFORE)), "date_id"),
+            ("location_id", dl.where(F.col("iso_code") < "NM"), "location_id"),
+            ("disease_id", T.read_table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("bigint").alias("k")), "k"),
+            ("source_id", nations.select(F.col("n_nationkey").cast("bigint").alias("k")), "k"),
+        ],
+    )
+
+
 @register(
     "fact_load_append",
     f"""
@@ -568,7 +632,7 @@ SELECT date_id, location_id, disease_id, source_id, cases, deaths, recovered, lo
 def fact_load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L6 as coded: a second load appends every fact again (the fact has no
     unique key, so nothing conflicts)."""
-    return _two_loads(spark, sf_dir, "append")
+    return _after_two_loads(spark, sf_dir, "append")
 
 
 @register(
@@ -588,7 +652,7 @@ WHERE NOT EXISTS (SELECT 1 FROM first x
 def fact_load_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L6 as intended: the second load skips facts whose natural key is
     already loaded, so a rerun adds only the new days."""
-    return _two_loads(spark, sf_dir, "ignore")
+    return _after_two_loads(spark, sf_dir, "ignore")
 
 
 # Customer dimension, loaded incrementally: a first load holds customers who
@@ -1102,3 +1166,108 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact distinct suppliers seen in lineitem."""
     li = T.read_table(spark, sf_dir, "lineitem").select("l_suppkey")
     return Q.run_checks(li, [Q.coverage(li, "l_suppkey", 50, name="supplier_coverage")]).select(*_CHECK_COLS)
+
+
+# Details, recency, stage counts and refused batches ------------------------
+
+
+def _detail_sql(rows: list[tuple[str, str, str]]) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS check_name, '{k}' AS detail, CAST({v} AS DOUBLE) AS value FROM ad" for c, k, v in rows)
+
+
+@register(
+    "quality_details",
+    f"WITH {_RAW_CTE}, {_SUITE_AGG} "
+    + _detail_sql(
+        [
+            ("not_empty", "row_count", "n"),
+            *[
+                (f"null_rate_{c}", k, v)
+                for c, nulls, most in (("iso_code", "iso_nulls", "0.0"), ("event_date", "date_nulls", "0.0"), ("cases", "case_nulls", "0.1"))
+                for k, v in (("null_count", nulls), ("row_count", "n"), ("null_rate", _rate(nulls, "n", "1.0")), ("max_allowed", most))
+            ],
+            ("no_negatives_cases", "negative_count", "neg_cases"),
+            ("no_negatives_deaths", "negative_count", "neg_deaths"),
+            ("date_range", "future_count", "future"),
+            ("iso_code_format", "invalid_count", "bad_codes"),
+            ("unique_combinations", "duplicate_count", "dups"),
+            ("unique_combinations", "row_count", "rows"),
+            ("unique_combinations", "duplicate_rate", _rate("dups", "rows", "0.0")),
+            ("country_coverage", "country_count", "codes"),
+            ("country_coverage", "min_required", "50"),
+        ]
+    ),
+)
+def quality_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7: the numbers behind each result of the validation suite."""
+    staging = _staged(spark, sf_dir)
+    results = Q.run_checks(staging, Q.health_suite(staging, RUN_TS))
+    rows = results.select("check_name", F.explode("details").alias("detail", "text"))
+    return rows.select("check_name", "detail", F.expr("try_cast(text AS DOUBLE)").alias("value")).where("value IS NOT NULL")
+
+
+@register(
+    "negative_details",
+    """
+SELECT 'no_negatives_c_acctbal' AS check_name, count_if(c_acctbal < 0) AS negative_count,
+       CAST(least(5, count_if(c_acctbal < 0)) AS INTEGER) AS sampled_rows
+FROM customer
+""",
+)
+def negative_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 inside V4: a failed check carries five of the offending rows."""
+    c = T.read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    row = Q.run_checks(c, [Q.no_negatives(c, "c_acctbal")])
+    sampled = F.from_json(F.col("details")[Q.SAMPLE_KEY], "array<struct<c_custkey: bigint, c_acctbal: double>>")
+    return row.select(
+        "check_name",
+        F.col("details")["negative_count"].cast("bigint").alias("negative_count"),
+        F.size(F.filter(F.coalesce(sampled, F.array()), lambda x: x["c_acctbal"] < 0)).alias("sampled_rows"),
+    )
+
+
+RECENT_DAYS = 900
+
+
+@register(
+    "recent_orders",
+    f"""
+SELECT o_orderkey, o_orderdate FROM orders
+WHERE o_orderdate >= TIMESTAMP '2000-01-01 00:00:00' - INTERVAL {RECENT_DAYS} DAY
+""",
+)
+def recent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders of the last days before an injected clock."""
+    orders = T.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return C.keep_recent(orders, "o_orderdate", dt.datetime(2000, 1, 1), RECENT_DAYS)
+
+
+@register(
+    "stage_counts",
+    f"""
+WITH {_RAW_CTE},
+kept AS (SELECT * FROM raw WHERE iso_code IS NOT NULL AND location IS NOT NULL AND ship_day IS NOT NULL)
+SELECT 'extract' AS stage, count(*) AS kept_rows FROM raw
+UNION ALL SELECT 'drop_nulls', count(*) FROM kept
+UNION ALL SELECT 'code_length', count_if(length(iso_code) = 3) FROM kept
+UNION ALL SELECT 'non_negative', count(*) FROM staging
+""",
+)
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows after each stage of the clean chain, observed while it runs."""
+    seen: dict = {}
+    C.clean_events(T.country_day_reports(spark, sf_dir), RUN_TS, observations=seen).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(P.observed_counts(seen).items()), "stage string, kept_rows bigint")
+
+
+@register(
+    "refused_batch_keys",
+    """
+SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""",
+)
+def refused_batch_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys for which an upsert batch would be refused."""
+    return M.duplicate_keys(T.read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
