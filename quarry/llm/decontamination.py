@@ -163,10 +163,23 @@ def find_leaks(
     return found if found is not None else spark.createDataFrame([], SCHEMA)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, ident: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose text holds a test item."""
-    leaks = find_leaks(docs, items, rate, ident).select(F.col("doc_id").alias(ident)).distinct()
-    return docs.join(leaks, ident, "left_anti")
+def decontaminate(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text holds a test item.  Rows are
+    judged one by one, so ids may be null or repeated and other columns may
+    have any name."""
+    at = docs.columns.index(text)
+    spark = docs.sparkSession
+    for block in item_blocks(items, item, item_text):
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            automaton = ItemBlock(shared.value, rate)
+            for batch in batches:
+                clean = [not (v.is_valid and automaton.search(normalise(v.as_py()))) for v in batch.column(at)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

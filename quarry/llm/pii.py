@@ -193,24 +193,25 @@ def sanitise(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
     their kind (``[EMAIL]``) and disclosing terms generalised or removed.
     Where spans overlap, the one that starts first (the longer, the earlier
     kind) is replaced and the rest of the others with it.  Null texts stay null."""
-    found = sanitise_spans(docs, ident, text).withColumnsRenamed({"id": "q_id", "text_hash": "q_hash", "spans": "q_spans", "terms": "q_terms"})
-    found = found.where((F.size("q_spans") > 0) | (F.size("q_terms") > 0)).dropDuplicates(["q_id", "q_hash"])
-    hashed = docs.withColumn("q_own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = hashed.join(found, F.col(ident).eqNullSafe(F.col("q_id")) & (F.col("q_own") == F.col("q_hash")), "left")
+    found = sanitise_spans(docs, ident, text).where((F.size("spans") > 0) | (F.size("terms") > 0)).dropDuplicates(["id", "text_hash"])
+    # the row travels as one struct, so its columns may have any name
+    value = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.col(ident).alias("own_id"), value.alias("value"), F.xxhash64(value).alias("own_hash"))
+    rows = own.join(found, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
     spans = F.concat(
-        F.transform("q_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by"))),
-        F.transform("q_terms", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["value"].alias("by"))),
+        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by"))),
+        F.transform("terms", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["value"].alias("by"))),
     )
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def put(acc: Column, s: Column) -> Column:
-        gap = F.substr(F.col(text), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        gap = F.substr(F.col("value"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         by = F.when(s["start"] >= acc["at"], s["by"]).otherwise(F.lit(""))
         return F.struct(F.greatest(acc["at"], -s["end"]).alias("at"), F.concat(acc["out"], gap, by).alias("out"))
 
-    masked = F.aggregate(F.array_sort(spans), start, put, lambda acc: F.concat(acc["out"], F.substr(F.col(text), acc["at"] + 1)))
-    clean = F.when(F.col("q_spans").isNotNull(), masked).otherwise(F.col(text))
-    return rows.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
+    masked = F.aggregate(F.array_sort(spans), start, put, lambda acc: F.concat(acc["out"], F.substr(F.col("value"), acc["at"] + 1)))
+    clean = F.when(F.col("spans").isNotNull(), masked).otherwise(F.col("row")[text])
+    return rows.select(*[(clean if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
