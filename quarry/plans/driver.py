@@ -280,9 +280,13 @@ GROUP BY country
 )
 def filtered_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases by country within one continent (C6: J3 + F8 + A2).  The filter
-    on the dimension reaches the region scan as a pushed filter."""
+    on the dimension reaches the region scan as a pushed filter; orders are
+    cut to the continent's customers before line items join, so that a
+    runtime filter can drop the other line items before their shuffle."""
+    places = T.customer_locations(spark, sf_dir)
+    located = T.order_dates(spark, sf_dir).join(places, "o_custkey").select(F.col("o_orderkey").alias("l_orderkey"), "country", "continent")
     return A.filtered_sum(
-        _per_order_measures(spark, sf_dir),
+        T.event_facts(spark, sf_dir).join(located, "l_orderkey"),
         F.col("continent") == F.lit("ASIA"),
         ["country"],
         {"total_cases": "cases"},

@@ -123,10 +123,15 @@ class Warehouse:
         self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{by}")
         return table
 
-    def _insert(self, table: str, df: DataFrame) -> None:
-        """Insert by the table's column order (partition columns last).  A
+    def _insert(self, name: str, table: str, df: DataFrame) -> None:
+        """Insert by the table's column order (partition columns last).  Rows
+        of a partitioned table are clustered by its partition first, with
+        large partitions split, so a task does not open a file for each.  A
         streaming batch comes from a session of its own, so this session's
         view of the files is renewed."""
+        by = self.partition_by.get(name)
+        if by:
+            df = df.hint("rebalance", *by)
         df.select(*self.spark.table(table).columns).write.insertInto(table)
         self.spark.catalog.refreshTable(table)
 
@@ -134,7 +139,7 @@ class Warehouse:
         version = max(self._versions(name), default=0) + 1
         table = self._create_physical(name, version, df.schema)
         try:
-            self._insert(table, df)
+            self._insert(name, table, df)
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             raise
@@ -205,7 +210,7 @@ class Warehouse:
         version = self.current_version(name)
         if version is None:
             raise KeyError(f"table {name} does not exist; create() it first")
-        self._insert(self._physical(name, version), df)
+        self._insert(name, self._physical(name, version), df)
 
     def create(self, schemas: Mapping[str, T.StructType] = WAREHOUSE_TABLES) -> None:
         """Create every missing table, empty, from its fixed schema."""

@@ -3,7 +3,8 @@ items (rows re-keyed from lineitem itself), then RANK/LAG within each part
 runs once with the plain window and once with the split; likewise one user
 is made to own half of all events for sessionisation.  The
 Spark event log (written to a scratch folder) gives the largest number of
-shuffle records any single task read.
+shuffle records any single task read, and the rows in which split and plain
+results differ are counted (they must be none).
 
 usage: python scripts/skew_demo.py [sf_dir]
 """
@@ -61,7 +62,7 @@ def main() -> None:
     hot = facts.withColumn("l_partkey", F.when(F.col("l_orderkey") % 2 == 0, F.lit(0)).otherwise(F.col("l_partkey")))
     total = hot.count()
     in_hot = hot.where("l_partkey = 0").count()
-    args = dict(tie_cols=["l_orderkey", "l_linenumber"], rank_alias="r", lag_alias="p")
+    args = dict(tie_cols=["l_orderkey", "l_linenumber", "deaths", "recovered"], rank_alias="r", lag_alias="p")
     limit = max(1, total // 64)
     runs = {
         "plain": rank_and_lag(hot, ["l_partkey"], "cases", max_group_rows=total + 1, **args),
@@ -79,6 +80,9 @@ def main() -> None:
     for name, df in runs.items():
         spark.sparkContext.setJobGroup(name, name)
         df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobGroup("compare", "compare")
+    out["rank_rows_that_differ"] = runs["split"].exceptAll(runs["plain"]).count()
+    out["session_rows_that_differ"] = runs["sessions_split"].exceptAll(runs["sessions_plain"]).count()
     spark.stop()
     for name in runs:
         best, tasks = max_task_records(scratch, name)
