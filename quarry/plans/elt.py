@@ -22,7 +22,7 @@ from quarry.operators.calendar import calendar_rows
 from quarry.operators.clean import clean_events
 from quarry.operators.facts import build_facts, load_facts
 from quarry.operators.keys import max_id
-from quarry.operators.merge import new_rows
+from quarry.operators.merge import insert_new
 from quarry.operators.profile import observed_counts
 from quarry.plans.warehouse import ConstraintError, Warehouse
 from quarry.schemas import REFERENCES
@@ -139,49 +139,39 @@ def load_clean(
         F.lit(None).cast("string").alias("region"),
         F.lit(None).cast("string").alias("continent"),
     )
-    # Both new rows and the dimensions they complete are independent of each
-    # other; the new versions of both are written side by side, checked, and
-    # become visible together (L11).  New-row counts are observed on the
-    # writes themselves.
+    # The two dimensions are independent of each other: the new versions of
+    # both are written side by side, checked, and become visible together
     dates_incoming = calendar_rows(staging, "event_date", pad_names=pad_names)
-    counts = {name: Observation(f"new_{name}") for name in ("dim_location", "dim_date")}
-
-    def grown(name: str, incoming: DataFrame, keys: list[str], id_col: str) -> DataFrame:
-        existing = warehouse.table(name)
-        added = new_rows(existing, incoming, keys, id_col).observe(counts[name], F.count(F.lit(1)).alias("rows"))
-        return existing.unionByName(added.select(*existing.columns))
-
-    warehouse.publish(
-        {
-            "dim_location": grown("dim_location", loc_incoming, ["iso_code"], "location_id"),
-            "dim_date": grown("dim_date", dates_incoming, ["full_date"], "date_id"),
-        }
-    )
-    for name in counts:
+    grown = {
+        "dim_location": insert_new(warehouse.table("dim_location"), loc_incoming, ["iso_code"], "location_id"),
+        "dim_date": insert_new(warehouse.table("dim_date"), dates_incoming, ["full_date"], "date_id"),
+    }
+    rows_before = {name: warehouse.count(name) for name in grown}
+    warehouse.publish(grown)
+    n_loc, n_dates = (warehouse.count(name) - rows_before[name] for name in grown)
+    for name in grown:
         warehouse.vacuum(name, keep=2)
-    n_loc, n_dates = (int(counts[name].get.get("rows", 0)) for name in ("dim_location", "dim_date"))
     t = lap("load_dimensions", t)
 
-    # Facts.  They are written once; references are checked on what
-    # was written, and only then are the rows appended.  The row count and the
-    # id mark are kept with the fact version, so no load scans the history.
+    # Facts.  The batch is written once with its ids; references are
+    # checked on what was written, and only then are the rows appended.  The
+    # row count and the id mark are kept with the fact version, so no load
+    # scans the history for them.
     dd, dl = warehouse.table("dim_date"), warehouse.table("dim_location")
-    matched, appended = Observation("facts_matched"), Observation("facts_appended")
+    matched = Observation("facts_matched")
     facts = build_facts(staging, dd, dl, disease_id=disease_id, source_id=source_id, matched=matched)
-    facts = materialize(facts, "facts")
-    unmatched = int(prof["rows"]) - int(matched.get.get("rows", 0))
-    check_references(facts, warehouse)
     history = warehouse.table("fact_health_events")
     before, mark = warehouse.stat("fact_health_events", "rows"), warehouse.stat("fact_health_events", "max_id")
     if before is None or mark is None:  # a version that something else has written
         before, mark = warehouse.count("fact_health_events"), max_id(history, "event_id")
-    to_append = load_facts(facts, history, on_conflict, start_after=mark)
-    seen = [F.count(F.lit(1)).alias("rows"), F.max("event_id").alias("max_id")]
-    warehouse.append("fact_health_events", to_append.observe(appended, *seen))
-    n_appended = int(appended.get.get("rows", 0))
+    batch = materialize(load_facts(facts, history, on_conflict, start_after=mark), "facts")
+    unmatched = int(prof["rows"]) - int(matched.get.get("rows", 0))
+    check_references(batch, warehouse)
+    n_appended, last_id = batch.agg(F.count(F.lit(1)), F.max("event_id")).first()
+    warehouse.append("fact_health_events", batch)
     total = before + n_appended
-    warehouse.set_stats("fact_health_events", rows=total, max_id=int(appended.get.get("max_id") or mark))
-    discard(facts)
+    warehouse.set_stats("fact_health_events", rows=total, max_id=last_id or mark)
+    discard(batch)
     lap("load_facts", t)
 
     return EltResult(
