@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,31 +21,52 @@ def connected_components(edges: DataFrame) -> DataFrame:
     merged."""
     ends = edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     stars = materialize(ends.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct(), "links")
-    before = None
-    while True:
-        mark = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
-        if mark == before or mark[0] == 0:
-            break
-        before = mark
+    while not _are_stars(stars):
+        # large star: every neighbour above x is linked to the smallest of x and its neighbours
         both = stars.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
             stars.select(F.col("b").alias("x"), F.col("a").alias("y"))
         )
         least = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m"))
-        large = both.join(least, "x").where("y > x").select(F.col("y").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = both.join(least, "x").where("y > x AND y <> m").select(F.col("y").alias("a"), F.col("m").alias("b"))
+        # small star: a and its smaller neighbours are linked to the smallest of them
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
+        ends = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = large.join(lowest, "a").select(F.explode(ends).alias("e")).select("e.a", "e.b")
         after = materialize(small.where("a <> b").distinct(), "links")
         discard(stars)
         stars = after
-    return (
-        stars.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        .unionByName(stars.select(F.col("b").alias("id"), F.col("b").alias("component")))
-        .groupBy("id")
-        .agg(F.min("component").alias("component"))
+    roots = stars.select("b").distinct()
+    return stars.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        roots.select(F.col("b").alias("id"), F.col("b").alias("component"))
     )
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """True if every id is either linked once, to a smaller one, or a centre."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("n")), F.struct(F.col("b").alias("id"), F.lit(0).alias("n")))).alias("e"))
+    seen = ends.groupBy("e.id").agg(F.sum("e.n").alias("links"), F.min("e.n").alias("leaf"))
+    return seen.where("links > 1 OR (links = 1 AND leaf = 0)").isEmpty()
+
+
+def spanning_links(u: Iterable[int], v: Iterable[int], parent: dict[int, int]) -> list[int]:
+    """Positions of the links (u, v) that join two trees of ``parent``, which
+    is updated: a small helper inside tasks."""
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for at, (a, b) in enumerate(zip(u, v)):
+        x, y = root(a), root(b)
+        if x != y:
+            parent[x] = y
+            out.append(at)
+    return out
+
+
 def bucket_cells(members: DataFrame, bucket: list[str], ident: str, block_rows: int) -> DataFrame:
     """Give every member of a bucket the comparisons it takes part in.
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.components import bucket_cells, connected_components
+from quarry.llm.components import bucket_cells, connected_components, spanning_links
 from quarry.llm.textvec import run_ids, run_pairs, whole_runs
 from quarry.session import materialize
 
@@ -128,24 +128,6 @@ def _buckets(classes: DataFrame, bits: int, n_chunks: int) -> DataFrame:
     return classes.select("vec", "label", "raw").mapInArrow(run, "label string, size int, chunk int, value bigint, vec bigint")
 
 
-def _forest(u: np.ndarray, v: np.ndarray, parent: dict[int, int]) -> list[tuple[int, int]]:
-    """The links that join two trees of ``parent``."""
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for a, b in zip(u.tolist(), v.tolist()):
-        x, y = root(a), root(b)
-        if x != y:
-            parent[x] = y
-            out.append((a, b))
-    return out
-
-
 _FOUND = "vec bigint, other bigint, links bigint"
 
 
@@ -190,7 +172,7 @@ def _compare(cells: DataFrame, threshold: float, bits: int, n_chunks: int) -> Da
                     u, v = own["vec"][i[ok]], own["vec"][j[ok]]
                     for a, w in zip([*u.tolist(), *v.tolist()], [*own["weight"][j[ok]].tolist(), *own["weight"][i[ok]].tolist()]):
                         counts[a] = counts.get(a, 0) + w
-                    links += _forest(u, v, parent)
+                    links += [(int(u[k]), int(v[k])) for k in spanning_links(u.tolist(), v.tolist(), parent)]
             if counts or links:
                 vec = [*counts, *(a for a, _ in links)]
                 other = [*([None] * len(counts)), *(b for _, b in links)]

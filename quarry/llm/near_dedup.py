@@ -18,9 +18,13 @@ enumerated within them:
    hash, so that a document meets many different leaders; the closest
    signatures are confirmed on the full sets, and links give components;
 3. what is left are pairs in a key group whose members are still in different
-   components: these are compared by signature in bounded blocks, each pair
-   under the first key it shares, and confirmed on the full sets if their
-   whole signatures are close enough for the threshold.
+   components: these are compared in bounded blocks, each pair under the first
+   key it shares.  A pair whose whole signatures are close enough for the
+   threshold is judged by its sketches, the ``SKETCH`` smallest hashes of each
+   set: they hold smaller sets whole, so that pair is decided, and of pairs
+   that are links only those that join two components leave the task; of
+   larger sets they estimate the similarity, and every pair that may reach the
+   threshold leaves it.  What leaves is confirmed on the full sets.
 
 A link inside a component already found cannot change it, so the result is
 that of all links."""
@@ -36,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.components import bucket_cells, connected_components
+from quarry.llm.components import bucket_cells, connected_components, spanning_links
 from quarry.llm.textvec import chunks as slices
 from quarry.llm.textvec import mix, run_ids, run_pairs, whole_runs, word_hashes, words
 from quarry.session import discard, materialize
@@ -46,6 +50,10 @@ SYMBOLS = 5
 MISS = 1e-6
 #: Members of a key group compared in one cell.
 BLOCK_ROWS = 2048
+#: Smallest hashes of a set kept for judging pairs; sets up to this size are held whole.
+SKETCH = 256
+#: Pairs whose sketches are merged at once.
+SKETCH_PAIRS = 2048
 #: Leaders a document is confirmed against in the first round.
 BEST = 2
 _SEED = 11
@@ -219,21 +227,66 @@ def _leader_pairs(members: DataFrame, classes: DataFrame, limit: int) -> DataFra
     return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= BEST).select("u", "v")
 
 
-def _open_pairs(members: DataFrame, classes: DataFrame, parts: DataFrame, n_chunks: int, limit: int) -> DataFrame:
-    """Pairs that share a key, lie in different components and are close
-    enough by signature; each under the first key it shares."""
+def _sketches(sets: DataFrame) -> DataFrame:
+    """``doc, size, sketch``: the smallest 32-bit hashes of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, out = [], []
+            for value in batch.column(1):
+                hashes = np.frombuffer(value.as_buffer(), dtype=np.uint64)
+                small = np.unique((mix(hashes) >> np.uint64(32)).astype(np.uint32))
+                sizes.append(len(small))
+                out.append(small[:SKETCH].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], names=["doc", "size", "sketch"])
+
+    return sets.select("doc", "shingles").mapInArrow(run, "doc bigint, size int, sketch binary")
+
+
+def _sketch_matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Sketches as rows; places beyond a small set hold values met nowhere else."""
+    out = np.broadcast_to((1 << 32) + np.arange(SKETCH, dtype=np.uint64), (len(column), SKETCH)).copy()
+    for r, raw in enumerate(column.to_pylist()):
+        out[r, : len(raw) // 4] = np.frombuffer(raw, dtype=np.uint32)
+    return out
+
+
+def _judge(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of sketched sets (sizes n, m) may reach ``percent``, and
+    which of those surely do."""
+    right = np.where(right >> np.uint64(32) > 0, right + np.uint64(1 << 33), right)
+    both = np.sort(np.concatenate([left, right], axis=1), axis=1)
+    same = both[:, 1:] == both[:, :-1]
+    common = same.sum(axis=1)
+    whole = (n <= SKETCH) & (m <= SKETCH)
+    reaches = 100 * common >= percent * (n + m - common)
+    # the smallest values of the union are a sample of it
+    rank = np.arange(same.shape[1]) - (np.cumsum(same, axis=1) - same)
+    share = (same & (rank < SKETCH)).sum(axis=1) / SKETCH
+    t = percent / 100
+    may = share >= t - 5.2 * (t * (1 - t) / SKETCH) ** 0.5
+    return np.where(whole, reaches, may), whole & reaches
+
+
+def _open_pairs(members: DataFrame, classes: DataFrame, sets: DataFrame, parts: DataFrame, n_chunks: int, percent: int) -> DataFrame:
+    """Pairs that share a key, lie in different components and may reach the
+    threshold; each under the first key it shares."""
+    limit = most_differing(percent / 100)
     labelled = members.select("key", "doc").join(parts.withColumnRenamed("id", "doc"), "doc", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "doc"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    rows = labelled.join(mixed, "key").join(classes.select("doc", "sig"), "doc").select("key", "doc", "component", "sig")
+    known = classes.select("doc", "sig").join(_sketches(sets), "doc")
+    rows = labelled.join(mixed, "key").join(known, "doc")
     cells = bucket_cells(rows, ["key"], "doc", BLOCK_ROWS)
     names = ["key", "cell_a", "cell_b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, names):
-            doc, part, key = (table.column(c).to_numpy() for c in ("doc", "component", "key"))
+            doc, part, key, size = (table.column(c).to_numpy() for c in ("doc", "component", "key", "size"))
             block, a, b = (table.column(c).to_numpy() for c in ("block", "cell_a", "cell_b"))
             sig = _symbols(table.column("sig"))
+            sketch = _sketch_matrix(table.column("sketch"))
+            parent: dict[int, int] = {}
             for i, j in run_pairs(run_ids(table, names)):
                 ok = (part[i] != part[j]) & ((a[i] == b[i]) | (block[i] != block[j]))
                 i, j = i[ok], j[ok]
@@ -241,12 +294,19 @@ def _open_pairs(members: DataFrame, classes: DataFrame, parts: DataFrame, n_chun
                 i, j = i[ok], j[ok]
                 if not len(i):
                     continue
-                shared = _keys(sig[i], n_chunks) == _keys(sig[j], n_chunks)
-                first = _keys(sig[i], n_chunks)[np.arange(len(i)), shared.argmax(axis=1)]
-                ok = first.view(np.int64) == key[i]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[i][ok]), pa.array(doc[j][ok])], names=["u", "v"])
-
-    columns = cells.select("key", "cell_a", "cell_b", "block", "doc", "component", "sig")
+                keys = _keys(sig[i], n_chunks)
+                shared = keys == _keys(sig[j], n_chunks)
+                ok = keys[np.arange(len(i)), shared.argmax(axis=1)].view(np.int64) == key[i]
+                i, j = i[ok], j[ok]
+                for at in range(0, len(i), SKETCH_PAIRS):
+                    x, y = i[at : at + SKETCH_PAIRS], j[at : at + SKETCH_PAIRS]
+                    may, sure = _judge(sketch[x], sketch[y], size[x], size[y], percent)
+                    link = np.flatnonzero(sure)
+                    link = link[spanning_links(part[x[link]].tolist(), part[y[link]].tolist(), parent)]
+                    out = np.concatenate([np.flatnonzero(may & ~sure), link])
+                    yield pa.RecordBatch.from_arrays([pa.array(doc[x[out]]), pa.array(doc[y[out]])], names=["u", "v"])
+
+    columns = cells.select("key", "cell_a", "cell_b", "block", "doc", "component", "sig", "size", "sketch")
     return columns.mapInArrow(run, "u bigint, v bigint").distinct()
 
 
@@ -272,12 +332,12 @@ def near_duplicates(
     groups = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("doc", F.xxhash64("key", "doc")).alias("leader")).where("n > 1")
     members = materialize(index.join(groups.drop("n"), "key"), "members")
     wanted = members.select("doc").distinct()
-    texts = src.join(wanted, "doc", "left_semi")
-    sets = shingle_sets(texts, width, signed=False).groupBy("doc").agg(F.min("shingles").alias("shingles"))
-    sets = materialize(sets, "sets")
+    # one text per id; the aggregate keeps the partitioning of the join
+    texts = src.join(wanted, "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
+    sets = materialize(shingle_sets(texts, width, signed=False), "sets")
     links = materialize(_confirm(_leader_pairs(members, classes, limit), sets, percent), "links")
     parts = materialize(connected_components(links), "parts")
-    more = materialize(_confirm(_open_pairs(members, classes, parts, n_chunks, limit), sets, percent), "links")
+    more = materialize(_confirm(_open_pairs(members, classes, sets, parts, n_chunks, percent), sets, percent), "links")
     spokes = parts.select(F.col("id").alias("u"), F.col("component").alias("v"))
     joined = materialize(connected_components(spokes.unionByName(more)), "parts")
     for done in (members, sets, links, parts, more):

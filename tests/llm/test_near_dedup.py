@@ -76,6 +76,22 @@ def test_edge_rows(spark):
     assert N.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_sketches_decide_small_sets_and_lose_no_large_pair():
+    rng = random.Random(3)
+    for size in (5, 100, 256, 3000):
+        for _ in range(40):
+            shared = rng.randrange(int(0.8 * size), size + 1)
+            a = {rng.getrandbits(32) for _ in range(size - shared)}
+            b = {rng.getrandbits(32) for _ in range(size - shared)}
+            c = {rng.getrandbits(32) for _ in range(shared)}
+            x, y = sorted(a | c), sorted(b | c)
+            rows = [N.pa.chunked_array([[N.np.array(v[: N.SKETCH], "<u4").tobytes()]]) for v in (x, y)]
+            may, sure = N._judge(*(N._sketch_matrix(r) for r in rows), N.np.array([len(x)]), N.np.array([len(y)]), 85)
+            truth = 100 * len(set(x) & set(y)) >= 85 * len(set(x) | set(y))
+            assert may[0] or not truth
+            assert sure[0] == (truth and size <= N.SKETCH) and (size > N.SKETCH or may[0] == truth)
+
+
 def test_chunks_follow_the_threshold():
     assert N.chunk_count(0.85) < N.chunk_count(0.8) <= N.SIGNATURE // N.SYMBOLS
     assert N.SIGNATURE * 0.15 < N.most_differing(0.85) < N.most_differing(0.8) < N.SIGNATURE
