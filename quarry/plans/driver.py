@@ -9,6 +9,7 @@ aliased identically in Spark and SQL."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,9 @@ from quarry.operators import keys as K
 from quarry.operators import merge as M
 from quarry.operators import profile as P
 from quarry.operators import quality as Q
-from quarry.session import materialize
+from quarry.session import ensure_checkpoint_dir, materialize
 from quarry.sources import tables as T
+from quarry.sources.csv import read_csv_projected
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -522,6 +524,16 @@ def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staging(spark, sf_dir).select(*SC.STAGING.fieldNames())
 
 
+@register("csv_clean_rows", f"WITH {_RAW_CTE} SELECT * FROM staging")
+def csv_clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S4 + C1: the same extract written as a folder of CSV files and read
+    back by the projecting CSV scan before it is cleaned."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-csv-{uuid.uuid4().hex}"
+    reports = T.country_day_reports(spark, sf_dir)
+    reports.select(F.lit("unused").alias("extra"), "*").write.option("header", True).csv(path)
+    return C.clean_events(read_csv_projected(spark, path), RUN_TS).select(*SC.STAGING.fieldNames())
+
+
 @register("date_dimension", f"WITH {_RAW_CTE} SELECT * FROM dd")
 def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5 + A9 + L4: distinct staging dates with calendar attributes and dense
