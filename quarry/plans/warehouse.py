@@ -145,6 +145,15 @@ class Warehouse:
             raise
         return version
 
+    def _write_checked(self, name: str, df: DataFrame) -> int:
+        version = self._write_version(name, df)
+        try:
+            self._check(name, self.version_table(name, version))
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._physical(name, version)}")
+            raise
+        return version
+
     def _check(self, name: str, df: DataFrame) -> None:
         not_null = [c for c in NOT_NULL.get(name, []) if c in df.columns]
         unique = [[c] for c in UNIQUE.get(name, []) if c in df.columns]
@@ -182,22 +191,15 @@ class Warehouse:
         """Replace several tables together (L1 replace-load, L2/L3 and L7
         results, L11 all-or-nothing): all new versions are written and checked
         before any of them becomes visible, all at once."""
-        written: dict[str, int] = {}
-        try:
-            # independent writes: submitted from threads, they run as
-            # concurrent Spark jobs
-            with ThreadPoolExecutor(max_workers=min(8, max(1, len(frames)))) as pool:
-                jobs = {name: pool.submit(self._write_version, name, df) for name, df in frames.items()}
-            failed = [job.exception() for job in jobs.values() if job.exception()]
-            written = {name: job.result() for name, job in jobs.items() if not job.exception()}
-            if failed:
-                raise failed[0]
-            for name, version in written.items():
-                self._check(name, self.version_table(name, version))
-        except Exception:
+        # independent tables: submitted from threads, they run as concurrent jobs
+        with ThreadPoolExecutor(max_workers=min(8, max(1, len(frames)))) as pool:
+            jobs = {name: pool.submit(self._write_checked, name, df) for name, df in frames.items()}
+        written = {name: job.result() for name, job in jobs.items() if not job.exception()}
+        failed = [job.exception() for job in jobs.values() if job.exception()]
+        if failed:
             for name, version in written.items():
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._physical(name, version)}")
-            raise
+            raise failed[0]
         self._move(written)
         return written
 
