@@ -13,12 +13,12 @@ disclosure of entity e by term t is
 
 the share of the entity's information content that the term reveals
 (pointwise mutual information over information content; 1: the term stands
-for the entity, 0: independent).  n(t) counts all documents with the term,
-n(e) all documents with the entity, n(e, t) the different contexts in which
-the term stands near the entity; equal contexts, as in copies, are one
-observation, and a pair needs ``MIN_CONTEXTS`` of them before anything can be
-estimated.  In the contexts of the entity, terms whose disclosure reaches
-``GENERALISE`` become ``[TERM]``, those that reach ``REMOVE`` are removed."""
+for the entity, 0: independent).  All counts are of different texts, so copies
+of a document are one observation: N of all, n(t) with the term, n(e) with the
+entity, n(e, t) with the term near the entity.  A pair needs ``MIN_CONTEXTS``
+different contexts before anything can be estimated.  In the contexts of the
+entity, terms whose disclosure reaches ``GENERALISE`` become ``[TERM]``, those
+that reach ``REMOVE`` are removed."""
 
 from __future__ import annotations
 
@@ -148,14 +148,15 @@ def _terms(found: DataFrame) -> DataFrame:
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text", min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosure`` for the pairs that reach ``threshold``.
-    ``found`` is a written frame of base spans and contexts; document counts
-    of terms and entities are taken over all of ``docs``."""
+    ``found`` is a written frame of base spans and contexts; terms and
+    entities are counted over all different texts of ``docs``."""
     near = _terms(found)
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("n_et")).where(F.col("n_et") >= min_contexts)
-    entities = found.where(F.size("contexts") > 0).select(F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    total = found.agg(F.count(F.lit(1)).alias("n"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(_TERM), F.lit(0)))).alias("term"))
+    pairs = near.groupBy("entity", "term").agg(F.count_distinct("text_hash").alias("n_et"), F.count_distinct("context").alias("contexts"))
+    pairs = pairs.where(F.col("contexts") >= min_contexts).drop("contexts")
+    entities = found.where(F.size("contexts") > 0).select("text_hash", F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity"))
+    entities = entities.groupBy("entity").agg(F.count_distinct("text_hash").alias("n_e"))
+    total = found.agg(F.count_distinct("text_hash").alias("n"))
+    words = docs.select(text).distinct().select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(_TERM), F.lit(0)))).alias("term"))
     frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     rows = materialize(pairs, "pairs").join(entities, "entity").join(frequency, "term")
     n = total.first()["n"]

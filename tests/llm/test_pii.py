@@ -79,3 +79,13 @@ def test_terms_that_give_an_entity_away(spark):
     clean = {r.doc_id: r.text for r in sanitise(df).collect()}
     assert all("Zyxagent" not in clean[i] and "[PHONE]" in clean[i] and "ask" in clean[i] for i in range(8))
     assert clean[300] == "wonderful Mirabella writes from [EMAIL] every day"
+
+
+def test_copies_do_not_hide_a_term_that_gives_an_entity_away(spark):
+    rows = [(i, f"note ask Zyxagent at +1 (234) 555-1230 about case {'abc'[i] * 5}") for i in range(3)]
+    rows += [(1000 + i, rows[0][1]) for i in range(200)]
+    rows += [(100 + i, f"ask about the case and note {chr(97 + i // 26) * 3}{chr(97 + i % 26) * 3}") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in sanitise(df).collect()}
+    assert not any("Zyxagent" in t for t in clean.values())
+    assert all("ask" in t and "case" in t for t in clean.values())
