@@ -12,7 +12,7 @@ language stage, which rejects what has no letter.  Columns beyond those of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.decontamination import decontaminate
@@ -22,8 +22,17 @@ from quarry.llm.packing import pack_documents, word_bpe_path
 from quarry.llm.pii import sanitise
 from quarry.session import materialize
 
-# Cosine below which a text resembles no learned language; single real words reach it.
-LEAST_COSINE = 0.02
+# Cosine below which a text resembles no learned language, by its number n of
+# distinct trigrams: 0.2 min(1, n / 60) ** 1.5, and from 150 to 300 trigrams up
+# to 0.35.  Noise reaches 0.17 at 60 trigrams, random Latin letters 0.21 at
+# 3,000.  Distinct ones count, as repeating a text leaves its cosine.
+LEAST_COSINE = 0.2
+LEAST_COSINE_LONG = 0.35
+
+
+def least_cosine(n: Column) -> Column:
+    short = LEAST_COSINE * F.pow(F.least(F.lit(1.0), n / 60), 1.5)
+    return short + (LEAST_COSINE_LONG - LEAST_COSINE) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), (n - 150) / 150))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +42,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if not names:  # nothing to learn from: only texts without a letter can be told
         return docs.where(F.col("text").rlike(r"\p{L}"))
     shadow = docs.select(*[F.col(c).alias(f"d_{c}") for c in docs.columns])
-    known = predict_language(shadow, names, prototypes, text="d_text")
-    kept = known.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_COSINE))
+    known = predict_language(shadow, names, prototypes, text="d_text", distinct=True)
+    kept = known.where((F.col("lang_pred") != "und") & (F.col("score") >= least_cosine(F.col("trigrams"))))
     lang = F.coalesce("d_lang", "lang_pred")
     return kept.select(*[(lang if c == "lang" else F.col(f"d_{c}")).alias(c) for c in docs.columns])
 

@@ -102,13 +102,15 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> t
 
 
 def predict_language(
-    docs: DataFrame, names: list[str], prototypes: np.ndarray, text: str = "text", keep: list[str] | None = None
+    docs: DataFrame, names: list[str], prototypes: np.ndarray, text: str = "text", keep: list[str] | None = None, distinct: bool = False
 ) -> DataFrame:
     """The ``keep`` columns of ``docs`` (default: all) with ``lang_pred`` and
     ``score`` (cosine, at least 0).  A null text, a text without a letter, or
     no learned language give ``und`` with score 0; equal cosines go to the
-    first name in order.  Columns of these two names are replaced."""
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+    first name in order.  With ``distinct`` the number of distinct trigrams is
+    added as ``trigrams``.  Columns of these names are replaced."""
+    added = ["lang_pred", "score", "trigrams"] if distinct else ["lang_pred", "score"]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     src = docs.select(*kept, *([] if text in kept else [text]))
     shared = docs.sparkSession.sparkContext.broadcast((names, prototypes.astype(np.float32)))
     at_text = src.columns.index(text)
@@ -117,9 +119,10 @@ def predict_language(
         labels, profiles = shared.value
         vectors = trigram_vectors()
         for batch in batches:
-            found, scores = [], []
+            found, scores, sizes = [], [], []
             for value in batch.column(at_text):
-                at, counts, ok = trigram_counts(value.as_py()) if value.is_valid else (None, None, False)
+                at, counts, ok = trigram_counts(value.as_py()) if value.is_valid else ((), None, False)
+                sizes.append(len(at))
                 if not ok or not labels:
                     found.append("und")
                     scores.append(0.0)
@@ -129,9 +132,12 @@ def predict_language(
                 best = int(np.argmax(cosines))
                 found.append(labels[best])
                 scores.append(min(1.0, max(0.0, float(cosines[best]))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"])
+            new = [pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(sizes, pa.int32())][: len(added)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=[*kept, *added])
 
     fields = StructType([src.schema[c] for c in kept]).add("lang_pred", "string").add("score", "double")
+    if distinct:
+        fields = fields.add("trigrams", "integer")
     return src.mapInArrow(run, fields)
 
 

@@ -80,3 +80,14 @@ def test_components_equal_union_find(spark):
     got = {r.id: r.component for r in connected_components(spark.createDataFrame([*edges, (None, 3), *edges[:20]], "u bigint, v bigint")).collect()}
     assert got == {x: find(x) for x in root}
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_language_stage_rejects_foreign_and_random_texts(spark):
+    rng = random.Random(5)
+    scripts = [(0x3B1, 0x3C9), (0x430, 0x44F), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0x627, 0x64A), (97, 122)]
+    strange = [" ".join("".join(chr(rng.randint(*ab)) for _ in range(rng.randint(2, 9))) for _ in range(n)) for n in (30, 100, 300) for ab in scripts for _ in range(5)]
+    strange += ["Это простое предложение на русском языке, в котором нет ничего особенного.", "Αυτή είναι μια απλή πρόταση στα ελληνικά χωρίς τίποτα ιδιαίτερο.", "To jest proste zdanie po polsku, w którym nie ma nic szczególnego."]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    fixtures = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(strange)], "doc_id bigint, text string")
+    kept = {r.doc_id for r in P.language_stage(spark, docs.unionByName(fixtures, allowMissingColumns=True), SF).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
