@@ -5,7 +5,7 @@ Base spans come from four patterns with their checks.  Positions are code
 points: the text is cut at the matches, and lengths of the pieces between
 matches and of the matches add up to starts and ends.
 
-A term near a protected entity may give the entity away although it is no
+A term in the document of a protected entity may give the entity away although it is no
 personal data itself.  The corpus tells how strongly: with N documents, the
 disclosure of entity e by term t is
 
@@ -15,10 +15,12 @@ the share of the entity's information content that the term reveals
 (pointwise mutual information over information content; 1: the term stands
 for the entity, 0: independent).  All counts are of different texts, so copies
 of a document are one observation: N of all, n(t) with the term, n(e) with the
-entity, n(e, t) with the term near the entity.  A pair needs ``MIN_CONTEXTS``
-different contexts before anything can be estimated.  In the contexts of the
-entity, terms whose disclosure reaches ``GENERALISE`` become ``[TERM]``, those
-that reach ``REMOVE`` are removed."""
+entity, n(e, t) with both, wherever they stand.  A term is a word outside base
+spans.  A pair needs ``MIN_CONTEXTS`` different contexts before anything can be
+estimated; the context of a pair in a text is the words around the first place
+of the term and the first place of the entity.  Throughout every document that
+holds the entity, terms whose disclosure reaches ``GENERALISE`` become
+``[TERM]``, those that reach ``REMOVE`` are removed."""
 
 from __future__ import annotations
 
@@ -39,11 +41,13 @@ PATTERNS = {
 }
 GATES = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){15}", "phone": r"\+[0-9]"}
 
-CONTEXT_CHARS = 60
+CONTEXT_CHARS = 60  # around an entity, up to the end of the word
+CONTEXT_WORDS = 5  # on each side of a term
 MIN_CONTEXTS = 3
 GENERALISE = 0.85
 REMOVE = 0.95
-_TERM = r"\p{L}{3,}+"
+_HIDDEN = "\ufdd0"  # a noncharacter in place of every character of a base span
+_TERM = rf"(?<![\p{{L}}{_HIDDEN}])\p{{L}}{{3,}}+(?!{_HIDDEN})"
 
 
 def _valid(kind: str, found: Column) -> Column:
@@ -101,87 +105,112 @@ def find_spans(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Da
     return src.withColumn("spans", F.concat(*KINDS)).drop(*KINDS)
 
 
-def _contexts(found: DataFrame) -> DataFrame:
-    """Text on both sides of every base span: ``id, text_hash, spans, entity,
-    context (hash), at, side``."""
+def _open(text: Column, spans: Column) -> Column:
+    """``text`` with the characters of base spans hidden, places unchanged."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def hide(acc: Column, s: Column) -> Column:
+        gap = F.substr(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        hidden = F.repeat(F.lit(_HIDDEN), F.greatest(s["end"] - F.greatest(acc["at"], s["start"]), F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, hidden).alias("out"))
+
+    places = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    hidden = F.aggregate(places, start, hide, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return F.when(F.size(spans) > 0, hidden).otherwise(text)
+
+
+def _words(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.lower)
+
+
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    """``text, text_hash, spans, open`` of every different text."""
+    each = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).distinct()
+    return find_spans(each, "text").drop("id").withColumn("open", _open(F.col("text"), F.col("spans")))
+
+
+def _mentions(held: DataFrame) -> DataFrame:
+    """``text_hash, entity, near`` for every entity of a text; ``near`` is a
+    hash of the characters around its first place, cut at word ends."""
 
     def around(s: Column) -> Column:
         left = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        before = F.substr(F.col("text"), left + 1, s["start"] - left)
-        after = F.substr(F.col("text"), s["end"] + 1, F.lit(CONTEXT_CHARS))
+        before = F.regexp_replace(F.substr(F.col("text"), left + 1, s["start"] - left), r"^\S+\s", "")
+        after = F.regexp_replace(F.substr(F.col("text"), s["end"] + 1, F.lit(CONTEXT_CHARS)), r"\s\S+$", "")
         entity = F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))
-        whole = F.xxhash64(before, after)
-        return F.array(
-            F.struct(entity.alias("entity"), whole.alias("context"), left.alias("at"), before.alias("side")),
-            F.struct(entity.alias("entity"), whole.alias("context"), s["end"].alias("at"), after.alias("side")),
-        )
-
-    return found.withColumn("contexts", F.flatten(F.transform("spans", around)))
-
-
-def _terms(found: DataFrame) -> DataFrame:
-    """Terms near entities: ``id, text_hash, entity, context, term, start,
-    end``; terms that touch a base span are left out."""
-    rows = found.where(F.size("spans") > 0).select("id", "text_hash", "spans", F.explode("contexts").alias("c"))
-    rows = rows.select("id", "text_hash", "spans", "c.*")
-    both = F.arrays_zip(F.regexp_extract_all("side", F.lit(_TERM), F.lit(0)).alias("m"), F.split("side", _TERM, -1).alias("p"))
-    step = F.aggregate(
-        both,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<term:string,start:int,end:int>>").alias("out")),
-        lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(
-            F.struct(
-                (acc["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
-                F.concat(
-                    acc["out"],
-                    F.array(F.struct(F.lower(x["m"]).alias("term"), (acc["at"] + F.length(x["p"])).alias("start"), (acc["at"] + F.length(x["p"]) + F.length(x["m"])).alias("end"))),
-                ).alias("out"),
-            )
-        ),
-        lambda acc: acc["out"],
-    )
-    rows = rows.select("id", "text_hash", "spans", "entity", "context", "at", F.explode(step).alias("t"))
-    start, end = F.col("at") + F.col("t.start"), F.col("at") + F.col("t.end")
-    rows = rows.select("id", "text_hash", "spans", "entity", "context", F.col("t.term").alias("term"), start.alias("start"), end.alias("end"))
-    touching = F.exists("spans", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return rows.where(~touching).drop("spans")
+        return F.struct(entity.alias("entity"), s["start"].alias("start"), F.xxhash64(before, after).alias("near"))
 
+    rows = held.select("text_hash", F.explode(F.transform("spans", around)).alias("s"))
+    return rows.groupBy("text_hash", "s.entity").agg(F.min(F.struct("s.start", "s.near")).alias("first")).select("text_hash", "entity", F.col("first.near").alias("near"))
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, text: str = "text", min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE) -> DataFrame:
+
+def _together(held: DataFrame, mentions: DataFrame) -> DataFrame:
+    """``text_hash, entity, near, term, around`` for every entity of
+    ``mentions`` and term of a text; ``around`` is a hash of the words around
+    the first place of the term."""
+    own = mentions.groupBy("text_hash").agg(F.collect_list(F.struct("entity", "near")).alias("entities"))
+    rows = held.join(own, "text_hash").select("text_hash", "entities", _words(F.col("open")).alias("words"), F.split("open", _TERM, -1).alias("gaps"))
+    rows = rows.select("text_hash", "entities", "words", "gaps", F.posexplode("words").alias("i", "term"))
+    first = F.greatest(F.col("i") - CONTEXT_WORDS, F.lit(0))
+    around = F.xxhash64(F.slice("words", first + 1, F.col("i") - first + CONTEXT_WORDS + 1), F.slice("gaps", first + 2, F.col("i") - first + CONTEXT_WORDS))
+    rows = rows.where(F.array_position("words", F.col("term")) == F.col("i") + 1).select("text_hash", "entities", "term", around.alias("around"))
+    return rows.select("text_hash", "term", "around", F.explode("entities").alias("e")).select("text_hash", "e.entity", "e.near", "term", "around")
+
+
+def disclosing_terms(held: DataFrame, docs: DataFrame, text: str = "text", min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosure`` for the pairs that reach ``threshold``.
-    ``found`` is a written frame of base spans and contexts; terms and
-    entities are counted over all different texts of ``docs``."""
-    near = _terms(found)
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("text_hash").alias("n_et"), F.count_distinct("context").alias("contexts"))
+    ``held`` is a written frame of the different texts with base spans; terms
+    and entities are counted over all different texts of ``docs``."""
+    mentions = _mentions(held)
+    # an entity of fewer texts has no pair with the support
+    entities = materialize(mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= min_contexts), "entities")
+    near = _together(held, mentions.join(entities.select("entity"), "entity"))
+    pairs = near.groupBy("entity", "term", F.xxhash64("near", "around").alias("context")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("contexts"))
     pairs = pairs.where(F.col("contexts") >= min_contexts).drop("contexts")
-    entities = found.where(F.size("contexts") > 0).select("text_hash", F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count_distinct("text_hash").alias("n_e"))
-    total = found.agg(F.count_distinct("text_hash").alias("n"))
-    words = docs.select(text).distinct().select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(_TERM), F.lit(0)))).alias("term"))
+    texts = _texts(docs, text)
+    words = texts.select(F.explode(F.array_distinct(_words(F.col("open")))).alias("term"))
     frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     rows = materialize(pairs, "pairs").join(entities, "entity").join(frequency, "term")
-    n = total.first()["n"]
+    n = docs.select(F.count_distinct(F.xxhash64(F.coalesce(F.col(text), F.lit("")))).alias("n")).first()["n"]
     information = -F.log2(F.col("n_e") / F.lit(max(n, 1)))
-    given = F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))
-    disclosure = F.when(information > 0, 1 + F.log2(given) / information).otherwise(F.lit(0.0))
+    disclosure = F.when(information > 0, 1 + F.log2(F.col("n_et") / F.col("n_t")) / information).otherwise(F.lit(0.0))
     return rows.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= threshold)
 
 
+def _places(words: Column, gaps: Column, strong: Column) -> Column:
+    """Every place of the words that ``strong`` maps to what to do."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + F.length(x["gap"])
+        end = begin + F.length(x["raw"])
+        do = F.element_at(strong, F.lower(x["raw"]))
+        place = F.struct(F.lit("term").alias("kind"), begin.alias("start"), end.alias("end"), do.alias("value"))
+        return F.struct(end.alias("at"), F.when(do.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(place))).alias("out"))
+
+    both = F.zip_with(words, F.slice(gaps, F.lit(1), F.size(words)), lambda w, g: F.struct(w.alias("raw"), g.alias("gap")))
+    return F.aggregate(both, start, step, lambda acc: acc["out"])
+
+
 def sanitise_spans(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, text_hash, spans, terms`` for every row of ``docs``: base spans
     and the disclosing terms (``kind`` is ``term``, ``value`` what to do:
     ``[TERM]`` or nothing).  Other columns are ignored; an empty table gives
     an empty one; repeated rows get the same spans each."""
     base = find_spans(docs, ident, text)
-    found = materialize(_contexts(base).drop("text"), "spans")
-    strong = disclosing_terms(found, docs, text)
-    near = _terms(found).join(strong, ["entity", "term"])
+    found = materialize(base.drop("text"), "spans")
+    # hidden characters are made once, after equal texts are merged
+    held = base.where(F.size("spans") > 0).select("text").distinct()
+    held = materialize(_texts(held, "text"), "held")
+    strong = materialize(disclosing_terms(held, docs, text), "strong")
+    mentions = _mentions(held).join(strong.select("entity").distinct(), "entity")
+    near = _together(held, mentions).join(strong, ["entity", "term"])
     action = F.when(F.max("disclosure") >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
-    added = near.groupBy("id", "text_hash", "start", "end").agg(action.alias("value"))
-    added = added.groupBy("id", "text_hash").agg(
-        F.array_sort(F.collect_list(F.struct(F.lit("term").alias("kind"), "start", "end", "value"))).alias("terms")
-    )
-    added = added.withColumnsRenamed({"id": "a_id", "text_hash": "a_hash"})
-    joined = found.join(added, F.col("id").eqNullSafe(F.col("a_id")) & (F.col("text_hash") == F.col("a_hash")), "left")
+    added = near.groupBy("text_hash", "term").agg(action.alias("value")).groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("strong"))
+    places = _places(F.regexp_extract_all("open", F.lit(_TERM), F.lit(0)), F.split("open", _TERM, -1), F.col("strong"))
+    added = held.join(added, "text_hash").select(F.col("text_hash").alias("a_hash"), places.alias("terms"))
+    joined = found.join(added, F.col("text_hash") == F.col("a_hash"), "left")
     return joined.select("id", "text_hash", "spans", F.coalesce("terms", F.array().cast(_SPANS)).alias("terms"))
 
 

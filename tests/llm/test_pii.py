@@ -89,3 +89,15 @@ def test_copies_do_not_hide_a_term_that_gives_an_entity_away(spark):
     clean = {r.doc_id: r.text for r in sanitise(df).collect()}
     assert not any("Zyxagent" in t for t in clean.values())
     assert all("ask" in t and "case" in t for t in clean.values())
+
+
+def test_terms_far_from_the_entity(spark):
+    far = "one of many plain lines that say nothing of note " * 4
+    rows = [(i, f"Zyxagent heads {'abcd'[i] * 5}. {far} write to me@mail.example, says zyxagent; {far} Zyxagent") for i in range(4)]
+    rows += [(100 + i, f"{far} write about {chr(97 + i // 26) * 3}{chr(97 + i % 26) * 3} heads") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in sanitise(df).collect()}
+    for i, t in rows:
+        want = t.replace("me@mail.example", "[EMAIL]")
+        # "says" has one context only, the same words in every document
+        assert clean[i] == (want.replace("Zyxagent", "").replace("zyxagent", "") if i < 100 else want)
