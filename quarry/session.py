@@ -74,7 +74,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_quarry_scratch"
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+def materialize(df: DataFrame, label: str = "step", compression: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` once as Parquet under the checkpoint
     folder (shared storage on a cluster) and reading it back.
 
@@ -84,11 +84,11 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     planner can size later joins.  If an executor is lost afterwards, the
     data is re-read from shared storage, never recomputed.
 
-    The folder stays until ``discard`` is called on the returned frame, or is
+    ``compression`` names a Parquet codec other than the session's.  The folder stays until ``discard`` is called on the returned frame, or is
     left to the retention rule of the checkpoint folder."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=compression)
     back = spark.read.schema(df.schema).parquet(path)
     back._written_to = path
     return back
