@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm.chat import OP2_SQL, op2_chat_formatting
 from quarry.llm.decontamination import op1_decontamination
 from quarry.llm.embedding_dedup import OP10_SQL, op10_embedding_dedup
+from quarry.llm.exact_dedup import OP12_SQL, op12_exact_dedup
+from quarry.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from quarry.llm.langid import op5_language_id
+from quarry.llm.merkle import OP11_SQL, op11_merkle_manifest
 from quarry.llm.near_dedup import op7_near_dedup
 from quarry.llm.packing import op6_best_fit_packing
 from quarry.llm.pii import op9_pii
@@ -38,6 +41,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_pii": op9_pii,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_exact_dedup": op12_exact_dedup,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": pipeline,
     }
 
@@ -50,4 +56,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_substring_dedup": OP4_SQL,
         "op8_warc": OP8_SQL,
         "op10_embedding_dedup": OP10_SQL,
+        "op11_merkle_manifest": OP11_SQL,
+        "op12_exact_dedup": OP12_SQL,
+        "op13_hard_negatives": OP13_SQL,
     }
