@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.keys import assign_keys, max_id
+from quarry.session import materialize
 
 
 class DuplicateKeyError(ValueError):
@@ -44,14 +45,20 @@ def new_rows(
     keys: Sequence[str],
     id_col: str,
     order_cols: Sequence[str] | None = None,
+    start_after: int | None = None,
 ) -> DataFrame:
     """Rows of ``incoming`` (deduplicated on ``keys``, NULL keys skipped) whose
-    key is not in ``existing``, with fresh ids after the existing maximum, in
-    ``order_cols`` order (default: the keys)."""
-    fresh = first_per_key(incoming.where(_key_not_null(keys)), keys).join(
-        existing.select(*keys), list(keys), "left_anti"
-    )
-    return assign_keys(fresh, id_col, order_cols or keys, start_after=max_id(existing, id_col))
+    key is not in ``existing``, with fresh ids in ``order_cols`` order
+    (default: the keys) above ``start_after`` (default: the existing maximum).
+
+    The batch is written once.  Which of its keys are known is found by a
+    semi join that streams the existing keys past the batch, so while the
+    batch measures small ``existing`` is scanned but not shuffled."""
+    batch = materialize(first_per_key(incoming.where(_key_not_null(keys)), keys), "batch")
+    known = existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+    fresh = batch.join(known, list(keys), "left_anti")
+    mark = max_id(existing, id_col) if start_after is None else start_after
+    return assign_keys(fresh, id_col, order_cols or keys, start_after=mark)
 
 
 def insert_new(
@@ -86,6 +93,7 @@ def upsert(
     update_cols: Sequence[str],
     id_col: str,
     order_cols: Sequence[str] | None = None,
+    start_after: int | None = None,
 ) -> DataFrame:
     """The whole dimension after ``INSERT ... ON CONFLICT (keys) DO UPDATE SET
     c = EXCLUDED.c`` for ``c`` in ``update_cols``.
@@ -117,6 +125,6 @@ def upsert(
         unmatched.unionByName(null_keyed),
         id_col,
         order_cols or keys,
-        start_after=max_id(existing, id_col),
+        start_after=max_id(existing, id_col) if start_after is None else start_after,
     )
     return kept.unionByName(added.select(*cols))

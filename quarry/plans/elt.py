@@ -3,15 +3,17 @@
 Spark shape: one lazy plan from the CSV to the cleaned frame, written once as
 an unpublished staging version (no cache of the extract).  Actions, in order:
 the staging write (which also fills the per-stage row counters), the gate's
-aggregate over that Parquet, the profile, the two dimensions (written side by
-side, published together), the facts (written, checked against all four
-dimensions, appended).  Nothing becomes visible unless the gate passes."""
+aggregate over that Parquet, the profile, then one load of the two dimensions
+(new rows only, side by side) and the facts (checked against all four
+dimensions), which becomes visible in one commit.  Nothing becomes visible
+unless the gate passes."""
 
 from __future__ import annotations
 
 import datetime as dt
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -21,16 +23,13 @@ from quarry.operators import quality as Q
 from quarry.operators.calendar import calendar_rows
 from quarry.operators.clean import clean_events
 from quarry.operators.facts import build_facts, load_facts
-from quarry.operators.keys import max_id
-from quarry.operators.merge import insert_new
 from quarry.operators.profile import observed_counts
-from quarry.plans.warehouse import ConstraintError, Warehouse
+from quarry.plans.warehouse import ConstraintError, Load, Warehouse
 from quarry.schemas import REFERENCES
-from quarry.session import discard, materialize
 from quarry.sources.csv import read_csv_projected
 
 
-def check_references(facts: DataFrame, warehouse: Warehouse) -> None:
+def check_references(facts: DataFrame, warehouse: Warehouse | Load) -> None:
     """Raise unless every key of ``facts`` has its dimension row."""
     refs = [(fk, warehouse.table(dim), fk) for fk, dim in REFERENCES.items()]
     broken = Q.constraint_checks(facts, foreign_keys=refs).where("violations > 0").collect()
@@ -139,39 +138,29 @@ def load_clean(
         F.lit(None).cast("string").alias("region"),
         F.lit(None).cast("string").alias("continent"),
     )
-    # The two dimensions are independent of each other: the new versions of
-    # both are written side by side, checked, and become visible together
     dates_incoming = calendar_rows(staging, "event_date", pad_names=pad_names)
-    grown = {
-        "dim_location": insert_new(warehouse.table("dim_location"), loc_incoming, ["iso_code"], "location_id"),
-        "dim_date": insert_new(warehouse.table("dim_date"), dates_incoming, ["full_date"], "date_id"),
-    }
-    rows_before = {name: warehouse.count(name) for name in grown}
-    warehouse.publish(grown)
-    n_loc, n_dates = (warehouse.count(name) - rows_before[name] for name in grown)
-    for name in grown:
-        warehouse.vacuum(name, keep=2)
-    t = lap("load_dimensions", t)
-
-    # Facts.  The batch is written once with its ids; references are
-    # checked on what was written, and only then are the rows appended.  The
-    # row count and the id mark are kept with the fact version, so no load
-    # scans the history for them.
-    dd, dl = warehouse.table("dim_date"), warehouse.table("dim_location")
-    matched = Observation("facts_matched")
-    facts = build_facts(staging, dd, dl, disease_id=disease_id, source_id=source_id, matched=matched)
-    history = warehouse.table("fact_health_events")
-    before, mark = warehouse.stat("fact_health_events", "rows"), warehouse.stat("fact_health_events", "max_id")
-    if before is None or mark is None:  # a version that something else has written
-        before, mark = warehouse.count("fact_health_events"), max_id(history, "event_id")
-    batch = materialize(load_facts(facts, history, on_conflict, start_after=mark), "facts")
+    dims = {"dim_location": (loc_incoming, ["iso_code"], "location_id"), "dim_date": (dates_incoming, ["full_date"], "date_id")}
+    # Dimensions and facts are one load (L11): its rows lie in partitions of
+    # its number, which nobody sees, until the commit makes all of them
+    # visible together with their counts and id marks
+    with warehouse.begin() as load:
+        # independent of each other: submitted from threads as concurrent jobs
+        with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+            jobs = {name: pool.submit(load.insert_new, name, *args) for name, args in dims.items()}
+        n_loc, n_dates = (jobs[name].result() for name in dims)
+        t = lap("load_dimensions", t)
+
+        # Facts, written once; references are checked on what was
+        # written.  Row count and id mark come with the committed state, so no
+        # load scans the history for them.
+        matched = Observation("facts_matched")
+        facts = build_facts(staging, load.table("dim_date"), load.table("dim_location"), disease_id=disease_id, source_id=source_id, matched=matched)
+        history, mark = load.table("fact_health_events"), load.mark("fact_health_events", "event_id")
+        batch = load_facts(facts, history, on_conflict, start_after=mark)
+        n_appended = load.append("fact_health_events", batch, "event_id")
+        check_references(load.rows("fact_health_events"), load)
+        total = load.changes["fact_health_events"].rows
     unmatched = int(prof["rows"]) - int(matched.get.get("rows", 0))
-    check_references(batch, warehouse)
-    n_appended, last_id = batch.agg(F.count(F.lit(1)), F.max("event_id")).first()
-    warehouse.append("fact_health_events", batch)
-    total = before + n_appended
-    warehouse.set_stats("fact_health_events", rows=total, max_id=last_id or mark)
-    discard(batch)
     lap("load_facts", t)
 
     return EltResult(

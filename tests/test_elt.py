@@ -6,13 +6,18 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators import quality as Q
 from quarry.operators.clean import clean_events
 from quarry.plans.elt import run_elt
-from quarry.plans.warehouse import ConstraintError, Warehouse
+from quarry.operators.merge import DuplicateKeyError
+from quarry.plans import warehouse as W
+from quarry.plans.warehouse import ConcurrentLoadError, ConstraintError, Load, Warehouse
 from quarry.sources.inline import reference_tables
 from quarry.sources.csv import MissingColumnsError, read_csv_projected
 
@@ -261,3 +266,145 @@ def test_a_load_does_not_scan_the_fact_history(spark, scratch_dir):
     assert res.fact_rows_total == 10 == wh.stat("fact_health_events", "rows")
     ids = sorted(r.event_id for r in wh.table("fact_health_events").collect())
     assert len(set(ids)) == 10 and sum(i > first for i in ids) == 5
+
+
+def _with_history(spark, scratch_dir):
+    wh = _warehouse(spark)
+    run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS)
+    return wh, {r.event_id for r in wh.table("fact_health_events").collect()}
+
+
+@pytest.mark.parametrize("lost_in", ["_commit", "_check"])
+def test_ids_and_counts_survive_a_lost_driver(spark, scratch_dir, monkeypatch, lost_in):
+    """The driver is lost after the facts are written and before the commit,
+    without a chance to clean up; the next load must not meet its rows or ids."""
+    wh, first = _with_history(spark, scratch_dir)
+    locations = wh.count("dim_location")
+
+    def lost(self, *args, **kwargs):
+        raise KeyboardInterrupt("driver lost")
+
+    more = [*ROWS, "FRA,,France,2024-02-01,,9,1,1"]
+    monkeypatch.setattr(Load, "abort", lambda self: None)
+    real = getattr(Warehouse, lost_in)
+    reached = lambda self, name, *a: lost(self) if name == "fact_health_events" else real(self, name, *a)
+    begun = []
+    begin = Warehouse.begin
+
+    def begin_then_fail(self):
+        begun.append(begin(self))
+        monkeypatch.setattr(Warehouse, lost_in, lost if lost_in == "_commit" else reached)
+        return begun[-1]
+
+    monkeypatch.setattr(Warehouse, "begin", begin_then_fail)
+    with pytest.raises(KeyboardInterrupt):
+        run_elt(spark, _csv(scratch_dir, more), wh, run_ts=RUN_TS)
+    monkeypatch.undo()
+    # the rows are on disk, but nobody sees them
+    assert begun[0].rows("fact_health_events").count() == 6
+    assert {r.event_id for r in wh.table("fact_health_events").collect()} == first and wh.count("dim_location") == locations
+
+    again = Warehouse(spark, wh.db)
+    res = run_elt(spark, _csv(scratch_dir, more), again, run_ts=RUN_TS)
+    rows = again.table("fact_health_events").collect()
+    assert len(rows) == len({r.event_id for r in rows}) == res.fact_rows_total == again.stat("fact_health_events", "rows") == 11
+    assert sum(r.event_id > max(first) for r in rows) == 6 and res.new_locations == 1
+    assert again.check_counts() == {} and spark.table(f"{wh.db}.fact_health_events").count() == 11
+    # its files go with the next vacuum
+    again.vacuum("fact_health_events")
+    assert begun[0].rows("fact_health_events").count() == 0 and again.count("fact_health_events") == 11
+
+
+def test_dimensions_and_facts_become_visible_together(spark, scratch_dir):
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}")
+    wh.create()
+    wh.seed({"dim_source": reference_tables(spark)["dim_source"]})
+    with pytest.raises(ConstraintError, match="fk_disease_id"):
+        run_elt(spark, _csv(scratch_dir, ROWS), wh, run_ts=RUN_TS)
+    assert wh.count("dim_location") == wh.count("dim_date") == wh.count("fact_health_events") == 0
+
+
+def test_of_two_loads_at_once_one_is_refused(spark):
+    wh = _warehouse(spark)
+    row = spark.createDataFrame([(9, "NASA", None, "Daily")], wh.table("dim_source").schema)
+    before = wh.count("dim_source")
+    a, b = wh.begin(), wh.begin()
+    assert a.number != b.number
+    a.append("dim_source", row)
+    b.append("dim_source", row)
+    b.commit()
+    with pytest.raises(ConcurrentLoadError, match="dim_source"):
+        a.commit()
+    assert wh.count("dim_source") == before + 1 and a.rows("dim_source").count() == 0
+    # the later number was committed; the earlier one is never seen
+    wh.append("dim_source", spark.createDataFrame([(10, "NOAA", None, "Daily")], wh.table("dim_source").schema))
+    assert wh.count("dim_source") == before + 2 and wh._of("dim_source").loads == ((0, 0), (b.number, b.number + 1))
+
+
+def test_loads_from_threads_lose_no_commit(spark):
+    wh = _warehouse(spark)
+    wh.create({f"t{k}": T.StructType().add("x", "long") for k in range(4)})
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: wh.append(f"t{k}", spark.range(k + 1).withColumnRenamed("id", "x")), range(4)))
+    assert [wh.count(f"t{k}") for k in range(4)] == [1, 2, 3, 4] and wh.check_counts() == {}
+
+
+def test_a_lock_of_a_lost_driver_is_broken(spark, monkeypatch):
+    wh = _warehouse(spark)
+    spark.sql(f"CREATE TABLE {wh.db}.{W.LOCK} (x INT) USING parquet TBLPROPERTIES ('quarry.taken' = '1.0')")
+    wh.append("dim_source", wh.table("dim_source").limit(0))
+    spark.sql(f"CREATE TABLE {wh.db}.{W.LOCK} (x INT) USING parquet TBLPROPERTIES ('quarry.taken' = '9e9')")
+    with pytest.raises(ConcurrentLoadError, match="not released"):
+        with wh._locked(wait_seconds=0.2):
+            pass
+
+
+DIM = T.StructType().add("customer_id", "long").add("code", "string").add("name", "string").add("region", "string")
+
+
+def _dim(spark, **options):
+    wh = Warehouse(spark, f"wh_{uuid.uuid4().hex[:8]}", **options)
+    wh.create({"dim": DIM})
+    return wh
+
+
+@pytest.mark.parametrize("buckets", [None, {"dim": (["code"], 16)}])
+def test_dimension_loads_by_bucket(spark, buckets):
+    wh = _dim(spark, buckets=buckets)
+    rows = spark.range(400).select(F.format_string("c%03d", "id").alias("code"), F.lit("n").alias("name"), F.lit(None).cast("string").alias("region"))
+    with wh.begin() as load:
+        assert load.insert_new("dim", rows, ["code"], "customer_id") == 400
+    with wh.begin() as load:  # two known, one new, one without a key, one twice
+        batch = [("c007", "other", "r"), ("c009", "other", "r"), ("new", "n", "r"), (None, "n", "r"), ("new", "n", "r")]
+        assert load.insert_new("dim", spark.createDataFrame(batch, "code string, name string, region string"), ["code"], "customer_id") == 1
+    with wh.begin() as load:
+        files = set(load.table("dim").inputFiles())
+        batch = spark.createDataFrame([("c005", "x", "EU"), ("zz", "x", "EU")], "code string, name string, region string")
+        written = load.upsert("dim", batch, ["code"], ["region"], "customer_id")
+    got = {r.code: (r.customer_id, r.name, r.region) for r in wh.table("dim").collect()}
+    assert len(got) == wh.count("dim") == wh.stat("dim", "rows") == 402 and wh.check_counts() == {}
+    assert got["c005"] == (6, "n", "EU") and got["c007"] == (8, "n", None) and got["new"] == (401, "n", "r") and got["zz"] == (402, "x", "EU")
+    assert spark.table(f"{wh.db}.dim").count() == 402 and wh.stat("dim", "max_id") == 402
+    if buckets:  # two of sixteen buckets were rewritten, the other files are still read
+        assert written < 120 and len(files & set(wh.table("dim").inputFiles())) >= len(files) - 4
+    with pytest.raises(DuplicateKeyError), wh.begin() as load:
+        load.upsert("dim", batch.unionByName(batch), ["code"], ["region"], "customer_id")
+    assert wh.count("dim") == 402
+
+
+def test_an_insert_reads_the_keys_buckets_and_shuffles_no_known_row(spark):
+    from quarry.operators.merge import new_rows
+
+    wh = _dim(spark, buckets={"dim": (["code"], 16)})
+    rows = spark.range(400).select(F.format_string("c%03d", "id").alias("code"), F.lit("n").alias("name"), F.lit(None).cast("string").alias("region"))
+    with wh.begin() as load:
+        load.insert_new("dim", rows, ["code"], "customer_id")
+    load = wh.begin()
+    batch = rows.where("code = 'c005'")
+    old = load.table("dim", load._touched("dim", batch))
+    assert len(old.inputFiles()) < len(load.table("dim").inputFiles())
+    known = old.select("code").join(batch.select("code"), ["code"], "left_semi")
+    known.collect()
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert new_rows(old, batch, ["code"], "customer_id").count() == 0
