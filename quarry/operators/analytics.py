@@ -91,13 +91,24 @@ def top_n_per_group(
     order: Sequence[Column],
     n: int = 1,
     rn_alias: str | None = None,
+    parts: int = 64,
 ) -> DataFrame:
     """Top-``n`` rows per group by ``ROW_NUMBER()``.  ``order`` should end in a
     unique key so ties resolve deterministically.  The filter on the row number
     plans as ``WindowGroupLimit``: each task keeps at most ``n`` rows per group
-    *before* the shuffle, so a hot group costs no more than a cold one.  Spark
-    applies that limit for ``n`` up to ``spark.sql.optimizer.
-    windowGroupLimitThreshold`` (1,000 by default); the reports use ``n=1``."""
+    *before* the shuffle, so a hot group costs no more than a cold one.
+
+    Spark applies that limit for ``n`` up to ``spark.sql.optimizer.
+    windowGroupLimitThreshold`` (1,000 by default).  Beyond it a hot group
+    would be sorted whole by one task, so there each group is dealt into
+    ``parts`` parts by the hash of its rows; every part selects its own top
+    ``n``, and of a group at most ``parts * n`` rows meet in the last window.
+    Equal rows fall into one part and are interchangeable."""
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit and parts > 1:
+        dealt = df.withColumn("_q_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+        own = Window.partitionBy(*partition_cols, "_q_part").orderBy(*order)
+        df = dealt.withColumn("_q_rn", F.row_number().over(own)).where(F.col("_q_rn") <= n).drop("_q_rn", "_q_part")
     w = Window.partitionBy(*partition_cols).orderBy(*order)
     ranked = df.withColumn("_q_rn", F.row_number().over(w)).where(F.col("_q_rn") <= n)
     if rn_alias:

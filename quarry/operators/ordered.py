@@ -4,32 +4,31 @@ distributed when a single group is hot.
 A plain ``Window.partitionBy(g)`` sends every row of a group to one task; if
 one group holds a third of all rows, one task sorts a third of the data.
 
-Here a count finds the groups above ``max_group_rows`` (on ``probe``, e.g.
-the fact before its dimension joins).  Ordinary groups use the plain window.
-Rows of hot groups are range-partitioned on the *whole* sort order ``(group,
-order key, tie columns)`` into ``ceil(hot rows / max_group_rows)`` partitions,
-so even a single repeated order value is split across tasks.  The partitioned
-rows, each tagged with its partition, are written once: range bounds come
-from a sample, so every later step must read the same partitioning instead of
-evaluating it again.  Each (group, partition) is windowed locally, and a
-summary with one row per (group, partition) supplies what crosses partition
-borders:
-
-- the global row number offset (rows of the group in earlier partitions);
+Here one count finds the size of the largest group (on ``probe``, e.g. the
+fact before its dimension joins).  If it is at most ``max_group_rows``, the
+plain window runs.  Otherwise all rows go through one segmented scan: they are
+range-partitioned once on the *whole* sort order ``(group, order key, tie
+columns)`` into ``ceil(rows / max_group_rows)`` ranges, so even a single
+repeated order value is split across tasks and small groups share a range.  The
+rows, each tagged with its range, are written once: range bounds come from a
+sample, so every later step must read the same partitioning instead of
+evaluating it again.  Each (group, range) is windowed locally, and a summary
+of the groups that span several ranges supplies what crosses their borders:
+
+- the global row number offset (rows of the group in earlier ranges);
 - the previous row's value (for LAG and for session gaps);
-- where the run of equal order values that a partition starts with began
+- where the run of equal order values that a range starts with began
   (RANK = global row number of the first peer);
 - session-flag offsets and each group's flag total.
 
-The summary has at most hot groups + partitions rows; how it is joined back
-is left to the planner.  Results equal the plain window (tests and two
+At most two groups cross each border, so that summary has a few rows per range
+whatever the number of groups.  Results equal the plain window (tests and two
 registered queries force every group hot, with thousands of rows per range)."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,27 +41,13 @@ from quarry.session import materialize
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
 
 _PID = "_q_pid"
-_HOT = "_q_hot"
 
 
-@dataclass
-class _Hot:
-    keys: DataFrame
-    groups: int
-    rows: int
-
-
-def _find_hot(src: DataFrame, keys: Sequence[str], max_group_rows: int) -> _Hot:
-    """Groups of ``src`` with more than ``max_group_rows`` rows, written as a
-    small table (at most rows / max_group_rows groups can qualify)."""
-    counts = (
-        src.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_q_n"))
-        .where(F.col("_q_n") > F.lit(max_group_rows))
-    )
-    kept = materialize(counts, "hot-groups")
-    n, total = kept.agg(F.count(F.lit(1)), F.sum("_q_n")).first()
-    return _Hot(kept.select(*keys), int(n), int(total or 0))
+def _group_sizes(src: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group of ``src``, and of all groups."""
+    counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_q_n"))
+    largest, total = counts.agg(F.max("_q_n"), F.sum("_q_n")).first()
+    return int(largest or 0), int(total or 0)
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -72,26 +57,21 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(renamed, cond, how).drop(*[f"_q_r_{c}" for c in on])
 
 
-def _mark_hot(df: DataFrame, keys: Sequence[str], hot: _Hot) -> DataFrame:
-    """``df`` with a flag for rows of hot groups, written once: both branches
-    read it, and the plan below it runs a single time."""
-    marked = _null_safe_join(df, hot.keys.withColumn(_HOT, F.lit(True)), keys, "left")
-    return materialize(marked.withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))), "marked")
-
-
-def _range_partitioned(
-    rows: DataFrame, keys: Sequence[str], sort: Sequence[Column], hot: _Hot, max_group_rows: int
-) -> DataFrame:
-    """Range-partition hot rows on (keys, sort...) and tag each row with its
-    partition; partitions follow the global sort order.  The tagged rows are
-    written once and read back."""
-    n = max(1, math.ceil(hot.rows / max(1, max_group_rows)))
+def _range_partitioned(rows: DataFrame, keys: Sequence[str], sort: Sequence[Column], n: int) -> DataFrame:
+    """Range-partition rows on (keys, sort...) and tag each row with its
+    range; ranges follow the global sort order.  The tagged rows are written
+    once and read back."""
     ranged = rows.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *sort)
     tagged = materialize(ranged.withColumn(_PID, F.spark_partition_id()), "ranges")
-    # The windows cluster by (keys, partition id).  Hashing the id alone into
-    # four times as many buckets as ranges keeps about one range per task and
-    # satisfies that clustering, so the windows add no exchange of their own.
-    return tagged.repartition(4 * n, F.col(_PID))
+    # The windows cluster by (keys, range).  Hashing the range alone satisfies
+    # that, so they add no exchange of their own.
+    return tagged.repartition(F.col(_PID))
+
+
+def _spanning(summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a (group, range) summary whose group has several ranges."""
+    ranges = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return summary.withColumn("_q_ranges", ranges).where("_q_ranges > 1").drop("_q_ranges")
 
 
 def _sort_key(c: Column, descending: bool, nulls_first: bool) -> Column:
@@ -134,14 +114,11 @@ def rank_and_lag(
     o = F.col(order_col)
     key = _sort_key(o, descending, nulls_first)
     ties = [F.col(t).asc_nulls_last() for t in tie_cols]
-    hot = _find_hot(df if probe is None else probe, keys, max_group_rows)
-    if hot.groups == 0:
+    largest, total = _group_sizes(df if probe is None else probe, keys)
+    if largest <= max_group_rows:
         return _plain_rank_lag(df, keys, o, key, ties, rank_alias, lag_alias, cols)
 
-    marked = _mark_hot(df, keys, hot)
-    cold = _plain_rank_lag(marked.where(~F.col(_HOT)), keys, o, key, ties, rank_alias, lag_alias, cols)
-
-    ranged = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
+    ranged = _range_partitioned(df, keys, [key, *ties], math.ceil(total / max(1, max_group_rows)))
     kp = [*keys, _PID]
     w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
     w_vals = Window.partitionBy(*kp).orderBy(key)
@@ -156,6 +133,7 @@ def rank_and_lag(
         F.max_by(o, F.col("_q_lrn")).alias("_q_last"),
         F.max_by(F.col("_q_lfirst"), F.col("_q_lrn")).alias("_q_last_first"),
     )
+    summary = _spanning(summary, keys)
     by_pid = Window.partitionBy(*keys).orderBy(_PID)
     summary = (
         summary.withColumn(
@@ -183,12 +161,13 @@ def rank_and_lag(
         .alias("_q_first_rank"),
     )
     joined = _null_safe_join(local, offsets, kp, "left")
-    rank = F.when(o.eqNullSafe(F.col("_q_first")), F.col("_q_first_rank")).otherwise(
-        F.col("_q_off") + F.col("_q_lfirst")
+    rank = (
+        F.when(F.col("_q_off").isNull(), F.col("_q_lfirst"))  # a group within one range
+        .when(o.eqNullSafe(F.col("_q_first")), F.col("_q_first_rank"))
+        .otherwise(F.col("_q_off") + F.col("_q_lfirst"))
     )
     lag = F.when(F.col("_q_lrn") == 1, F.col("_q_prev_last")).otherwise(F.col("_q_llag"))
-    hot_out = joined.select(*cols, rank.cast("bigint").alias(rank_alias), lag.alias(lag_alias))
-    return cold.unionByName(hot_out)
+    return joined.select(*cols, rank.cast("bigint").alias(rank_alias), lag.alias(lag_alias))
 
 
 def _plain_sessions(df, keys, ts, key, ties, flag, gap_alias, session_alias, cols):
@@ -228,14 +207,11 @@ def sessionize(
     def flag(gap: Column) -> Column:
         return F.when((gap > thr) | gap.isNull(), F.lit(1)).otherwise(F.lit(0))
 
-    hot = _find_hot(df if probe is None else probe, keys, max_group_rows)
-    if hot.groups == 0:
+    largest, total = _group_sizes(df if probe is None else probe, keys)
+    if largest <= max_group_rows:
         return _plain_sessions(df, keys, ts, key, ties, flag, gap_alias, session_alias, cols)
 
-    marked = _mark_hot(df, keys, hot)
-    cold = _plain_sessions(marked.where(~F.col(_HOT)), keys, ts, key, ties, flag, gap_alias, session_alias, cols)
-
-    ranged = _range_partitioned(marked.where(F.col(_HOT)), keys, [key, *ties], hot, max_group_rows)
+    ranged = _range_partitioned(df, keys, [key, *ties], math.ceil(total / max(1, max_group_rows)))
     kp = [*keys, _PID]
     w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
     local = ranged.withColumn("_q_lrn", F.row_number().over(w_rows)).withColumn(
@@ -247,11 +223,13 @@ def sessionize(
     local = local.withColumn(
         "_q_lsum", F.sum("_q_lflag").over(w_rows.rowsBetween(Window.unboundedPreceding, 0))
     )
+    local = local.withColumn("_q_ltotal", F.sum("_q_lflag").over(Window.partitionBy(*kp)))
     summary = local.groupBy(*kp).agg(
         F.min_by(ts, F.col("_q_lrn")).alias("_q_first"),
         F.max_by(ts, F.col("_q_lrn")).alias("_q_last"),
         F.sum("_q_lflag").alias("_q_lflags"),
     )
+    summary = _spanning(summary, keys)
     by_pid = Window.partitionBy(*keys).orderBy(_PID)
     summary = summary.withColumn("_q_prev_last", F.lag("_q_last").over(by_pid)).withColumn(
         "_q_has_prev", F.lag(_PID).over(by_pid).isNotNull()
@@ -277,9 +255,10 @@ def sessionize(
     prev = F.when(F.col("_q_lrn") == 1, F.col("_q_prev_last")).otherwise(F.col("_q_lprev"))
     # For non-NULL times only the first of several same-time events can carry
     # a flag, so the ROWS running sum equals the RANGE (peer) sum.
-    running = F.col("_q_off") + F.col("_q_lsum") - (F.lit(1) - F.col("_q_f0"))
-    session = F.when(ts.isNull(), F.col("_q_total")).otherwise(running)
-    hot_out = joined.select(
+    whole = F.col("_q_off").isNull()  # a group within one range
+    running = F.when(whole, F.col("_q_lsum")).otherwise(F.col("_q_off") + F.col("_q_lsum") - (F.lit(1) - F.col("_q_f0")))
+    of_null = F.when(whole, F.col("_q_ltotal")).otherwise(F.col("_q_total"))
+    session = F.when(ts.isNull(), of_null).otherwise(running)
+    return joined.select(
         *cols, minutes_between(ts, prev).alias(gap_alias), session.cast("bigint").alias(session_alias)
     )
-    return cold.unionByName(hot_out)

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -362,6 +363,36 @@ def run_checks(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     return out.orderBy("ordinal").drop("ordinal")
 
 
+# Checks over a history, batch by batch -----------------------------------
+
+_MERGE = {"min": F.min, "max": F.max}  # any other aggregate is a count
+
+
+def check_state(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
+    """The aggregates behind ``specs`` over one batch, as one row to keep with
+    it.  Counts, minima and maxima can be merged; distinct counts and key
+    uniqueness cannot and are refused (see ``quarry.operators.distinct``)."""
+    refused = [s.name for s in specs if s.group_keys is not None or any(a.endswith("__distinct") for a in s.aggs)]
+    if refused:
+        raise ValueError(f"not mergeable: {refused}")
+    aggs = {alias: expr for s in specs for alias, expr in s.aggs.items()}
+    return df.agg(*[e.alias(a) for a, e in aggs.items()]) if aggs else df.sparkSession.range(1).select()
+
+
+def merge_check_states(states: Sequence[DataFrame]) -> DataFrame:
+    """One row for several batches, by the aggregates' names: ``__min`` and
+    ``__max`` columns by theirs, all others are counts and add up."""
+    rows = reduce(DataFrame.unionByName, states)
+    return rows.agg(*[_MERGE.get(c.rsplit("__", 1)[-1], F.sum)(c).alias(c) for c in rows.columns])
+
+
+def results_of_state(state: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
+    """The result rows of ``specs`` over all batches that ``state`` merges; no
+    batch is read again, so a failed check has no sample rows."""
+    results = F.explode(F.array(*[_result_struct(s, i) for i, s in enumerate(specs)]))
+    return state.select(results.alias("r")).select("r.*").orderBy("ordinal").drop("ordinal")
+
+
 def render(results: DataFrame) -> DataFrame:
     """V7: add ``line`` = ``[PASS ✓] name: message`` / ``[FAIL ✗] ...``."""
     tag = F.when(F.col("passed"), F.lit(PASS_TAG)).otherwise(F.lit(FAIL_TAG))

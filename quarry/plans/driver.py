@@ -1287,3 +1287,7 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 def refused_batch_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keys for which an upsert batch would be refused."""
     return M.duplicate_keys(T.read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+# The queries of loads register themselves; they build on this module.
+from quarry.plans import driver_loads  # noqa: E402, F401

@@ -15,6 +15,8 @@ so that its work grows with the data."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def footer_aggregates(spark: SparkSession, path: str, min_max: Sequence[str] = ()) -> DataFrame:
+    """One row from the Parquet footers (A4, A6, L12): ``row_count`` and
+    ``min_<c>``/``max_<c>``.  Spark's V2 scan answers COUNT, MIN and MAX of
+    numbers and dates from the footers' statistics and reads no data page; a
+    file without statistics is an error there.  The scan is chosen in a
+    session of its own, so the caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    bounds = [f(c).alias(f"{name}_{c}") for c in min_max for name, f in (("min", F.min), ("max", F.max))]
+    return own.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"), *bounds)
+
+
 def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem as the event fact: keys plus integer measures."""
     cases = F.col("l_quantity").cast("bigint")
