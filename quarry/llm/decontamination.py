@@ -6,8 +6,9 @@ the item must then appear unchanged, so exact hits of pieces find every
 candidate place; Myers' bit-parallel algorithm gives the smallest edit
 distance of the item to any part of the text around them.
 
-Items and texts are compared in lower case with white space collapsed.  The
-items are the smaller side but may be many: they are taken in blocks of a
+Items and texts are compared in lower case with white space collapsed.  Items
+of fewer than ``SHORT_CHARS`` characters have no budget and must begin and end
+at word borders.  The items are the smaller side but may be many: they are taken in blocks of a
 bounded number of characters, and every document is searched for each block,
 so no task holds more than one block's automaton."""
 
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 
 # Share of an item's characters that may be edited.
 ERROR_RATE = 0.05
-# Items shorter than this (normalised) are not searched: they would match by chance.
-MIN_CHARS = 40
+# Items shorter than this (normalised) match verbatim and as whole words only:
+# with edits, or inside words, they would match by chance.
+SHORT_CHARS = 40
 # Characters of items in one block; bounds what is sent to each task.
 BLOCK_CHARS = 8_000_000
 
@@ -69,13 +71,27 @@ def myers(pattern: str, text: str, budget: int) -> tuple[int, int] | None:
     return best
 
 
+def find_words(text: str, item: str) -> int:
+    """The first place of ``item`` where no word of ``text`` goes on beyond
+    its ends, or -1."""
+    at = text.find(item)
+    while at >= 0:
+        end = at + len(item)
+        open_left = at > 0 and text[at - 1].isalnum() and item[0].isalnum()
+        open_right = end < len(text) and text[end].isalnum() and item[-1].isalnum()
+        if not open_left and not open_right:
+            return at
+        at = text.find(item, at + 1)
+    return -1
+
+
 class ItemBlock:
     """The automaton of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
         import ahocorasick
 
-        self.items = [(i, t, int(rate * len(t))) for i, t in items]
+        self.items = [(i, t, int(rate * len(t)) if len(t) >= SHORT_CHARS else 0) for i, t in items]
         found: dict[str, list[tuple[int, int]]] = {}
         for row, (_, text, budget) in enumerate(self.items):
             for offset, piece in pieces(text, budget):
@@ -103,10 +119,10 @@ class ItemBlock:
         for row, own in spans.items():
             ident, item, budget = self.items[row]
             best: tuple[int, int] | None = None
-            exact = text.find(item)
+            exact = text.find(item) if len(item) >= SHORT_CHARS else find_words(text, item)
             if exact >= 0:
                 best = (0, exact + len(item))
-            else:
+            elif len(item) >= SHORT_CHARS:
                 for begin, end in own:
                     begin = max(0, begin)
                     got = myers(item, text[begin:end], budget)
@@ -120,13 +136,13 @@ class ItemBlock:
 def item_blocks(items: DataFrame, ident: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """Normalised items in blocks of about ``block_chars`` characters, one
     block in memory at a time.  Equal texts are searched once, under their
-    smallest id; null, empty and too short items are left out."""
+    smallest id; null and empty items are left out."""
     block: list[tuple[int, str]] = []
     size = 0
     rows = items.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.min(ident).alias("id")).orderBy("id")
     for r in rows.toLocalIterator():
         value = normalise(r["text"])
-        if len(value) < MIN_CHARS:
+        if not value:
             continue
         block.append((r["id"], value))
         size += len(value)
@@ -142,8 +158,10 @@ def find_leaks(
 ) -> DataFrame:
     """``doc_id, item_id, distance, end``: each test item found in a document
     within its edit budget, with the smallest distance and where that match
-    ends in the normalised text.  A null or empty text matches nothing,
-    repeated rows give repeated results, an empty benchmark gives no row."""
+    ends in the normalised text.  Items with equal texts are told each under
+    their own id.  A null or empty text or item matches nothing, texts of any
+    length are searched whole, repeated documents give repeated results, an
+    empty benchmark gives no row.  Other columns are ignored."""
     spark = docs.sparkSession
     src = docs.select(F.col(ident).cast("bigint").alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     found: DataFrame | None = None
@@ -160,7 +178,14 @@ def find_leaks(
 
         part = src.mapInArrow(run, SCHEMA)
         found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], SCHEMA)
+    if found is None:
+        return spark.createDataFrame([], SCHEMA)
+    # the other ids of texts that several items share
+    own = items.where(F.col(item_text).isNotNull()).select(F.col(item_text).alias("text"), F.col(item).cast("bigint").alias("own"))
+    shared = own.groupBy("text").agg(F.min("own").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("text", "first")
+    others = own.join(shared, "text").select("first", "own").distinct()
+    told = found.join(others, F.col("item_id").eqNullSafe(F.col("first")), "left")
+    return told.select("doc_id", F.coalesce("own", "item_id").alias("item_id"), "distance", "end")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:

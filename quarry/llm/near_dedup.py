@@ -61,9 +61,14 @@ _SEED = 11
 
 def chunk_count(threshold: float) -> int:
     """Chunks so that two sets at ``threshold`` share no key with probability
-    below ``MISS``."""
+    below ``MISS``; a threshold that needs more than the signature has raises."""
+    if not 0 < threshold <= 1:
+        raise ValueError("a similarity lies above 0 and up to 1")
     agree = threshold**SYMBOLS + SYMBOLS * (1 - threshold) * threshold ** (SYMBOLS - 1)
-    return min(SIGNATURE // SYMBOLS, ceil(log(MISS) / log(1 - agree)))
+    chunks = ceil(log(MISS) / log(1 - agree)) if agree < 1 else 1
+    if chunks > SIGNATURE // SYMBOLS:
+        raise ValueError(f"a similarity of {threshold} needs {chunks} chunks, the signature has {SIGNATURE // SYMBOLS}")
+    return chunks
 
 
 def most_differing(threshold: float) -> int:
@@ -319,8 +324,9 @@ def near_duplicates(
     its distinct shingles of ``width`` words (with fewer words, the whole
     sequence).  Documents are linked when 100 * intersection >= percent *
     union; a component's id is its smallest document id, which is kept.  A
-    null, empty or blank text has an empty set and is linked with nothing.
-    Rows that share an id are one document in two versions; rows with a null
+    null, empty or blank text has an empty set and is linked with nothing;
+    texts of any length are read whole.  A threshold below about 0.58, for
+    which the signature is too short to bound misses, raises.  Rows that share an id are one document in two versions; rows with a null
     id are linked with nothing and kept, with a null component.  Other
     columns are ignored."""
     src = docs.select(F.col(ident).cast("bigint").alias("doc"), F.col(text).alias("text"))

@@ -60,14 +60,16 @@ class _WordTokens(dict):
     The tokenizer drops white space and never joins across it, so a text's
     ids are its words' ids in order.  Invented and inflected words share most
     of their letter runs, so runs are remembered too and only new runs reach
-    the tokenizer's model; words with other characters are encoded whole."""
+    the tokenizer's model; words with other characters, or with one of the
+    tokenizer's added tokens, are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # strings of the tokenizer that stand for one id wherever they occur
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.alphabet = _byte_characters()
         self.runs: dict[str, bytes] = {}
@@ -76,7 +78,7 @@ class _WordTokens(dict):
         if len(self) >= CACHE_WORDS:
             self.clear()
         text = word.decode()
-        if _SIMPLE.fullmatch(text):
+        if _SIMPLE.fullmatch(text) and not any(t in text or t in text.lower() for t in self.added):
             ids = b"".join([self.runs.get(r) or self._run(r) for r in _RUNS.findall(text.lower())])
         else:
             ids = _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)

@@ -31,11 +31,13 @@ from quarry.session import materialize
 
 # Kinds in the order of results, their patterns with possessive
 # repetition (same matches, no recursion on long runs), and a cheap pattern
-# that every text with a match contains.
+# that every text with a match contains.  A match of the first two cannot
+# start inside a run of their first characters unless the last match ended
+# there (\\G), so a long run is tried once, not from each of its characters.
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++(?:\.[0-9]++){3}+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}+",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -46,6 +48,7 @@ CONTEXT_WORDS = 5  # on each side of a term
 MIN_CONTEXTS = 3
 GENERALISE = 0.85
 REMOVE = 0.95
+SALTS = 32  # shares of the rows that hold one text
 _HIDDEN = "\ufdd0"  # a noncharacter in place of every character of a base span
 _TERM = rf"(?<![\p{{L}}{_HIDDEN}])\p{{L}}{{3,}}+(?!{_HIDDEN})"
 
@@ -150,11 +153,20 @@ def _together(held: DataFrame, mentions: DataFrame) -> DataFrame:
     the first place of the term."""
     own = mentions.groupBy("text_hash").agg(F.collect_list(F.struct("entity", "near")).alias("entities"))
     rows = held.join(own, "text_hash").select("text_hash", "entities", _words(F.col("open")).alias("words"), F.split("open", _TERM, -1).alias("gaps"))
-    rows = rows.select("text_hash", "entities", "words", "gaps", F.posexplode("words").alias("i", "term"))
-    first = F.greatest(F.col("i") - CONTEXT_WORDS, F.lit(0))
-    around = F.xxhash64(F.slice("words", first + 1, F.col("i") - first + CONTEXT_WORDS + 1), F.slice("gaps", first + 2, F.col("i") - first + CONTEXT_WORDS))
-    rows = rows.where(F.array_position("words", F.col("term")) == F.col("i") + 1).select("text_hash", "entities", "term", around.alias("around"))
-    return rows.select("text_hash", "term", "around", F.explode("entities").alias("e")).select("text_hash", "e.entity", "e.near", "term", "around")
+
+    def place(word: Column, i: Column) -> Column:
+        # single elements, as a slice of an array reads all of it
+        near = range(-CONTEXT_WORDS, CONTEXT_WORDS + 1)
+        words = [F.get("words", i + d) for d in near]
+        gaps = [F.when(i + d >= 1, F.get("gaps", i + d)) for d in near[1:]]
+        around = F.xxhash64(*[F.coalesce(x, F.lit("")) for x in [*words, *gaps]])
+        return F.struct(word.alias("term"), i.alias("i"), around.alias("around"))
+
+    # sorted by term and place, the first place of a term follows another term
+    rows = rows.select("text_hash", "entities", F.sort_array(F.transform("words", place)).alias("places"))
+    firsts = F.filter("places", lambda p, j: ~F.get("places", j - 1)["term"].eqNullSafe(p["term"]))
+    rows = rows.select("text_hash", "entities", F.explode(firsts).alias("p"))
+    return rows.select("text_hash", F.explode("entities").alias("e"), "p.term", "p.around").select("text_hash", "e.entity", "e.near", "term", "around")
 
 
 def disclosing_terms(held: DataFrame, docs: DataFrame, text: str = "text", min_contexts: int = MIN_CONTEXTS, threshold: float = GENERALISE) -> DataFrame:
@@ -210,8 +222,14 @@ def sanitise_spans(docs: DataFrame, ident: str = "doc_id", text: str = "text") -
     added = near.groupBy("text_hash", "term").agg(action.alias("value")).groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("strong"))
     places = _places(F.regexp_extract_all("open", F.lit(_TERM), F.lit(0)), F.split("open", _TERM, -1), F.col("strong"))
     added = held.join(added, "text_hash").select(F.col("text_hash").alias("a_hash"), places.alias("terms"))
-    joined = found.join(added, F.col("text_hash") == F.col("a_hash"), "left")
-    return joined.select("id", "text_hash", "spans", F.coalesce("terms", F.array().cast(_SPANS)).alias("terms"))
+    # only texts with base spans can have terms; copies of one text are dealt
+    # by id, so a group of them does not meet in one task
+    none = F.array().cast(_SPANS)
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    dealt = added.withColumn("a_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = found.where(F.size("spans") > 0).withColumn("salt", salt).join(dealt, (F.col("text_hash") == F.col("a_hash")) & (F.col("salt") == F.col("a_salt")), "left")
+    with_spans = joined.select("id", "text_hash", "spans", F.coalesce("terms", none).alias("terms"))
+    return with_spans.unionByName(found.where(F.size("spans") == 0).select("id", "text_hash", "spans", none.alias("terms")))
 
 
 def _joined(spans: Column) -> Column:

@@ -187,8 +187,8 @@ def _candidates(w: Words, sketch: RepeatSketch, width: int) -> np.ndarray:
 
 
 def first_places(docs: DataFrame, sketch: Broadcast, width: int = WIDTH) -> DataFrame:
-    """``doc, start``: the earliest place of every distinct window that is
-    estimated repeated, by exact grouping on 128-bit fingerprints."""
+    """``doc, key, start``: the earliest place of every distinct window that
+    is estimated repeated, by exact grouping on 128-bit fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,24 +199,24 @@ def first_places(docs: DataFrame, sketch: Broadcast, width: int = WIDTH) -> Data
                 if not len(at):
                     continue
                 row = np.searchsorted(w.rows, at, side="right") - 1
-                doc = part.column("doc").to_numpy()[row]
+                doc, key = part.column("doc").to_numpy()[row], part.column("key").to_numpy()[row]
                 f1 = window_hashes(word_hashes(w, 0), width, 3)[at]
                 f2 = window_hashes(word_hashes(w, 1), width, 2)[at]
-                held.append((f1.view(np.int64), f2.view(np.int64), doc, at - w.rows[row]))
+                held.append((f1.view(np.int64), f2.view(np.int64), doc, key, at - w.rows[row]))
             if not held:
                 continue
-            f1, f2, doc, start = (np.concatenate(c) for c in zip(*held))
-            order = np.lexsort((start, doc, f2, f1))
+            f1, f2, doc, key, start = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((start, key, doc, f2, f1))
             f1, f2 = f1[order], f2[order]
             first = np.ones(len(order), dtype=bool)
             first[1:] = (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(f1[first]), pa.array(f2[first]), pa.array(doc[order][first]), pa.array(start[order][first].astype(np.int32))],
-                names=["f1", "f2", "doc", "start"],
+                [pa.array(f1[first]), pa.array(f2[first]), *(pa.array(c[order][first]) for c in (doc, key)), pa.array(start[order][first].astype(np.int32))],
+                names=["f1", "f2", "doc", "key", "start"],
             )
 
-    rows = docs.mapInArrow(run, "f1 bigint, f2 bigint, doc bigint, start int")
-    return rows.groupBy("f1", "f2").agg(F.min(F.struct("doc", "start")).alias("p")).select("p.doc", "p.start")
+    rows = docs.mapInArrow(run, "f1 bigint, f2 bigint, doc bigint, key bigint, start int")
+    return rows.groupBy("f1", "f2").agg(F.min(F.struct("doc", "key", "start")).alias("p")).select("p.doc", "p.key", "p.start")
 
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,14 +225,16 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, ident: str = "doc_id",
     joined by one space.
 
     A null or empty text has no words; a text shorter than a window loses
-    none.  Rows that share an id are copies of one document: neither is
-    earlier than the other.  A null id comes after all others.  Other columns
-    are ignored."""
+    none.  A null id comes after all others.  Rows that share an id, or have
+    none, follow each other by a 64-bit hash of their text; rows equal in both
+    are copies of one document, neither earlier than the other.  Texts of any
+    length are read whole; other columns are ignored."""
     none = (1 << 63) - 1
-    src = docs.select(F.coalesce(F.col(ident).cast("bigint"), F.lit(none)).alias("doc"), F.col(text).alias("text"))
+    value = F.coalesce(F.col(text), F.lit(""))
+    src = docs.select(F.coalesce(F.col(ident).cast("bigint"), F.lit(none)).alias("doc"), F.xxhash64(value).alias("key"), value.alias("text"))
     sketch = build_sketch(src, width)
     firsts = first_places(src, sketch, width)
-    by_doc = firsts.groupBy("doc").agg(F.collect_list("start").alias("firsts"))
+    by_doc = firsts.groupBy("doc", "key").agg(F.collect_list("start").alias("firsts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +246,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, ident: str = "doc_id",
                 lists = part.column("firsts")
                 sizes = np.where(np.asarray(lists.is_null()), 0, np.asarray(lists.value_lengths().fill_null(0)))
                 places = lists.flatten().to_numpy() + np.repeat(w.rows[:-1], sizes)
-                repeated[places] = False
+                repeated[places[places < np.repeat(w.rows[1:], sizes)]] = False
                 edges = np.zeros(n + width + 1, dtype=np.int64)
                 at = np.flatnonzero(repeated)
                 edges[at] += 1
@@ -260,7 +262,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, ident: str = "doc_id",
                 gone = count - (left[w.rows[1:]] - left[w.rows[:-1]])
                 yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(count), pa.array(gone), pa.array(kept, pa.string())], names=["doc", "n_words", "n_removed", "kept"])
 
-    joined = src.join(by_doc, "doc", "left").select("doc", "text", "firsts")
+    joined = src.join(by_doc, ["doc", "key"], "left").select("doc", "text", "firsts")
     out = joined.mapInArrow(run, "doc bigint, n_words bigint, n_removed bigint, kept string")
     return out.select(F.when(F.col("doc") != none, F.col("doc")).alias(ident), "n_words", "n_removed", "kept")
 

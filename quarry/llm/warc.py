@@ -62,9 +62,10 @@ def first_of_equal(pages: DataFrame, ident: str, payload: str, min_bytes: int =
 
 def write_warc(pages: DataFrame, path: str, ident: str = "page_id", url: str = "url", payload: str = "html", date: str = "2025-01-01T00:00:00Z") -> None:
     """Write one capture per row of ``pages`` under ``path``.  A null payload
-    or url is empty; line breaks in a url become spaces; rows need distinct,
-    non-null ids (a null id is written as ``null``); other columns are
-    ignored.  Of equal payloads the smallest id is written as response and
+    or url is empty; line breaks in a url become spaces.  Rows need distinct
+    ids to be told apart; a null id is written as ``null`` and never revisits,
+    and captures that share an id share the requests and metadata of one of
+    them.  Other columns are ignored.  Of equal payloads the smallest id is written as response and
     the others as revisits, which carry no payload again."""
     src = pages.select(
         F.col(ident).alias("id"),
@@ -197,28 +198,38 @@ def assemble(records: DataFrame) -> DataFrame:
     return answers.join(side("request"), "id", "left").join(side("metadata"), "id", "left").withColumnRenamed("id", "record_id")
 
 
+def with_repeated(captures: DataFrame) -> DataFrame:
+    """``captures`` plus ``repeated``: for a revisit the response it refers to,
+    null where that was not read.  Only responses that something refers to are
+    joined, so a response with many revisits meets them as one small row."""
+    named = captures.where("answer.record_type = 'revisit'").select(F.col("answer.refers_to").alias("target")).distinct()
+    body = F.col("answer").dropFields("block").alias("repeated")
+    found = captures.where("answer.record_type = 'response'").select(F.col("record_id").alias("target"), body).join(named, "target", "left_semi")
+    first = found.groupBy("target").agg(F.min_by("repeated", F.col("repeated.block_sha256")).alias("repeated"))
+    return captures.join(first, F.col("answer.refers_to") == F.col("target"), "left").drop("target")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``pages`` written as WARC files, read back and assembled."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-warc-{uuid.uuid4().hex}"
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     records = materialize(read_warc(spark, path, blocks=False), "records")
-    captures = assemble(records).select(
-        F.col("metadata.fields")["capture-id"].cast("bigint").alias("page_id"),
+    captures = with_repeated(assemble(records)).select(
+        F.col("metadata.fields")["capture-id"].try_cast("bigint").alias("page_id"),
         F.col("answer.record_type").alias("record_type"),
         F.col("answer.refers_to").alias("refers"),
-        F.col("answer.block_sha256").alias("block_sha256"),
-        F.col("answer.block_bytes").alias("block_bytes"),
-        F.col("answer.payload_digest").alias("told"),
-        F.col("metadata.fields")["payload-bytes"].cast("bigint").alias("told_bytes"),
+        F.coalesce("repeated", F.col("answer").dropFields("block")).alias("whole"),
+        (F.col("request.block_bytes") > 0).alias("has_request"),
     )
-    revisit = F.col("record_type") == "revisit"
-    # a response is measured on the block read back; a revisit says what it repeats
+    # sizes and digests are measured on blocks read back; a revisit's are
+    # those of the response it refers to
     return captures.select(
         "page_id",
-        F.when(revisit, F.col("told_bytes")).otherwise(F.col("block_bytes")).alias("payload_bytes"),
-        F.when(revisit, F.regexp_replace("told", "^sha256:", "")).otherwise(F.col("block_sha256")).alias("payload_digest"),
+        F.col("whole.block_bytes").alias("payload_bytes"),
+        F.col("whole.block_sha256").alias("payload_digest"),
         "record_type",
-        F.regexp_extract("refers", "response:(-?[0-9]+)>", 1).cast("bigint").alias("refers_to"),
+        F.regexp_extract("refers", "response:(-?[0-9]+)>", 1).try_cast("bigint").alias("refers_to"),
+        F.coalesce("has_request", F.lit(False)).alias("has_request"),
     )
 
 
@@ -228,6 +239,6 @@ d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html)
 f AS (SELECT *, MIN(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to, true AS has_request
 FROM f
 """

@@ -82,9 +82,19 @@ def test_edge_rows_and_blocks(spark):
     rows = [(1, "x " + item.replace("quick", "quack") + " y"), (None, item), (2, None), (3, ""), (4, "z" * 100_000), (1, "x " + item.replace("  ", "\n"))]
     docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id bigint, text string, item_id int")
     got = sorted((r.doc_id or 0, r.item_id, r.distance) for r in find_leaks(docs, items).collect())
-    assert got == [(0, 1, 0), (1, 1, 0), (1, 1, 1)]
-    assert len(list(item_blocks(items, block_chars=10))) == 2
+    # items 1 and 2 have one text and are both told
+    assert got == [(0, 1, 0), (0, 2, 0), (1, 1, 0), (1, 1, 1), (1, 2, 0), (1, 2, 1)]
+    assert len(list(item_blocks(items, block_chars=10))) == 2  # the short one shares a block
     clean = decontaminate(docs, items)
     assert sorted((r.doc_id, r.item_id) for r in clean.collect()) == [(2, 5), (3, 5), (4, 5)]
     assert find_leaks(docs, items.limit(0)).count() == 0 and decontaminate(docs, items.limit(0)).count() == 6
     assert find_leaks(docs.limit(0), items).count() == 0
+
+
+def test_short_items_match_verbatim_between_word_borders(spark):
+    items = spark.createDataFrame([(1, "What is the capital of  France?"), (2, "art"), (3, "42"), (4, "-x"), (5, "Art"), (None, "solo item")], "item_id bigint, text string")
+    texts = ["Q: what is the Capital of France? Paris", "what is the capital of francE", "start smart", "an art.", "1422 a42 42nd", "42", "y-x", "a -xx", "the solo item", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.item_id, r.distance) for r in find_leaks(docs, items).collect()), key=repr)
+    assert got == [(0, 1, 0), (3, 2, 0), (3, 5, 0), (5, 3, 0), (6, 4, 0), (8, None, 0)]
+    assert sorted(r.doc_id for r in decontaminate(docs, items).collect()) == [1, 2, 4, 7, 9]

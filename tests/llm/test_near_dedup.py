@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 from quarry.llm import near_dedup as N
 
 SF = "/root/testdata/sf0.01"
@@ -95,3 +97,10 @@ def test_sketches_decide_small_sets_and_lose_no_large_pair():
 def test_chunks_follow_the_threshold():
     assert N.chunk_count(0.85) < N.chunk_count(0.8) <= N.SIGNATURE // N.SYMBOLS
     assert N.SIGNATURE * 0.15 < N.most_differing(0.85) < N.most_differing(0.8) < N.SIGNATURE
+
+
+def test_thresholds_the_signature_cannot_serve_are_refused(spark):
+    assert N.chunk_count(0.85) == 8 and N.chunk_count(0.8) == 11 and N.chunk_count(1.0) == 1
+    for threshold in (0.5, 0.3, 0.0, 1.2):
+        with pytest.raises(ValueError):
+            N.chunk_count(threshold)

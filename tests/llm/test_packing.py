@@ -44,8 +44,7 @@ def test_query_against_the_tokenizer(spark):
 def test_word_by_word_encoding_equals_whole_texts():
     tokens = _WordTokens(word_bpe_path())
     t = Tokenizer.from_file(word_bpe_path())
-    t.encode_special_tokens = True
-    for text in ["", " ", "it's they'll DON'T x'S", "a\x1cb \x85c\xa0d", "é é É́ ß ẞ İI", "ΣΑΣ", "12a3 ²½", "日本 語", "<|endoftext|> x", "%%% ###!!! a--b", "​ ﻿x"]:
+    for text in ["hello <|endoftext|> world", "a<|endoftext|>b<|startoftext|>", "<|ENDOFTEXT|> <|endof text|>", "", " ", "it's they'll DON'T x'S", "a\x1cb \x85c\xa0d", "é é É́ ß ẞ İI", "ΣΑΣ", "12a3 ²½", "日本 語", "<|endoftext|> x", "%%% ###!!! a--b", "​ ﻿x"]:
         assert tokens.encode(text.encode().split()) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 

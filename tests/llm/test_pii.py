@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
-from quarry.llm.pii import KINDS, op9_pii, sanitise, sanitise_spans
+from quarry.llm.pii import KINDS, find_spans, op9_pii, sanitise, sanitise_spans
 
 SF = "/root/testdata/sf0.01"
 PLAIN = {
@@ -101,3 +103,34 @@ def test_terms_far_from_the_entity(spark):
         want = t.replace("me@mail.example", "[EMAIL]")
         # "says" has one context only, the same words in every document
         assert clean[i] == (want.replace("Zyxagent", "").replace("zyxagent", "") if i < 100 else want)
+
+
+def test_random_texts_have_the_plain_patterns_spans(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("a1@._ -+é(9") for _ in range(rng.randrange(0, 40))) for _ in range(4000)]
+    texts += ["a@b.c_d@e.f", "a@b.c@d.e", "1.2.3.4.5.6.7.8", "1.2.3.4a5.6.7.8", "x@y.z@", "@a@b.c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.id: _told((s.kind, s.start, s.end) for s in r.spans) for r in find_spans(df).collect()}
+    assert got == {i: _told(brute(t)) for i, t in enumerate(texts)}
+
+
+def test_time_grows_with_the_text_not_its_square(spark):
+    """Runs that never become a match, and long documents that share an entity."""
+    runs = [(1, "a" * 1_000_000 + " x@"), (2, "1" * 1_000_000 + ".1.1 @"), (3, ("b" * 500_000 + " ") * 2 + "q@r.st")]
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    longs = [(10 + k, " ".join(word() for _ in range(20_000)) + f" hidden{'abc'[k % 3]} joe@corp.example " + " ".join(word() for _ in range(20_000))) for k in range(4)]
+    df = spark.createDataFrame(runs + longs, "doc_id bigint, text string")
+    began = time.time()
+    got = {r.id: _told((s.kind, s.start, s.end) for s in r.spans) for r in sanitise_spans(df).collect()}
+    assert time.time() - began < 120
+    # the plain patterns take quadratic time on such runs
+    assert got == {i: _told(brute(t)) for i, t in longs} | {1: "", 2: "", 3: "email:1000002:1000008"}
+
+
+def test_copies_of_a_text_are_dealt_and_get_the_same_terms(spark):
+    give_away = [(k, f"{a} zebulon {b} joe@corp.example {c}") for k, (a, b, c) in enumerate([("one two", "met", "today"), ("why not", "saw", "there"), ("so then", "rang", "again")])]
+    rows = give_away + [(100 + k, give_away[0][1]) for k in range(60)] + [(500 + k, f"plain words number {'abcdefgh'[k % 8] * 4}{'xyzw'[k % 4] * 3}") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {r.id: r for r in sanitise_spans(df).collect()}
+    assert len(spans) == len(rows) and [s.value for s in spans[0].terms] and all(spans[100 + k].terms == spans[0].terms for k in range(60))

@@ -40,6 +40,20 @@ def test_stages_against_brute_force(spark):
     assert {r.doc_id for r in packed} == set(rows)
 
 
+def test_repeated_rows_and_shared_ids_leave_one_of_a_group(spark):
+    words = [f"word{k}" for k in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    alone = [" ".join(f"{p}{k}" for k in range(40)) for p in "abc"]
+    rows = [(1, text), (1, text), (None, near), (None, text), (7, text), (7, alone[0]), (None, alone[1]), (None, alone[1]), (9, alone[2]), (9, ""), (9, ""), (12, None)]
+    docs = spark.createDataFrame([(i, t, 5, 6) for i, t in rows], "doc_id bigint, text string, near_id int, shared int").repartition(4)
+    left = P.near_dedup_stage(spark, docs, SF)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    group = [r for r in got if r[1] in (text, near)]
+    assert len(group) == 1
+    assert sorted((r for r in got if r not in group), key=repr) == sorted([(7, alone[0]), (None, alone[1]), (9, alone[2]), (9, ""), (12, None)], key=repr)
+
+
 def test_run_applies_all_stages(spark):
     assert [n for n, _ in P.STAGES] == ["language", "near_dedup", "decontamination", "pii", "packing"]
     out = P.run(spark, SF)

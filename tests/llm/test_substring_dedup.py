@@ -7,6 +7,8 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
+import xxhash
 
 from quarry.llm import substring_dedup as S
 from quarry.llm.textvec import words
@@ -56,6 +58,28 @@ def test_edge_rows_against_brute_force(spark):
     assert S.dedup_substrings(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared", [7, None])
+def test_shared_and_null_ids_with_different_texts(spark, shared):
+    """Such rows follow each other by the hash of their text."""
+    rng = random.Random(9)
+    passages = [" ".join(f"{p}{k}" for k in range(25)) for p in "abcd"]
+    texts = [" ".join(rng.sample(passages, rng.randrange(1, 5))) for _ in range(30)] + [None, "", passages[0] + " x" * 500, passages[1], passages[1]]
+    docs = [(shared, t) for t in texts] + [(1, passages[2] + " tail"), (9, passages[3]), (9, passages[3] + " more " + passages[0])]
+    hashed = lambda t: int.from_bytes(xxhash.xxh64((t or "").encode(), seed=42).digest(), "big", signed=True)
+    ids = sorted({((i is None, i or 0), hashed(t)) for i, t in docs})
+    ranked = [(ids.index(((i is None, i or 0), hashed(t))), t) for i, t in docs]
+    want = sorted(((docs[k][0], *r[1:]) for k, r in enumerate(brute_in_order(ranked, 20))), key=repr)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    assert _rows(S.dedup_substrings(df)) == want and sum(r[2] for r in want) > 0
+
+
+def brute_in_order(docs, width):
+    """``brute`` row by row, in the order given; equal ids are equal texts."""
+    every = brute(docs, width)
+    by_row = {(i, t): next(r for r in every if r[0] == i) for i, t in docs}
+    return [by_row[d] for d in docs]
+
+
 def test_estimates_are_never_below_counts():
     rng = random.Random(4)
     shared = " ".join(f"s{i}" for i in range(25))

@@ -10,7 +10,7 @@ import uuid
 import duckdb
 from pyspark.sql import functions as F
 
-from quarry.llm.warc import OP8_SQL, assemble, op8_warc, parse_records, read_warc, write_warc
+from quarry.llm.warc import OP8_SQL, assemble, op8_warc, parse_records, read_warc, with_repeated, write_warc
 
 SF = "/root/testdata/sf0.01"
 LONG = "é" * 60
@@ -64,3 +64,22 @@ def test_missing_partners_and_empty_tables(spark, scratch_dir):
     empty = os.path.join(scratch_dir, uuid.uuid4().hex)
     write_warc(spark.createDataFrame([], "page_id bigint, url string, html string"), empty)
     assert read_warc(spark, empty).count() == 0
+
+
+def test_null_and_shared_ids(spark, scratch_dir):
+    pages = [(None, "u", LONG), (None, "u", "other " * 30), (5, "u", LONG), (9, "u", LONG), (6, "u", "y" * 200), (6, "u", "y" * 200)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(os.path.join(scratch_dir, "pages.parquet"))
+    got = sorted((tuple(r) for r in op8_warc(spark, scratch_dir).collect()), key=repr)
+    digest = lambda t: (len(t.encode()), hashlib.sha256(t.encode()).hexdigest())
+    want = [(i, *digest(t), "response", None, True) for i, _, t in pages if i != 9] + [(9, *digest(LONG), "revisit", 5, True)]
+    assert got == sorted(want, key=repr)
+
+
+def test_a_revisit_takes_what_its_response_holds(spark, scratch_dir):
+    path = os.path.join(scratch_dir, uuid.uuid4().hex)
+    write_warc(spark.createDataFrame(PAGES, "page_id bigint, url string, html string"), path)
+    captures = assemble(read_warc(spark, path))
+    whole = {r.record_id: r.repeated for r in with_repeated(captures).collect()}
+    assert whole["<urn:capture:response:1>"].block_sha256 == hashlib.sha256(LONG.encode()).hexdigest() and whole["<urn:capture:response:3>"] is None
+    lost = with_repeated(captures.where("record_id <> '<urn:capture:response:0>'")).where("answer.record_type = 'revisit'").collect()
+    assert len(lost) == 2 and all(r.repeated is None for r in lost)
