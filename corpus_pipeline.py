@@ -49,11 +49,24 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group of near duplicates at
-    five-word shingles and a similarity of 0.8."""
-    found = near_duplicates(docs, width=5, percent=80)
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates at five-word shingles and
+    a similarity of 0.8: the one with the smallest id.  Rows that share an id,
+    or have none, are documents of their own, told apart by their text; of
+    rows equal in id and text one stays."""
+    shared = materialize(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("s_id"), F.lit(True).alias("s_any")), "shared-ids")
+    if shared.isEmpty():
+        found = near_duplicates(docs, width=5, percent=80)
+        dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # ids of such rows come from id and text, below all ids there are
+    marked = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text").join(shared, F.col("doc_id").eqNullSafe(F.col("s_id")), "left")
+    own = F.xxhash64("doc_id", "text").bitwiseOR(F.lit(-(1 << 63)))
+    marked = marked.select("row", "text", F.col("s_any").isNotNull().alias("shared"), F.when(F.col("s_any"), own).otherwise(F.col("doc_id")).alias("near_id"))
+    found = near_duplicates(marked, width=5, percent=80, ident="near_id")
+    dropped = found.where(~F.col("kept")).select("near_id").distinct()
+    left = marked.join(dropped, "near_id", "left_anti")
+    left = left.where(~F.col("shared")).unionByName(left.where("shared").dropDuplicates(["near_id"]))
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
