@@ -68,15 +68,25 @@ def spanning_links(u: Iterable[int], v: Iterable[int], parent: dict[int, int]) -
 
 
 def bucket_cells(members: DataFrame, bucket: list[str], ident: str, block_rows: int) -> DataFrame:
+    """``deal_cells``, partitioned and sorted by cell."""
+    return by_cell(deal_cells(members, bucket, ident, block_rows), bucket)
+
+
+def by_cell(rows: DataFrame, bucket: list[str]) -> DataFrame:
+    """Rows of ``deal_cells`` partitioned and sorted by cell."""
+    keys = [*bucket, "cell_a", "cell_b"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def deal_cells(members: DataFrame, bucket: list[str], ident: str, block_rows: int) -> DataFrame:
     """Give every member of a bucket the comparisons it takes part in.
 
     A bucket of at most ``block_rows`` members is one cell.  A larger one is
     dealt by hash into blocks of about that size, and its members are copied
     to every cell (block, block), so each pair of members meets in exactly
     one cell and no task holds more than about two blocks.  Buckets of one
-    member are dropped.  Adds ``block, cell_a, cell_b`` and returns the rows
-    partitioned and sorted by cell; in a cell of two different blocks only
-    members of different blocks are to be compared."""
+    member are dropped.  Adds ``block, cell_a, cell_b``; in a cell of two
+    different blocks only members of different blocks are to be compared."""
     sizes = members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("bucket_rows")).where("bucket_rows > 1")
     blocks = F.ceil(F.col("bucket_rows") / F.lit(block_rows)).cast("int")
     rows = (
@@ -89,6 +99,4 @@ def bucket_cells(members: DataFrame, bucket: list[str], ident: str, block_rows:
         lambda j: F.struct(F.least(F.col("block"), j).alias("a"), F.greatest(F.col("block"), j).alias("b")),
     )
     rows = rows.withColumn("cell", F.explode(cells))
-    rows = rows.select("*", F.col("cell.a").alias("cell_a"), F.col("cell.b").alias("cell_b")).drop("cell", "blocks", "bucket_rows")
-    keys = [*bucket, "cell_a", "cell_b"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys)
+    return rows.select("*", F.col("cell.a").alias("cell_a"), F.col("cell.b").alias("cell_b")).drop("cell", "blocks", "bucket_rows")

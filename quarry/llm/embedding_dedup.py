@@ -17,12 +17,17 @@ agree in a bit with probability 1 - acos(c) / pi; codes are cut into chunks,
 and vectors that agree in a whole chunk meet in a bucket.  The number of
 chunks, with as many rotations as that takes, makes the chance that a pair
 at the threshold meets nowhere smaller than ``MISS``; the chunk length grows
-with the logarithm of the largest label, so buckets stay small.
+with the logarithm of the largest label, so buckets stay small up to about
+2 ** (MOST_BITS - SPARE_BITS) vectors a label; beyond, they grow in proportion.
+
+Codes and factors are stored once.  Buckets first hold codes only: a pair
+whose codes differ in too many bits is decided there, and a pair counts in the
+first chunk it shares only.  The vectors themselves travel only to buckets
+where they have a pair left; there the estimates decide what is recomputed.
 
 Equal vectors are one class with a weight.  Large buckets are compared in
-bounded blocks; a pair counts in the first chunk it shares only, so link
-counts are added up in the tasks, and what leaves them is a count per vector
-and the links of a spanning forest, not all pairs."""
+bounded blocks; link counts are added up in the tasks, and what leaves them is
+a count per vector and the links of a spanning forest, not all pairs."""
 
 from __future__ import annotations
 
@@ -34,14 +39,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from quarry.llm.components import bucket_cells, connected_components, spanning_links
+from quarry.llm.components import by_cell, connected_components, deal_cells, spanning_links
 from quarry.llm.textvec import run_ids, run_pairs, whole_runs
 from quarry.session import materialize
 
 BITS = 256
 ERRORS = 5.0
 MISS = 1e-7
+SPARE_BITS = 3
+MOST_BITS = 32
 BLOCK_ROWS = 2048
 _SEED = 29
 
@@ -55,16 +63,17 @@ def rotation(dimensions: int, turn: int) -> np.ndarray:
 
 
 def chunking(threshold: float, largest: int) -> tuple[int, int]:
-    """Bits of a chunk and number of chunks for ``largest`` vectors of one label."""
-    bits = int(min(24, max(10, ceil(log2(max(largest, 2))))))
+    """Bits of a chunk and number of chunks for ``largest`` vectors of one label.
+    With ``SPARE_BITS`` more than the logarithm, unlike vectors rarely meet."""
+    bits = int(min(MOST_BITS, max(10, SPARE_BITS + ceil(log2(max(largest, 2))))))
     agree = (1 - acos(threshold) / pi) ** bits
     return bits, ceil(log(MISS) / log(1 - agree))
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def _matrix(column: pa.ChunkedArray | pa.Array, dtype) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(len(column), -1)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -79,107 +88,155 @@ def signs(unit: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
     return turned > 0, np.maximum(factor, 1e-9)
 
 
-def _chunk_values(unit: np.ndarray, bits: int, n_chunks: int) -> np.ndarray:
-    """The value of every chunk, over as many rotations as needed."""
+def _chunk_values(code: np.ndarray, bits: int, n_chunks: int) -> np.ndarray:
+    """The value of every chunk; ``code`` holds the packed signs of as many
+    rotations as needed, one after the other."""
     per_turn = BITS // bits
-    out = np.empty((len(unit), n_chunks), dtype=np.int64)
+    flat = np.unpackbits(code, axis=1)
     weights = 1 << np.arange(bits, dtype=np.int64)
-    for turn in range(ceil(n_chunks / per_turn)):
-        code, _ = signs(unit, turn)
-        for c in range(min(per_turn, n_chunks - turn * per_turn)):
-            out[:, turn * per_turn + c] = code[:, c * bits : (c + 1) * bits] @ weights
-    return out
+    starts = [c // per_turn * BITS + c % per_turn * bits for c in range(n_chunks)]
+    return np.stack([flat[:, s : s + bits] @ weights for s in starts], axis=1)
 
 
-def _usable(vectors: DataFrame, ident: str, vector: str, label: str) -> DataFrame:
-    """Vectors that can be linked, as ``vec, label, raw`` (float32 bytes)."""
+def _usable(vectors: DataFrame, ident: str, vector: str, label: str, dtype) -> DataFrame:
+    """Vectors that can be linked, as ``vec, label, raw`` (the components' bytes)."""
     value = F.col(vector)
     good = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vector, lambda x: x != 0)
     src = vectors.where(F.col(ident).isNotNull() & F.col(label).isNotNull() & value.isNotNull() & good)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [np.asarray(v.values.to_numpy(), dtype=np.float32).tobytes() for v in batch.column(2)]
+            raw = [np.asarray(v.values.to_numpy(), dtype=dtype).tobytes() for v in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], names=["vec", "label", "raw"])
 
-    rows = src.select(F.col(ident).cast("bigint").alias("vec"), F.col(label).cast("string").alias("label"), value.cast("array<float>"))
+    kind = "array<double>" if dtype == np.float64 else "array<float>"
+    rows = src.select(F.col(ident).cast("bigint").alias("vec"), F.col(label).cast("string").alias("label"), value.cast(kind))
     return rows.mapInArrow(pack, "vec bigint, label string, raw binary")
 
 
-def _buckets(classes: DataFrame, bits: int, n_chunks: int) -> DataFrame:
-    """``label, size, chunk, value, vec`` for every chunk of every class."""
+_CODED = "key bigint, vec bigint, label string, raw binary, weight bigint, size int, factor double, code binary"
+
+
+def _with_codes(classes: DataFrame, bits: int, n_chunks: int, dtype) -> DataFrame:
+    """``key, vec, label, raw, weight`` plus the length of the vector, the
+    correction factor of the first rotation and the signs of all rotations.
+    Keys tell classes apart, also those of rows that share an id."""
+    turns = ceil(n_chunks / (BITS // bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(2)
-            sizes = np.array([len(r.as_buffer()) for r in raw])
+            raw = batch.column(3)
+            sizes = np.array([len(r.as_buffer()) for r in raw], dtype=np.int32)
             for size in np.unique(sizes):
-                own = np.flatnonzero(sizes == size)
-                values = _chunk_values(_unit(_matrix(raw.take(pa.array(own)))), bits, n_chunks)
-                rows = np.repeat(own, n_chunks)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(1).take(pa.array(rows)), pa.array(np.full(len(rows), size, dtype=np.int32)),
-                        pa.array(np.tile(np.arange(n_chunks, dtype=np.int32), len(own))), pa.array(values.reshape(-1)), batch.column(0).take(pa.array(rows)),
-                    ],
-                    names=["label", "size", "chunk", "value", "vec"],
-                )
+                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                unit = _unit(_matrix(own.column(3), dtype))
+                codes, factor = [], None
+                for turn in range(turns):
+                    code, own_factor = signs(unit, turn)
+                    codes.append(np.packbits(code, axis=1))
+                    factor = own_factor if factor is None else factor
+                packed = pa.array([c.tobytes() for c in np.concatenate(codes, axis=1)], pa.binary())
+                lengths = pa.array(np.full(len(own), size, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([*own.columns, lengths, pa.array(factor), packed], names=["key", "vec", "label", "raw", "weight", "size", "factor", "code"])
 
-    return classes.select("vec", "label", "raw").mapInArrow(run, "label string, size int, chunk int, value bigint, vec bigint")
+    return classes.select(F.monotonically_increasing_id().alias("key"), "vec", "label", "raw", "weight").mapInArrow(run, _CODED)
 
 
-_FOUND = "vec bigint, other bigint, links bigint"
+_BUCKET = ["label", "size", "chunk", "value"]
+_CELL = [*_BUCKET, "cell_a", "cell_b"]
 
 
-def _compare(cells: DataFrame, threshold: float, bits: int, n_chunks: int) -> DataFrame:
-    """Rows with ``links``: linked vectors counted for ``vec`` in this cell;
-    rows with ``other``: links of a spanning forest."""
-    names = ["label", "size", "chunk", "value", "cell_a", "cell_b"]
+def _buckets(coded: DataFrame, bits: int, n_chunks: int) -> DataFrame:
+    """``label, size, chunk, value, key`` for every chunk of every class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_runs(batches, names):
-            cols = {c: table.column(c).to_numpy() for c in ("vec", "weight", "chunk", "block", "cell_a", "cell_b", "size")}
-            run_of = run_ids(table, names)
+        for batch in batches:
+            if not len(batch):
+                continue
+            values = _chunk_values(_matrix(batch.column(3), np.uint8), bits, n_chunks)
+            rows = pa.array(np.repeat(np.arange(len(batch)), n_chunks))
+            chunks = pa.array(np.tile(np.arange(n_chunks, dtype=np.int32), len(batch)))
+            label, size, key = (batch.column(k).take(rows) for k in (0, 1, 2))
+            yield pa.RecordBatch.from_arrays([label, size, chunks, pa.array(values.reshape(-1)), key], names=[*_BUCKET, "key"])
+
+    return coded.select("label", "size", "key", "code").mapInArrow(run, "label string, size int, chunk int, value bigint, key bigint")
+
+
+def _pairs(cols: dict[str, np.ndarray], run_of: np.ndarray, code: np.ndarray, threshold: float, bits: int, n_chunks: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs of each cell that the codes leave open and whose
+    first shared chunk is the cell's."""
+    values = _chunk_values(code, bits, n_chunks)
+    head = code[:, : BITS // 8]
+    for i, j in run_pairs(run_of, most=1 << 13):
+        ok = (cols["cell_a"][i] == cols["cell_b"][i]) | (cols["block"][i] != cols["block"][j])
+        i, j = i[ok], j[ok]
+        # cosines at the threshold differ in few bits
+        apart = np.bitwise_count(head[i] ^ head[j]).sum(axis=1, dtype=np.int64)
+        ok = apart <= _most_bits(threshold)
+        i, j = i[ok], j[ok]
+        first = (values[i] == values[j]).argmax(axis=1)
+        ok = first == cols["chunk"][i]
+        if ok.any():
+            yield i[ok], j[ok]
+
+
+def _open(cells: DataFrame, threshold: float, bits: int, n_chunks: int) -> DataFrame:
+    """The members of each cell that have an open pair there, told from codes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches, _CELL):
+            cols = {c: table.column(c).to_numpy() for c in ("chunk", "block", "cell_a", "cell_b")}
+            wanted = np.zeros(len(table), dtype=bool)
+            for i, j in _pairs(cols, run_ids(table, _CELL), _matrix(table.column("code"), np.uint8), threshold, bits, n_chunks):
+                wanted[i] = wanted[j] = True
+            if wanted.any():
+                yield from table.select([*_CELL, "block", "key"]).filter(pa.array(wanted)).to_batches()
+
+    schema = "label string, size int, chunk int, value bigint, cell_a int, cell_b int, block int, key bigint"
+    return cells.select(*_CELL, "block", "key", "code").mapInArrow(run, schema)
+
+
+_FOUND = "key bigint, links bigint, vec bigint, other bigint"
+
+
+def _compare(cells: DataFrame, threshold: float, bits: int, n_chunks: int, dtype) -> DataFrame:
+    """Rows with ``links``: linked vectors counted for class ``key`` in this
+    cell; rows with ``other``: links of a spanning forest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches, _CELL):
+            cols = {c: table.column(c).to_numpy() for c in ("key", "vec", "weight", "chunk", "block", "cell_a", "cell_b", "size", "factor")}
+            run_of = run_ids(table, _CELL)
             counts: dict[int, int] = {}
             links: list[tuple[int, int]] = []
             edges = np.flatnonzero(np.diff(cols["size"])) + 1
             for lo, hi in zip([0, *edges], [*edges, len(run_of)]):  # one vector length at a time
-                unit = _unit(_matrix(table.column("raw").slice(lo, hi - lo)))
+                part = table.slice(lo, hi - lo)
+                unit = _unit(_matrix(part.column("raw"), dtype))
+                packed = _matrix(part.column("code"), np.uint8)
                 own = {k: v[lo:hi] for k, v in cols.items()}
-                code, factor = signs(unit, 0)
-                packed = np.packbits(code, axis=1)
+                factor = own["factor"]
+                sign = np.where(np.unpackbits(packed[:, : BITS // 8], axis=1), 1.0, -1.0)
                 bound = ERRORS * np.sqrt((1 - np.minimum(factor, 1) ** 2) / factor**2) / sqrt(BITS - 1)
                 turned = unit @ rotation(unit.shape[1], 0).T
-                values = _chunk_values(unit, bits, n_chunks)
                 parent: dict[int, int] = {}
-                for i, j in run_pairs(run_of[lo:hi], most=1 << 13):
-                    ok = (own["cell_a"][i] == own["cell_b"][i]) | (own["block"][i] != own["block"][j])
-                    i, j = i[ok], j[ok]
-                    if not len(i):
-                        continue
-                    # a cheap screen on the codes alone: cosines at the threshold differ in few bits
-                    apart = np.bitwise_count(packed[i] ^ packed[j]).sum(axis=1, dtype=np.int64)
-                    ok = apart <= _most_bits(threshold)
-                    i, j = i[ok], j[ok]
-                    estimate = np.einsum("ij,ij->i", np.where(code[i], 1.0, -1.0), turned[j]) / sqrt(BITS) / factor[i]
+                for i, j in _pairs(own, run_of[lo:hi], packed, threshold, bits, n_chunks):
+                    estimate = np.einsum("ij,ij->i", sign[i], turned[j]) / sqrt(BITS) / factor[i]
                     ok = estimate + bound[i] >= threshold
                     i, j = i[ok], j[ok]
-                    first = (values[i] == values[j]).argmax(axis=1)
-                    ok = first == own["chunk"][i]
-                    i, j = i[ok], j[ok]
                     cosine = np.einsum("ij,ij->i", unit[i], unit[j])
                     ok = cosine >= threshold
-                    u, v = own["vec"][i[ok]], own["vec"][j[ok]]
-                    for a, w in zip([*u.tolist(), *v.tolist()], [*own["weight"][j[ok]].tolist(), *own["weight"][i[ok]].tolist()]):
+                    i, j = i[ok], j[ok]
+                    u, v = own["vec"][i], own["vec"][j]
+                    for a, w in zip([*own["key"][i].tolist(), *own["key"][j].tolist()], [*own["weight"][j].tolist(), *own["weight"][i].tolist()]):
                         counts[a] = counts.get(a, 0) + w
                     links += [(int(u[k]), int(v[k])) for k in spanning_links(u.tolist(), v.tolist(), parent)]
             if counts or links:
-                vec = [*counts, *(a for a, _ in links)]
-                other = [*([None] * len(counts)), *(b for _, b in links)]
-                number = [*counts.values(), *([None] * len(links))]
-                yield pa.RecordBatch.from_arrays([pa.array(vec, pa.int64()), pa.array(other, pa.int64()), pa.array(number, pa.int64())], names=["vec", "other", "links"])
+                none, no_link = [None] * len(counts), [None] * len(links)
+                found = [[*counts, *no_link], [*counts.values(), *no_link], [*none, *(a for a, _ in links)], [*none, *(b for _, b in links)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["key", "links", "vec", "other"])
 
-    columns = cells.select(*names, "block", "vec", "weight", "raw")
+    columns = cells.select(*_CELL, "block", "key", "vec", "weight", "factor", "code", "raw")
     return columns.mapInArrow(run, _FOUND)
 
 
@@ -196,23 +253,24 @@ def embedding_near_duplicates(
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors``.
 
     Vectors of one label are linked when their cosine, in double precision of
-    the stored float components, is at least ``threshold``.  Null, empty or
+    the components as stored (float or double), is at least ``threshold``.  Null, empty or
     zero vectors, vectors with null or non-finite components, and vectors
     with a null label or id are linked with nothing; vectors of different
     length are not compared.  Rows that share an id are vectors of their own
     in the counts and one node in the components.  Other columns are ignored."""
-    usable = materialize(_usable(vectors, ident, vector, label), "vectors")
-    classes = materialize(usable.groupBy("label", "raw").agg(F.min("vec").alias("vec"), F.count(F.lit(1)).alias("weight")), "classes")
-    largest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    dtype = np.float64 if isinstance(vectors.schema[vector].dataType.elementType, DoubleType) else np.float32
+    usable = materialize(_usable(vectors, ident, vector, label, dtype), "vectors")
+    largest = usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
     bits, n_chunks = chunking(threshold, largest)
-    index = _buckets(classes, bits, n_chunks)
-    bucket = ["label", "size", "chunk", "value"]
-    shared = index.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = index.join(shared, bucket).join(classes.drop("label"), "vec")
-    found = materialize(_compare(bucket_cells(members, bucket, "vec", BLOCK_ROWS), threshold, bits, n_chunks), "found")
+    equal = usable.groupBy("label", "raw").agg(F.min("vec").alias("vec"), F.count(F.lit(1)).alias("weight"))
+    classes = materialize(_with_codes(equal, bits, n_chunks, dtype), "classes")
+    dealt = deal_cells(_buckets(classes, bits, n_chunks), _BUCKET, "key", BLOCK_ROWS)
+    left = _open(by_cell(dealt.join(classes.select("key", "code"), "key"), _BUCKET), threshold, bits, n_chunks)
+    cells = by_cell(left.join(classes.drop("label", "size"), "key"), _BUCKET)
+    found = materialize(_compare(cells, threshold, bits, n_chunks, dtype), "found")
     parts = connected_components(found.where("other IS NOT NULL").select(F.col("vec").alias("u"), F.col("other").alias("v")))
-    counted = found.where("links IS NOT NULL").groupBy("vec").agg(F.sum("links").alias("links"))
-    of_class = classes.join(counted, "vec", "left").join(parts.withColumnRenamed("id", "vec"), "vec", "left").select(
+    counted = found.where("links IS NOT NULL").groupBy("key").agg(F.sum("links").alias("links"))
+    of_class = classes.join(counted, "key", "left").join(parts.withColumnRenamed("id", "vec"), "vec", "left").select(
         "label", "raw", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "vec").alias("component")
     )
     of_vector = usable.join(of_class, ["label", "raw"]).groupBy(F.col("vec").alias("v_id")).agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))

@@ -78,3 +78,34 @@ def test_repeated_ids(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (None, [1.0, 0.0], 1)], "vec_id bigint, embedding array<float>, label int")
     rows = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in E.embedding_near_duplicates(df).collect())
     assert rows == [(0, 0, 0, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+
+
+def test_shared_ids_with_different_vectors_and_double_components(spark):
+    """Vectors that share an id count their own links; doubles stay doubles."""
+    at = np.arccos(0.98)
+    rows = [
+        (1, [1.0, 0.0, 0.0], 1),
+        (1, [0.0, 0.0, 1.0], 1),
+        (2, [1.0, 0.01, 0.0], 1),
+        (3, [0.0, 0.01, 1.0], 1),
+        (4, [float(np.cos(at - 1e-9)), float(np.sin(at - 1e-9)), 0.0], 2),
+        (5, [1.0, 0.0, 0.0], 2),
+        (6, [float(np.cos(at + 1e-9)), 0.0, float(np.sin(at + 1e-9))], 2),
+    ]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in E.embedding_near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (5, 1, 4), (6, 0, 6)]
+
+
+def test_vectors_travel_only_to_buckets_with_an_open_pair(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in rng.normal(size=48)], 0) for i in range(3000)]
+    rows.append((3000, [x * 1.5 + 0.01 for x in rows[7][1]], 0))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    usable = E._usable(df, "vec_id", "embedding", "label", np.float32)
+    bits, n_chunks = E.chunking(0.98, len(rows))
+    classes = E._with_codes(usable.groupBy("label", "raw").agg(E.F.min("vec").alias("vec"), E.F.count("*").alias("weight")), bits, n_chunks, np.float32).cache()
+    dealt = E.deal_cells(E._buckets(classes, bits, n_chunks), E._BUCKET, "key", E.BLOCK_ROWS)
+    left = E._open(E.by_cell(dealt.join(classes.select("key", "code"), "key"), E._BUCKET), 0.98, bits, n_chunks)
+    assert sorted(r.vec for r in left.join(classes, "key").select("vec").collect()) == [7, 3000]
+    classes.unpersist()
