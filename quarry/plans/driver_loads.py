@@ -25,6 +25,7 @@ from quarry.plans.elt import EltResult, run_elt
 from quarry.plans.warehouse import ConstraintError, Warehouse
 from quarry.session import ensure_checkpoint_dir, materialize
 from quarry.sources import tables as T
+from quarry.sources.csv_records import read_csv_records
 from quarry.sources.inline import reference_tables
 
 _RAW_CTE = base._RAW_CTE
@@ -367,3 +368,15 @@ def top_rows_per_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     rows = T.read_table(spark, sf_dir, "lineitem").select("l_returnflag", *keys, "l_extendedprice")
     return A.top_n_per_group(rows, ["l_returnflag"], [F.col("l_extendedprice").desc_nulls_last(), *keys], TOP_ROWS, "price_rank")
+
+
+@register("csv_texts_with_breaks", "SELECT doc_id, NULLIF(source, '') AS source, NULLIF(text, '') AS text FROM documents")
+def csv_texts_with_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, line breaks and quotes in them, written as CSV and read
+    back by byte ranges."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-csv-{uuid.uuid4().hex}"
+    docs = T.read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    writer = docs.write.option("header", True).option("quoteAll", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    rows = read_csv_records(spark, path, ["doc_id", "source", "text"], ("",))
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text")

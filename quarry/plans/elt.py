@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -63,14 +63,17 @@ def run_elt(
     disease_id: int = 1,
     source_id: int = 1,
     pad_names: bool = False,
+    read: Callable[..., DataFrame] = read_csv_projected,
 ) -> EltResult:
     """Run the whole load.  Raises ``QualityGateError`` when the gate fails
     (G2); the failed batch is never published.  ``on_conflict="append"`` reproduces the reference
-    (a rerun duplicates facts); ``"ignore"`` makes reruns idempotent."""
+    (a rerun duplicates facts); ``"ignore"`` makes reruns idempotent.
+    ``read`` is the scan of the extract; ``read_csv_records`` takes files with
+    line breaks in quoted fields."""
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     t0 = time.perf_counter()
     warehouse.create()
-    raw = read_csv_projected(spark, csv_path)
+    raw = read(spark, csv_path)
     extract_s = time.perf_counter() - t0
     observations: dict = {}
     clean = clean_events(raw, run_ts, since_days=since_days, observations=observations)

@@ -12,7 +12,7 @@ import __spark_entry__ as E
 from quarry.plans import driver
 from tests.conftest import SF_SMALL
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents".split()
 
 
 def _norm(v):
