@@ -134,6 +134,10 @@ def predict_language(
                 scores.append(min(1.0, max(0.0, float(cosines[best]))))
             new = [pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(sizes, pa.int32())][: len(added)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=[*kept, *added])
+        # workers are kept between stages; the 57 MB of vectors are not
+        del vectors
+        trigram_vectors.cache_clear()
+        pa.default_memory_pool().release_unused()
 
     fields = StructType([src.schema[c] for c in kept]).add("lang_pred", "string").add("score", "double")
     if distinct:
