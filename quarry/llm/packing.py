@@ -4,9 +4,8 @@
    0; only documents longer than a sequence are cut.
 2. The plan is made on the histogram of piece lengths, at most ``capacity``
    numbers whatever the corpus size: for each length, longest first, the gap
-   it leaves is filled exactly by one, two or three other lengths found in an
-   index of available lengths and their sums, as many at once as the counts
-   allow; lengths with no exact complement go to the residue, which is packed
+   it leaves is looked up in an index of available lengths and their pair and
+   triple sums and filled exactly, as many at once as the counts allow; lengths with no exact complement go to the residue, which is packed
    best fit, longest first, again by counts.
 3. A piece learns its place from its rank among pieces of its length.  Ranks
    are a local number inside the task that made the piece plus the counts of
@@ -159,32 +158,67 @@ class _Plan:
             self.groups.append((times, lengths))
 
 
-def _complement(free: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to ``gap``, larger first.
-    ``free`` has the count of each length."""
-    if free[gap] > 0:
-        return (gap,)
-    have = free > 0
-    low = np.arange(1, gap // 2 + 1)
-    ok = have[low] & have[gap - low]
-    if gap % 2 == 0 and gap >= 2 and free[gap // 2] < 2:
-        ok[gap // 2 - 1] = False
-    found = np.flatnonzero(ok)
-    if len(found):
-        b = int(low[found[0]])
-        return (gap - b, b)
-    lengths = np.flatnonzero(have[: max(gap - 1, 0)])
-    for a in lengths[::-1]:
-        rest = gap - int(a)
-        b = lengths[(lengths <= a) & (lengths < rest)]
-        c = rest - b
-        fits = (c <= b) & have[c]
-        for at in np.flatnonzero(fits)[::-1]:
-            three = (int(a), int(b[at]), int(c[at]))
-            need = {x: three.count(x) for x in three}
-            if all(free[x] >= k for x, k in need.items()):
-                return three
-    return None
+class _SumIndex:
+    """Available lengths with their pair and triple sums up to the capacity.
+
+    ``free`` counts each length, ``pairs[s]`` the pairs of available lengths
+    with sum s (a length with itself needs two), ``triples[s]`` the available
+    lengths that leave a pair sum of s.  Lengths only ever run out, so each sum
+    is struck once, and all updates together cost about capacity ** 2 steps."""
+
+    def __init__(self, free: np.ndarray):
+        n = len(free)
+        self.free = free.copy()
+        have = (free > 0).astype(np.int64)
+        doubles = np.zeros(n, dtype=np.int64)
+        doubles[::2] = have[: (n + 1) // 2]
+        self.pairs = (np.convolve(have, have)[:n] + doubles) // 2
+        for x in np.flatnonzero(free[: (n + 1) // 2] == 1):
+            self.pairs[2 * x] -= 1
+        self.triples = np.convolve(have, (self.pairs > 0).astype(np.int64))[:n]
+
+    def take(self, length: int, times: int) -> None:
+        """Use up ``times`` pieces of ``length``."""
+        before = int(self.free[length])
+        after = before - times
+        if before > 1 >= after:
+            self._strike(np.array([2 * length]))
+        self.free[length] = after
+        if before > 0 == after:
+            sums = np.flatnonzero(self.pairs[: len(self.free) - length])
+            self.triples[sums + length] -= 1
+            self._strike(np.flatnonzero(self.free) + length)
+
+    def _strike(self, sums: np.ndarray) -> None:
+        """One pair less for each of ``sums``; a sum without pairs leaves the triples."""
+        sums = sums[sums < len(self.free)]
+        self.pairs[sums] -= 1
+        lengths = np.flatnonzero(self.free)
+        for s in sums[self.pairs[sums] == 0]:
+            self.triples[lengths[lengths < len(self.free) - s] + s] -= 1
+
+    def _enough(self, parts: tuple[int, ...]) -> bool:
+        return all(self.free[x] >= parts.count(x) for x in parts)
+
+    def fill(self, length: int, gap: int) -> tuple[int, ...] | None:
+        """One, two or three lengths, larger first, that sum to ``gap`` and are
+        available beside one piece of ``length``."""
+        if self._enough((length, gap)):
+            return (gap,)
+        if self.pairs[gap]:
+            low = np.arange(1, gap // 2 + 1)
+            for b in low[(self.free[low] > 0) & (self.free[gap - low] > 0)].tolist():
+                if self._enough((length, gap - b, b)):
+                    return (gap - b, b)
+        if self.triples[gap]:
+            first = np.arange(gap - 1, 0, -1)
+            for a in first[(self.free[first] > 0) & (self.pairs[gap - first] > 0)].tolist():
+                rest = gap - a
+                b = np.arange(min(a, rest - 1), (rest - 1) // 2, -1)
+                for y in b[(self.free[b] > 0) & (self.free[rest - b] > 0)].tolist():
+                    if self._enough((length, a, y, rest - y)):
+                        return (a, y, rest - y)
+        return None
 
 
 def plan_lengths(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
@@ -196,20 +230,18 @@ def plan_lengths(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
     plan.add(int(free[capacity]), (capacity,))
     free[capacity] = 0
     residue = np.zeros_like(free)
+    index = _SumIndex(free)
     for length in range(capacity - 1, 0, -1):
-        while free[length] > 0:
-            gap = capacity - length
-            free[length] -= 1
-            fill = _complement(free, gap)
-            free[length] += 1
+        while left := int(index.free[length]):
+            fill = index.fill(length, capacity - length)
             if fill is None:
-                residue[length] += free[length]
-                free[length] = 0
+                residue[length] += left
+                index.take(length, left)
                 break
             whole = (length, *fill)
-            times = min(int(free[x]) // whole.count(x) for x in set(whole))
-            for x in whole:
-                free[x] -= times
+            times = min(int(index.free[x]) // whole.count(x) for x in set(whole))
+            for x in set(whole):
+                index.take(x, times * whole.count(x))
             plan.add(times, whole)
     _best_fit(residue, capacity, plan)
     return plan.groups

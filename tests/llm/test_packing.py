@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from quarry.llm.packing import CAPACITY, _WordTokens, op6_best_fit_packing, pack_documents, plan_lengths, sequences, word_bpe_path
+from quarry.llm.packing import CAPACITY, _SumIndex, _WordTokens, op6_best_fit_packing, pack_documents, plan_lengths, sequences, word_bpe_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -76,3 +77,27 @@ def test_edge_rows(spark):
     whole = sequences(packed).collect()
     assert sum(len(r.ids) for r in whole) == 4 * sum(r.length for r in got)
     assert pack_documents(docs.limit(0), word_bpe_path()).count() == 0
+
+
+def test_sum_index_follows_the_counts_and_finds_every_fill():
+    rng = np.random.default_rng(4)
+    for capacity in (1, 2, 7, 12, 16):
+        free = rng.integers(0, 4, capacity + 1) * (rng.random(capacity + 1) < 0.6)
+        free[0] = 0
+        index = _SumIndex(free)
+        while True:
+            again = _SumIndex(index.free)
+            assert (index.pairs == again.pairs).all() and (index.triples == again.triples).all()
+            pieces = [x for x in range(1, capacity + 1) for _ in range(index.free[x])]
+            for length in set(pieces):
+                rest = pieces.copy()
+                rest.remove(length)
+                own = {sum(c) for k in (1, 2, 3) for c in combinations(rest, k)}
+                for gap in range(1, capacity):
+                    found = index.fill(length, gap)
+                    assert (found is not None) == (gap in own), (capacity, length, gap)
+                    assert found is None or (sum(found) == gap and list(found) == sorted(found, reverse=True))
+            if not pieces:
+                break
+            x = int(rng.choice(pieces))
+            index.take(x, int(rng.integers(1, index.free[x] + 1)))
