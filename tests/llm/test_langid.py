@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+
 import numpy as np
 
-from quarry.llm.langid import LETTERS, learn_profiles, op5_language_id, predict_language, trigram_counts, trigram_vectors
+from quarry.llm.langid import DIMENSIONS, LETTERS, SEED, _letter, learn_profiles, op5_language_id, predict_language, trigram_counts, trigram_vectors
 
 SF = "/root/testdata/sf0.01"
 
@@ -43,3 +46,41 @@ def test_edge_rows_and_clashing_columns(spark):
     assert predict_language(docs.limit(0), names, prototypes).count() == 0
     nothing, none = learn_profiles(train.limit(0))
     assert nothing == [] and {r.lang_pred for r in predict_language(docs, nothing, none).collect()} == {"und"}
+
+
+def test_predictions_equal_plain_bundles(spark):
+    """Vectors, prototypes and cosines recomputed without Spark, a trigram at a time."""
+    small = "/root/testdata/sf0.001"
+    base = np.random.default_rng(SEED).choice(np.array([-1, 1]), size=(LETTERS, DIMENSIONS))
+    bound: dict = {}
+
+    def counts(text):
+        letters = [_letter(ord(c)) for c in f" {text or ''} "]
+        return Counter(g for g in zip(letters, letters[1:], letters[2:]) if g[1])
+
+    def bundle(grams):
+        total = np.zeros(DIMENSIONS)
+        for (a, b, c), n in grams.items():
+            if (a, b, c) not in bound:
+                bound[a, b, c] = np.roll(base[a], 2) * np.roll(base[b], 1) * base[c]
+            total += n * bound[a, b, c]
+        return total
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()
+    vectors, sums = {}, {}
+    for r in docs:
+        grams = counts(r.text)
+        vectors[r.doc_id] = bundle(grams)
+        if grams and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            size = np.sqrt(sum(n * n for n in grams.values()))
+            sums[r.lang] = sums.get(r.lang, 0) + vectors[r.doc_id] / size
+    names = sorted(sums)
+    got = {r.doc_id: r for r in op5_language_id(spark, small).collect()}
+    assert len(got) == len(docs) == len(vectors)
+    for i, vector in vectors.items():
+        if not vector.any():
+            assert got[i].lang_pred == "und" and got[i].score == 0
+            continue
+        cosines = [float(sums[k] @ vector / np.linalg.norm(sums[k]) / np.linalg.norm(vector)) for k in names]
+        assert abs(got[i].score - min(1, max(0, *cosines))) < 1e-4
+        assert cosines[names.index(got[i].lang_pred)] > max(cosines) - 1e-4
