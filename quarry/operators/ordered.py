@@ -8,12 +8,15 @@ Here one count finds the size of the largest group (on ``probe``, e.g. the
 fact before its dimension joins).  If it is at most ``max_group_rows``, the
 plain window runs.  Otherwise all rows go through one segmented scan: they are
 range-partitioned once on the *whole* sort order ``(group, order key, tie
-columns)`` into ``ceil(rows / max_group_rows)`` ranges, so even a single
-repeated order value is split across tasks and small groups share a range.  The
-rows, each tagged with its range, are written once: range bounds come from a
-sample, so every later step must read the same partitioning instead of
-evaluating it again.  Each (group, range) is windowed locally, and a summary
-of the groups that span several ranges supplies what crosses their borders:
+columns)`` and sorted, and every task numbers its rows and cuts them into
+ranges of at most ``max_group_rows``, so even a single repeated order value is
+split and small groups share a range.  Range partitioning sends the driver a
+sample in proportion to its tasks, so their number follows the rows, not the
+number of ranges.  The rows, each tagged with its range, are written once:
+task bounds come from a sample, so every later step must read the same ranges
+instead of evaluating them again.  Each (group, range) is windowed locally,
+and a summary of the groups that span several ranges supplies what crosses
+their borders:
 
 - the global row number offset (rows of the group in earlier ranges);
 - the previous row's value (for LAG and for session gaps);
@@ -40,7 +43,14 @@ from quarry.session import materialize
 # Rows a single window task may own before its group is split.
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
 
+# Ranges are cut by tasks of about so many rows, at least so many tasks (where
+# there are as many ranges): the driver gets some 300 sampled sort keys a task.
+_TASK_ROWS = 500_000
+_MIN_TASKS = 64
+
+# A range's number: that of its first row in the order of (task, row of the task).
 _PID = "_q_pid"
+_TASK_ROW_BITS = (1 << 33) - 1  # of monotonically_increasing_id
 
 
 def _group_sizes(src: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -57,12 +67,16 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(renamed, cond, how).drop(*[f"_q_r_{c}" for c in on])
 
 
-def _range_partitioned(rows: DataFrame, keys: Sequence[str], sort: Sequence[Column], n: int) -> DataFrame:
-    """Range-partition rows on (keys, sort...) and tag each row with its
-    range; ranges follow the global sort order.  The tagged rows are written
-    once and read back."""
-    ranged = rows.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *sort)
-    tagged = materialize(ranged.withColumn(_PID, F.spark_partition_id()), "ranges")
+def _range_partitioned(rows: DataFrame, keys: Sequence[str], sort: Sequence[Column], total: int, max_rows: int) -> DataFrame:
+    """Tag rows with ranges of at most ``max_rows`` rows that follow the order
+    of (keys, sort...); ``total`` is about the number of rows.  The tagged rows
+    are written once and read back."""
+    size = max(1, max_rows)
+    tasks = min(math.ceil(total / size), max(_MIN_TASKS, math.ceil(total / _TASK_ROWS)))
+    order = [*[F.col(k).asc_nulls_last() for k in keys], *sort]
+    numbered = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).withColumn(_PID, F.monotonically_increasing_id())
+    first = F.col(_PID) - F.col(_PID).bitwiseAND(F.lit(_TASK_ROW_BITS)) % F.lit(size)
+    tagged = materialize(numbered.withColumn(_PID, first), "ranges")
     # The windows cluster by (keys, range).  Hashing the range alone satisfies
     # that, so they add no exchange of their own.
     return tagged.repartition(F.col(_PID))
@@ -118,7 +132,7 @@ def rank_and_lag(
     if largest <= max_group_rows:
         return _plain_rank_lag(df, keys, o, key, ties, rank_alias, lag_alias, cols)
 
-    ranged = _range_partitioned(df, keys, [key, *ties], math.ceil(total / max(1, max_group_rows)))
+    ranged = _range_partitioned(df, keys, [key, *ties], total, max_group_rows)
     kp = [*keys, _PID]
     w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
     w_vals = Window.partitionBy(*kp).orderBy(key)
@@ -211,7 +225,7 @@ def sessionize(
     if largest <= max_group_rows:
         return _plain_sessions(df, keys, ts, key, ties, flag, gap_alias, session_alias, cols)
 
-    ranged = _range_partitioned(df, keys, [key, *ties], math.ceil(total / max(1, max_group_rows)))
+    ranged = _range_partitioned(df, keys, [key, *ties], total, max_group_rows)
     kp = [*keys, _PID]
     w_rows = Window.partitionBy(*kp).orderBy(key, *ties)
     local = ranged.withColumn("_q_lrn", F.row_number().over(w_rows)).withColumn(

@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quarry.operators import ordered
 from quarry.operators.ordered import rank_and_lag, sessionize
 
 
@@ -152,3 +153,31 @@ def test_split_equals_plain_on_many_rows_per_range(spark):
     for _ in range(2):
         split_s = sessionize(ev, ["event_type"], "ts", 0.5, ["event_id"], max_group_rows=3_000)
         assert split_s.exceptAll(plain_s).count() == 0 and split_s.count() == ev.count()
+
+
+def test_many_ranges_are_cut_by_few_tasks(spark, monkeypatch):
+    # range partitioning samples in proportion to its partitions, so one
+    # partition for each range would send the driver a part of all rows
+    written = []
+
+    def kept(df, label):
+        written.append(materialize(df, label))
+        return written[-1]
+
+    materialize = ordered.materialize
+    monkeypatch.setattr(ordered, "materialize", kept)
+    rows = spark.range(6000).selectExpr("IF(id % 9 = 0, NULL, id % 2) g", "IF(id % 7 = 0, NULL, id * 7919 % 23) v", "id t")
+    ev = rows.selectExpr("g", "timestamp_seconds(v * 600 + t % 5) ts", "t")
+    for n, run in enumerate((
+        lambda most: rank_and_lag(rows, ["g"], "v", tie_cols=["t"], max_group_rows=most),
+        lambda most: sessionize(ev, ["g"], "ts", 9.95, ["t"], max_group_rows=most),
+    )):
+        split, plain = run(10), run(6000)
+        assert split.exceptAll(plain).count() == 0 and split.count() == 6000
+        assert len(written) == n + 1 and len(written[n].inputFiles()) <= 64
+        order = "g NULLS LAST, " + ("v DESC NULLS FIRST, t" if n == 0 else "ts NULLS LAST, t")
+        numbered = written[n].selectExpr("_q_pid", f"row_number() OVER (ORDER BY {order}) i")
+        ranges = numbered.groupBy("_q_pid").agg(F.count("i").alias("n"), F.min("i").alias("lo"), F.max("i").alias("hi")).orderBy("_q_pid").collect()
+        assert 600 <= len(ranges) <= 664 and max(r.n for r in ranges) == 10
+        # gapless runs of the whole order, numbered in that order
+        assert [r.lo for r in ranges] == [1, *[r.hi + 1 for r in ranges[:-1]]] and all(r.hi - r.lo + 1 == r.n for r in ranges)
