@@ -4,10 +4,9 @@ Every letter has a fixed random vector of +1 and -1.  A letter trigram is
 bound by multiplying its letters' vectors, each rotated by its place; a text
 is the bundle (sum) of its trigrams, a language prototype the bundle of the
 unit-length trigram counts of its training documents.  Bundling is linear, so
-training only sums trigram counts per language in Spark, a table whose size
-depends on the alphabet and not on the corpus; the prototypes are bundled
-from it once.  A document gets the language whose prototype has the largest
-cosine with its vector."""
+each training task bundles its own documents and Spark adds the bundles up:
+the driver gets one vector per language.  A document gets the language whose
+prototype has the largest cosine with its vector."""
 
 from __future__ import annotations
 
@@ -25,6 +24,7 @@ LETTERS = 48  # 0: not a letter; 1-26: a-z; the rest shared by other letters
 TRIGRAMS = LETTERS**3
 _WEIGHT = 1 << 20  # unit-length counts are summed as integers, so sums don't depend on order
 SEED = 20
+_BUNDLE_ROWS = 1024  # trigram vectors bundled at once
 
 
 def _letter(code: int) -> int:
@@ -83,20 +83,28 @@ def learn_profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> t
                 if ok:
                     total = sums.setdefault(name, np.zeros(TRIGRAMS, dtype=np.int64))
                     total[at] += np.rint(counts * (_WEIGHT / np.sqrt(float(np.dot(counts, counts))))).astype(np.int64)
+        vectors = trigram_vectors() if sums else None
         for name, total in sums.items():
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["lang", "gram", "weight"]
-            )
-
-    rows = docs.where(F.col(lang).isNotNull()).select(F.col(text), F.col(lang)).mapInArrow(run, "lang string, gram int, weight bigint")
-    table = rows.groupBy("lang", "gram").agg(F.sum("weight").alias("weight")).toPandas()
-    names = sorted(table["lang"].unique())
-    vectors = trigram_vectors()
-    prototypes = np.zeros((len(names), vectors.shape[1]))
-    for i, name in enumerate(names):
-        own = table[table["lang"] == name].sort_values("gram")
-        prototypes[i] = own["weight"].to_numpy(np.float64) @ vectors[own["gram"].to_numpy()].astype(np.float64)
+            bundle = np.zeros(DIMENSIONS, dtype=np.int64)
+            for k in range(0, len(at), _BUNDLE_ROWS):
+                some = at[k : k + _BUNDLE_ROWS]
+                bundle += total[some] @ vectors[some].astype(np.int64)
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * DIMENSIONS, pa.string()), pa.array(np.arange(DIMENSIONS, dtype=np.int32)), pa.array(bundle)], names=["lang", "place", "value"]
+                )
+        # workers are kept between stages; the 57 MB of vectors are not
+        del vectors
+        trigram_vectors.cache_clear()
+
+    rows = docs.where(F.col(lang).isNotNull()).select(F.col(text), F.col(lang)).mapInArrow(run, "lang string, place int, value bigint")
+    table = rows.groupBy("lang", "place").agg(F.sum("value").alias("value")).collect()
+    names = sorted({r.lang for r in table})
+    number = {name: i for i, name in enumerate(names)}
+    prototypes = np.zeros((len(names), DIMENSIONS))
+    for r in table:
+        prototypes[number[r.lang], r.place] = r.value
     norms = np.linalg.norm(prototypes, axis=1, keepdims=True)
     return names, prototypes / np.where(norms > 0, norms, 1)
 

@@ -84,3 +84,18 @@ def test_predictions_equal_plain_bundles(spark):
         cosines = [float(sums[k] @ vector / np.linalg.norm(sums[k]) / np.linalg.norm(vector)) for k in names]
         assert abs(got[i].score - min(1, max(0, *cosines))) < 1e-4
         assert cosines[names.index(got[i].lang_pred)] > max(cosines) - 1e-4
+
+
+def test_training_bundles_in_tasks_not_in_the_driver(spark):
+    rows = [(f"{a} und {b} with the {b}{a}", lang) for i, (a, b) in enumerate(zip("abcdefgh", "stuvwxyz")) for lang in ("de", "en")[: 1 + i % 2]]
+    trigram_vectors.cache_clear()
+    names, prototypes = learn_profiles(spark.createDataFrame(rows, "text string, lang string").repartition(5))
+    assert names == ["de", "en"] and trigram_vectors.cache_info().misses == 0  # the driver needs no trigram vectors
+    vectors = trigram_vectors().astype(np.int64)
+    for name, got in zip(names, prototypes):
+        want = np.zeros(DIMENSIONS, dtype=np.int64)
+        for text, lang in rows:
+            if lang == name:
+                at, counts, _ = trigram_counts(text)
+                want += np.rint(counts * ((1 << 20) / np.sqrt(float(counts @ counts)))).astype(np.int64) @ vectors[at]
+        assert np.allclose(got, want / np.linalg.norm(want), rtol=0, atol=1e-12)
